@@ -66,7 +66,7 @@ def derivations(duck: bool) -> dict[str, str]:
             from dna""".replace('"', '"' if duck else "`"),
         # Event-signature names; the declared length is off by one for every 17th.
         "elements": f"""
-            select concat('LBNL_IF', lpad(cast(doc_id as {text}), greatest(5, length(cast(doc_id as {text}))), '0'), '_gene_',
+            select concat('LBNL_IF', lpad(cast(doc_id as {text}), cast(greatest(5, length(cast(doc_id as {text}))) as int), '0'), '_gene_',
                      cast(length(b) + case when doc_id % 17 = 0 then 1 else 0 end as {text}), 'bp_',
                      case when doc_id % 10 = 9 then 'CDSpartial_' else '' end,
                      case doc_id % 9 when 0 then 'insertion' when 1 then 'deletion' when 2 then 'plasmid.element'

@@ -336,9 +336,8 @@ def one_hot_collapse(x: Inputs) -> DataFrame:
 
 @query
 def labels_outside_vocabulary(x: Inputs) -> DataFrame:
-    return K.labels_outside_vocabulary(
-        x.documents, x.customer.select(F.lower("c_mktsegment").alias("lang")).unionByName(x.labelled.select("lang").filter("toxic = 1")), "lang"
-    )
+    """Sources of documents none of which is labelled toxic."""
+    return K.labels_outside_vocabulary(x.documents, x.labelled.filter("toxic = 1").select("source"), "source")
 
 
 @query
