@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from seqframe.functions import letters as L
 from seqframe.model import Alphabet
+from seqframe.operators.shaping import computed_once
 
 # The two quarantine reasons.
 EMPTY = "empty_after_cleaning"
@@ -48,20 +49,20 @@ def clean_sequence(
         F.lit("not valid for "), F.lit(f"{alphabet.value}: "), F.array_join(bad, " "), hint
     )
     passed = F.col("reason").isNull()
-    kept = [c for c in df.columns if c != col]
-    return out.select(
-        *kept,
-        F.col("_text").alias(col),
-        F.length(text).alias("original_length"),
-        "reason",
-        F.when(F.col("reason") == EMPTY, F.lit("nothing is left once white space is removed"))
-        .when(F.col("reason") == INVALID, invalid_detail)
-        .alias("detail"),
-        (F.col("_bare") != F.col("_raw")).alias("whitespace_stripped"),
-        (F.col("_upper") != F.col("_bare")).alias("uppercased"),
-        (F.col("_ended") != F.col("_upper")).alias("terminator_stripped") if protein else no.alias("terminator_stripped"),
-        (F.col("_text") != F.col("_ended")).alias("u_to_t_converted") if rna_to_dna else no.alias("u_to_t_converted"),
-        (passed & L.looks_like_nucleotide(text)).alias("nucleotide_lookalike") if protein else no.alias("nucleotide_lookalike"),
+    return computed_once(
+        out,
+        [c for c in df.columns if c != col],
+        **{col: text},
+        original_length=F.length(text),
+        reason=F.col("reason"),
+        detail=F.when(F.col("reason") == EMPTY, F.lit("nothing is left once white space is removed")).when(
+            F.col("reason") == INVALID, invalid_detail
+        ),
+        whitespace_stripped=F.col("_bare") != F.col("_raw"),
+        uppercased=F.col("_upper") != F.col("_bare"),
+        terminator_stripped=(F.col("_ended") != F.col("_upper")) if protein else no,
+        u_to_t_converted=(F.col("_text") != F.col("_ended")) if rna_to_dna else no,
+        nucleotide_lookalike=(passed & L.looks_like_nucleotide(text)) if protein else no,
     )
 
 

@@ -12,6 +12,7 @@ from seqframe.functions import labels as B
 from seqframe.functions.digests import content_key as key_of
 from seqframe.functions.letters import trim_all
 from seqframe.operators.ranking import ordinals
+from seqframe.operators.shaping import computed_once
 from seqframe.session import broadcast_if_small
 
 # Fixed value: what a feature with two different calls carries.
@@ -112,13 +113,14 @@ def linkable_calls(calls: DataFrame, features: DataFrame, keys: Sequence[str]) -
 
 def parse_elements(df: DataFrame, name: str = "element") -> DataFrame:
     c = F.col(name)
-    return df.select(
-        "*",
-        E.element_type(c).alias("element_type"),
-        E.is_flank(c).alias("is_flank"),
-        E.origin_organism(c).alias("origin_organism"),
-        E.declared_length(c).alias("declared_length"),
-        E.element_number(c).alias("element_number"),
+    return computed_once(
+        df,
+        df.columns,
+        element_type=E.element_type(c),
+        is_flank=E.is_flank(c),
+        origin_organism=E.origin_organism(c),
+        declared_length=E.declared_length(c),
+        element_number=E.element_number(c),
     )
 
 
@@ -184,9 +186,11 @@ def links_without_element(links: DataFrame, elements: DataFrame, shown: int | No
 
 def pair_status(df: DataFrame, natural: str, generated: str) -> DataFrame:
     """Trim both members and add ``pair_drop``: missing, unequal length, or null for a good pair."""
-    both = df.withColumn(natural, trim_all(F.coalesce(F.col(natural), F.lit("")))).withColumn(
-        generated, trim_all(F.coalesce(F.col(generated), F.lit("")))
-    )
+    def member(name: str) -> Column:
+        return trim_all(F.coalesce(F.col(name), F.lit("")))
+
+    kept = [c for c in df.columns if c not in (natural, generated)]
+    both = computed_once(df, kept, **{natural: member(natural), generated: member(generated)})
     a, b = F.length(F.col(natural)), F.length(F.col(generated))
     return both.withColumn(
         "pair_drop",

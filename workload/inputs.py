@@ -9,6 +9,12 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from seqframe.operators.shaping import computed_once
+
+# A source's own columns would be read, not derived; these stand in for them.
+DERIVED_ONCE = {"dna": "b", "protein": "b", "elements": "element"}
 
 TABLES = ("customer", "orders", "lineitem", "events", "documents", "labels", "conversations", "part", "supplier")
 
@@ -130,6 +136,10 @@ class Inputs:
             sql = self._sql[name]
             used = {n: getattr(self, n) for n in (*TABLES, *self._sql) if n != name and _mentions(sql, n)}
             df = self.spark.sql(_bind(sql, used), **used)
+            if name in DERIVED_ONCE:
+                column = DERIVED_ONCE[name]
+                kept = [c for c in df.columns if c != column]
+                df = computed_once(df, kept, **{column: F.col(column)}).select(*df.columns)
         else:
             raise AttributeError(name)
         self._made[name] = df
