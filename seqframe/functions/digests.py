@@ -54,21 +54,14 @@ def row_digest(*cells: Column) -> Column:
     return F.sha2(F.concat_ws(UNIT_SEPARATOR, *cells), 256)
 
 
-def lane_sums(digest: Column) -> list[Column]:
-    """Ten aggregate columns over a hex digest column."""
-    return [
-        F.sum(F.conv(F.substring(digest, 1 + LANE_HEX * i, LANE_HEX), 16, 10).cast("bigint"))
+def combined_digest(name: str) -> Column:
+    """Aggregate expression: one digest for all the row digests (column ``name``) of a group or table."""
+    sums = [
+        f"coalesce(sum(cast(conv(substring({name}, {1 + LANE_HEX * i}, {LANE_HEX}), 16, 10) AS BIGINT)), 0)"
         for i in range(LANES)
     ]
-
-
-def digest_of_sums(count: Column, sums: list[Column]) -> Column:
-    return F.sha2(F.concat_ws(",", count, *[F.coalesce(s, F.lit(0)) for s in sums]), 256)
-
-
-def combined_digest(digest: Column) -> Column:
-    """Aggregate expression: one digest for all the row digests of a group or table."""
-    return digest_of_sums(F.count(digest), lane_sums(digest))
+    cells = ", ".join(f"cast({c} AS STRING)" for c in [f"count({name})", *sums])
+    return F.expr(f"sha2(concat_ws(',', {cells}), 256)")
 
 
 def content_key(*cells: Column) -> Column:

@@ -37,7 +37,7 @@ def has_invalid(text: Column, alphabet: Alphabet) -> Column:
 def invalid_characters(text: Column, alphabet: Alphabet) -> Column:
     """Sorted distinct characters the alphabet does not allow."""
     rest = F.regexp_replace(text, f"[{alphabet.allowed}]+", "")
-    chars = F.array_sort(F.array_distinct(F.split(rest, "")))
+    chars = F.sort_array(F.array_distinct(F.split(rest, "")))
     return F.when(F.length(rest) > 0, chars).otherwise(F.array().cast("array<string>"))
 
 
@@ -71,7 +71,7 @@ def compose_id(file: Column, member: Column) -> Column:
 
 def pipe_join(values: Column, limit: int | None = None) -> Column:
     """Sorted members joined with ``|``, at most ``limit`` of them shown."""
-    ordered = F.array_sort(values)
+    ordered = F.sort_array(values)
     return F.array_join(ordered if limit is None else F.slice(ordered, 1, limit), "|")
 
 

@@ -39,7 +39,7 @@ def clean_sequence(
         "reason",
         F.when(F.length(text) == 0, F.lit(EMPTY)).when(L.has_invalid(text, alphabet), F.lit(INVALID)),
     )
-    bad = L.invalid_characters(text, alphabet)
+    bad = L.invalid_characters(F.col(col), alphabet)
     hint = F.lit("")
     if not protein:
         hint = F.when(
@@ -49,21 +49,24 @@ def clean_sequence(
         F.lit("not valid for "), F.lit(f"{alphabet.value}: "), F.array_join(bad, " "), hint
     )
     passed = F.col("reason").isNull()
-    return computed_once(
+    once = computed_once(
         out,
         [c for c in df.columns if c != col],
         **{col: text},
         original_length=F.length(text),
         reason=F.col("reason"),
-        detail=F.when(F.col("reason") == EMPTY, F.lit("nothing is left once white space is removed")).when(
-            F.col("reason") == INVALID, invalid_detail
-        ),
         whitespace_stripped=F.col("_bare") != F.col("_raw"),
         uppercased=F.col("_upper") != F.col("_bare"),
         terminator_stripped=(F.col("_ended") != F.col("_upper")) if protein else no,
         u_to_t_converted=(F.col("_text") != F.col("_ended")) if rna_to_dna else no,
         nucleotide_lookalike=(passed & L.looks_like_nucleotide(text)) if protein else no,
     )
+    return once.withColumn(
+        "detail",
+        F.when(F.col("reason") == EMPTY, F.lit("nothing is left once white space is removed")).when(
+            F.col("reason") == INVALID, invalid_detail
+        ),
+    )
 
 
 def split_quarantine(cleaned: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -29,7 +29,7 @@ def members_per_class(members: DataFrame) -> DataFrame:
 
 def classes_per_member(members: DataFrame) -> DataFrame:
     """``(id, classes)``: the sorted set of a member's classes, never more than there are classes."""
-    return members.groupBy("id").agg(F.array_sort(F.collect_set("class")).alias("classes"))
+    return members.groupBy("id").agg(F.sort_array(F.collect_set("class")).alias("classes"))
 
 
 def membership_matrix(members: DataFrame, classes: Sequence[str]) -> DataFrame:
@@ -162,7 +162,7 @@ def samples_per_element(links: DataFrame, shown: int = 8) -> DataFrame:
         pairs.withColumn("_rn", F.row_number().over(first))
         .filter(F.col("_rn") <= shown)
         .groupBy("element")
-        .agg(F.array_join(F.array_sort(F.collect_list("sample")), "|").alias("samples"))
+        .agg(F.array_join(F.sort_array(F.collect_list("sample")), "|").alias("samples"))
     )
     return counts.join(listed, "element")
 

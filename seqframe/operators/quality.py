@@ -126,7 +126,7 @@ def ordered_digest(
     return (
         df.select(*by, row.alias("_d"))
         .groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("n_rows"), D.combined_digest(F.col("_d")).alias("content_digest"))
+        .agg(F.count(F.lit(1)).alias("n_rows"), D.combined_digest("_d").alias("content_digest"))
     )
 
 

@@ -156,7 +156,7 @@ def duplicate_summary(df: DataFrame, key: str = "sample_id", examples: int = 5)
     shown = dupes.orderBy("k").limit(examples).select(F.lit(None).cast("bigint").alias("n"), "k")
     return counted.unionByName(shown).agg(
         F.max("n").alias("n_duplicated"),
-        F.array_join(F.array_sort(F.collect_list("k")), ", ").alias("examples"),
+        F.array_join(F.sort_array(F.collect_list("k")), ", ").alias("examples"),
     )
 
 

@@ -179,15 +179,15 @@ def inventory_requirement(
     target_layout: str = "single",
 ) -> DataFrame:
     """The one requirement row on a run's record: is it complete, current and equal to what is there?"""
-    want = F.array_sort(F.array(*[F.lit(s) for s in enabled]).cast("array<string>"))
+    want = F.sort_array(F.array(*[F.lit(s) for s in enabled]).cast("array<string>"))
     both = F.array_intersect("converted", "gated")
-    either = F.array_sort(F.array_distinct(F.concat("converted", "gated")))
+    either = F.sort_array(F.array_distinct(F.concat("converted", "gated")))
     tests = [
         (F.col("complete"), "incomplete"),
         (F.col("profile") == profile, "profile differs"),
         (F.col("target_layout") == target_layout, "target layout differs"),
         (F.col("config_hash") == config_hash, "config differs"),
-        (F.array_sort("enabled") == want, "enabled sources differ"),
+        (F.sort_array("enabled") == want, "enabled sources differ"),
         (F.size(both) == 0, "a source is both converted and gated"),
         (either == want, "converted and gated do not partition the enabled sources"),
     ]
@@ -209,7 +209,7 @@ def inventory_requirement(
         F.lit("run inventory is complete and current").alias("requirement"),
         F.when((records == 1) & (problems_found == 0), PASS).otherwise(FAIL).alias("status"),
         F.when(records == 0, F.lit("no run record"))
-        .otherwise(F.array_join(F.array_sort(F.collect_set(F.when(F.col("problem") != "", F.col("problem")))), "; "))
+        .otherwise(F.array_join(F.sort_array(F.collect_set(F.when(F.col("problem") != "", F.col("problem")))), "; "))
         .alias("detail"),
     )
 

@@ -76,8 +76,8 @@ class Converted:
             F.lit(self.options.width).cast("bigint").alias("n_features"),
             F.lit(self.dataset.n_targets).cast("bigint").alias("n_targets"),
             n.alias("samples_n_rows"),
-            D.combined_digest(F.col("_t")).alias("content_hash"),
-            D.combined_digest(F.col("_s")).alias("samples_content_hash"),
+            D.combined_digest("_t").alias("content_hash"),
+            D.combined_digest("_s").alias("samples_content_hash"),
             F.lit(self.options.digest).alias("slice_digest_algorithm"),
         )
 

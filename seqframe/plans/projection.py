@@ -25,7 +25,7 @@ def projection_contract(projected: DataFrame, order: tuple[str, ...] = ("ord",))
 
 def source_contract(contract: DataFrame) -> DataFrame:
     """The lists every projection of one source must share, in one row (one entry per target)."""
-    ordered = F.array_sort(F.collect_list(F.struct("target_index", "target_name", "slug", "content_digest")))
+    ordered = F.sort_array(F.collect_list(F.struct("target_index", "target_name", "slug", "content_digest")))
     one = contract.agg(F.count(F.lit(1)).alias("target_count"), F.max("n_rows").alias("row_count"), ordered.alias("t"))
     return one.select(
         "target_count",

@@ -12,9 +12,11 @@ recorded for its key. ``key_order_differences`` and ``roundtrip_mismatches`` lis
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqframe.functions import digests as D
@@ -91,9 +93,9 @@ def table_facts(table: DataFrame, slice_digest: str = "sha2-256") -> DataFrame:
         F.min(F.coalesce(F.size("target"), zero)).alias("targets_min"),
         F.max(F.coalesce(F.size("target"), zero)).alias("targets_max"),
         F.count_if(F.coalesce(F.exists("target", lambda v: v.isNull()), F.lit(True))).alias("non_integer_targets"),
-        D.combined_digest(F.col("_content")).alias("table_digest"),
-        D.combined_digest(F.col("_order")).alias("key_order"),
-        D.combined_digest(F.col("_slice")).alias("decoded_digest"),
+        D.combined_digest("_content").alias("table_digest"),
+        D.combined_digest("_order").alias("key_order"),
+        D.combined_digest("_slice").alias("decoded_digest"),
     )
 
 
@@ -107,24 +109,50 @@ def sidecar_facts(samples: DataFrame) -> DataFrame:
     )
     return marked.agg(
         F.count(F.lit(1)).alias("sidecar_rows"),
-        D.combined_digest(F.col("_content")).alias("sidecar_digest"),
-        D.combined_digest(F.col("_order")).alias("sidecar_key_order"),
-        D.combined_digest(F.col("_slice")).alias("slice_digest_sum"),
+        D.combined_digest("_content").alias("sidecar_digest"),
+        D.combined_digest("_order").alias("sidecar_key_order"),
+        D.combined_digest("_slice").alias("slice_digest_sum"),
     )
 
 
-def _melted(one_row: DataFrame) -> DataFrame:
+def melted(one_row: DataFrame) -> DataFrame:
+    """``(fact, num, text)``: one row per column of a one-row DataFrame."""
     cells = []
     for f in one_row.schema.fields:
         text = f.dataType.typeName() == "string"
+        num, word = ("NULL", f.name) if text else (f.name, "NULL")
         cells.append(
-            F.struct(
-                F.lit(f.name).alias("fact"),
-                (F.lit(None) if text else F.col(f.name)).cast("bigint").alias("num"),
-                (F.col(f.name) if text else F.lit(None)).cast("string").alias("text"),
-            )
+            f"named_struct('fact', '{f.name}', 'num', cast({num} AS BIGINT), 'text', cast({word} AS STRING))"
         )
-    return one_row.select(F.inline(F.array(*cells)))
+    return one_row.select(F.expr(f"inline(array({', '.join(cells)}))"))
+
+
+def gathered(long: DataFrame, numbers: Sequence[str], texts: Sequence[str]) -> DataFrame:
+    """One row again: a column per fact, null for one that was not measured."""
+    return long.agg(
+        *[F.expr(f"max(CASE WHEN fact = '{n}' THEN num END) AS {n}") for n in numbers],
+        *[F.expr(f"max(CASE WHEN fact = '{n}' THEN text END) AS {n}") for n in texts],
+    )
+
+
+def label_facts(table: DataFrame, semantics: DataFrame | None) -> DataFrame:
+    """Values per target column, reduced to counts before anything is joined."""
+    counts = Q.class_counts(table).filter(F.col("value").isNotNull())
+    if semantics is None:
+        known = counts.withColumn("known", F.lit(True))
+    else:
+        named = semantics.select("value", F.lit(True).alias("known")).distinct()
+        known = counts.join(named, "value", "left")
+    per_target = known.groupBy("target_index").agg(
+        F.max(F.abs("value")).alias("top"),
+        F.count(F.lit(1)).alias("classes"),
+        F.count_if(F.col("known").isNull()).alias("unknown"),
+    )
+    return per_target.agg(
+        F.count_if(F.col("top") == 0).alias("all_zero_targets"),
+        F.max(F.when(F.col("target_index") == 0, F.col("classes"))).alias("classes_of_first"),
+        F.coalesce(F.sum("unknown"), F.lit(0)).alias("undocumented"),
+    )
 
 
 def facts(
@@ -138,11 +166,6 @@ def facts(
     one = F.lit(1)
     count = F.count(one)
     groups = Q.sequence_groups(Q.row_facts(table), "decoded", "target")
-    counts = Q.class_counts(table)
-    documented = [] if semantics is None else [
-        semantics.agg(count.alias("documented")),
-        Q.undocumented_labels(counts.filter(F.col("value").isNotNull()), semantics).agg(count.alias("undocumented")),
-    ]
     declared = ["n_samples", "n_features", "n_targets", "samples_n_rows", "content_hash", "samples_content_hash"]
     parts = [
         profile.agg(count.alias("n_profiles"), *[F.max(c).alias(c) for c in declared]),
@@ -155,153 +178,143 @@ def facts(
             F.coalesce(F.sum(F.when(F.col("n_rows") > 1, F.col("n_rows"))), F.lit(0)).alias("rows_of_repeated"),
             F.count_if(F.col("n_labels") > 1).alias("conflicts"),
         ),
-        Q.all_zero_targets(counts).agg(count.alias("all_zero_targets")),
-        counts.agg(F.count_if(F.col("target_index") == 0).alias("classes_of_first")),
-        *documented,
+        label_facts(table, semantics),
     ]
-    long = reduce(DataFrame.unionByName, [_melted(p) for p in parts])
-    return long.agg(
-        *[F.max(F.when(F.col("fact") == n, F.col("num"))).alias(n) for n in _NUMBERS],
-        *[F.max(F.when(F.col("fact") == n, F.col("text"))).alias(n) for n in _TEXTS],
-    )
-
-
-def checks_from_facts(gathered: DataFrame, has_semantics: bool = True) -> DataFrame:
-    """``(ordinal, name, passed, detail)``; a check whose premise failed is left out and said so."""
-    c = F.col
-    profile_ok = c("n_profiles") == 1
-    targets_exist = (c("targets_min") == c("n_targets")) & (c("targets_max") == c("n_targets"))
-    targets_int = targets_exist & (c("non_integer_targets") == 0)
-    semantics_ok = (c("documented") > 0) if has_semantics else F.lit(True)
-    labels_usable = targets_int & semantics_ok
-    features_present = c("width_max") >= c("n_features")
-    features_int = c("non_integer_rows") == 0
-    in_range = (c("token_min") >= PAD_TOKEN) & (c("token_max") <= MAX_TOKEN)
-    padded = c("inner_padding") == 0
-    features_reached = profile_ok & features_present
-    range_reached = features_reached & features_int
-    padding_reached = range_reached & in_range
-    decodable = padding_reached & padded
-    always = F.lit(True)
-    skip_why = (
-        F.when(~features_int, F.lit("a position cell is not an integer"))
-        .when(~in_range, F.lit("a token is out of range"))
-        .otherwise(F.lit("padding does not only trail"))
-    )
-    # name -> (emitted when, passes when, detail)
-    spec: dict[str, tuple[Column, Column, Column]] = {
-        "loads": (always, c("n_rows") > 0, _say("rows ", c("n_rows"))),
-        "sidecar_present_and_matches_header": (always, profile_ok, _say("manifests ", c("n_profiles"))),
+    if semantics is not None:
+        parts.append(semantics.agg(count.alias("documented")))
+    return gathered(reduce(DataFrame.unionByName, [melted(p) for p in parts]), _NUMBERS, _TEXTS)
+
+
+# Premises of the checks, over the gathered facts.
+PROFILE = "n_profiles = 1"
+TARGETS_EXIST = "targets_min = n_targets AND targets_max = n_targets"
+TARGETS_INT = f"{TARGETS_EXIST} AND non_integer_targets = 0"
+FEATURES = "width_max >= n_features"
+CELLS_INT = "non_integer_rows = 0"
+IN_RANGE = f"token_min >= {PAD_TOKEN} AND token_max <= {MAX_TOKEN}"
+TRAILING = "inner_padding = 0"
+SAME_WIDTH = "width_min = width_max AND width_max = n_features"
+
+
+def _check_spec(has_semantics: bool) -> dict[str, tuple[str, str, str]]:
+    """Name to (emitted when, passes when, detail); a detail is words and ``{facts}``."""
+    semantics = "documented > 0" if has_semantics else "true"
+    usable = f"{TARGETS_INT} AND {semantics}"
+    cells = f"{PROFILE} AND {FEATURES}"
+    integer = f"{cells} AND {CELLS_INT}"
+    ranged = f"{integer} AND {IN_RANGE}"
+    decodable = f"{ranged} AND {TRAILING}"
+    judged = f"{decodable} AND {usable}"
+    documented = f"{PROFILE} AND {str(has_semantics).lower()} AND (({usable}) OR NOT ({semantics}))"
+    counts = "n_rows = n_samples AND width_max = n_features AND targets_max = n_targets"
+    return {
+        "loads": ("true", "n_rows > 0", "rows {n_rows}"),
+        "sidecar_present_and_matches_header": ("true", PROFILE, "manifests {n_profiles}"),
         "sidecar_counts_match_manifest": (
-            profile_ok,
-            (c("n_rows") == c("n_samples")) & (c("width_max") == c("n_features")) & (c("targets_max") == c("n_targets")),
-            _say(
-                "rows ", c("n_rows"), " of ", c("n_samples"), ", features ", c("width_max"), " of ",
-                c("n_features"), ", targets ", c("targets_max"), " of ", c("n_targets"),
-            ),
-        ),
-        "primary_key_column_exists": (profile_ok, always, F.lit(KEY)),
-        "primary_key_non_null": (profile_ok, c("null_keys") == 0, _say("null keys ", c("null_keys"))),
-        "primary_key_unique": (
-            profile_ok,
-            c("n_rows") == c("distinct_keys"),
-            _say("repeated keys ", c("n_rows") - c("distinct_keys")),
+            PROFILE,
+            counts,
+            "rows {n_rows} of {n_samples}, features {width_max} of {n_features}, targets {targets_max} of {n_targets}",
         ),
+        "primary_key_column_exists": (PROFILE, "true", KEY),
+        "primary_key_non_null": (PROFILE, "null_keys = 0", "null keys {null_keys}"),
+        "primary_key_unique": (PROFILE, "n_rows = distinct_keys", "rows {n_rows}, keys {distinct_keys}"),
         "samples_sidecar_content_hash_matches": (
-            profile_ok,
-            c("sidecar_digest") == c("samples_content_hash"),
-            _say("found ", _short("sidecar_digest"), ", declared ", _short("samples_content_hash")),
+            PROFILE,
+            "sidecar_digest = samples_content_hash",
+            "found {sidecar_digest}, declared {samples_content_hash}",
         ),
         "samples_sidecar_row_count_matches_manifest": (
-            profile_ok,
-            (c("sidecar_rows") == c("samples_n_rows")) & (c("samples_n_rows") == c("n_samples")),
-            _say("sidecar rows ", c("sidecar_rows"), ", declared ", c("samples_n_rows")),
+            PROFILE,
+            "sidecar_rows = samples_n_rows AND samples_n_rows = n_samples",
+            "rows {sidecar_rows}, declared {samples_n_rows}",
         ),
         "samples_sidecar_sample_ids_unique": (
-            profile_ok,
-            (c("sidecar_rows") > 0) & (c("sidecar_rows") == c("sidecar_distinct_keys")),
-            _say("repeated keys ", c("sidecar_rows") - c("sidecar_distinct_keys")),
+            PROFILE,
+            "sidecar_rows > 0 AND sidecar_rows = sidecar_distinct_keys",
+            "rows {sidecar_rows}, keys {sidecar_distinct_keys}",
         ),
         "samples_sidecar_sample_ids_match_table_order": (
-            profile_ok,
-            c("key_order") == c("sidecar_key_order"),
-            _say("table ", c("n_rows"), " keys, sidecar ", c("sidecar_rows")),
-        ),
-        "target_columns_exist": (profile_ok, targets_exist, _say("targets ", c("targets_min"), "..", c("targets_max"))),
-        "all_target_columns_integer": (
-            profile_ok, targets_int, _say("rows with another value ", c("non_integer_targets"))
+            PROFILE,
+            "key_order = sidecar_key_order",
+            "table keys {n_rows}, sidecar keys {sidecar_rows}",
         ),
+        "target_columns_exist": (PROFILE, TARGETS_EXIST, "targets {targets_min}..{targets_max} of {n_targets}"),
+        "all_target_columns_integer": (PROFILE, TARGETS_INT, "rows with another value {non_integer_targets}"),
         "labels_only_documented_values": (
-            profile_ok & F.lit(has_semantics) & (labels_usable | ~semantics_ok),
-            semantics_ok & (c("undocumented") == 0),
-            _say("documented ", c("documented"), ", undocumented ", c("undocumented")),
+            documented,
+            f"{semantics} AND undocumented = 0",
+            "documented {documented}, undocumented {undocumented}",
         ),
         "label_dependent_checks_skipped": (
-            profile_ok & ~labels_usable, F.lit(False), F.lit("targets or their semantics are unusable")
-        ),
-        "all_position_columns_present": (
-            profile_ok, features_present, _say("widest row ", c("width_max"), " of ", c("n_features"))
-        ),
-        "all_position_columns_integer": (
-            features_reached, features_int, _say("rows with another value ", c("non_integer_rows"))
-        ),
-        "every_row_has_the_same_width": (
-            range_reached,
-            (c("width_min") == c("width_max")) & (c("width_max") == c("n_features")),
-            _say("widths ", c("width_min"), "..", c("width_max")),
+            f"{PROFILE} AND NOT coalesce({usable}, false)",
+            "false",
+            "targets or their semantics are unusable",
         ),
-        "tokens_within_configured_range": (
-            range_reached, in_range, _say("tokens ", c("token_min"), "..", c("token_max"))
+        "all_position_columns_present": (PROFILE, FEATURES, "widest row {width_max} of {n_features}"),
+        "all_position_columns_integer": (cells, CELLS_INT, "rows with another value {non_integer_rows}"),
+        "every_row_has_the_same_width": (integer, SAME_WIDTH, "widths {width_min}..{width_max}"),
+        "tokens_within_configured_range": (integer, IN_RANGE, "tokens {token_min}..{token_max}"),
+        "padding_only_ever_trails_the_sequence": (ranged, TRAILING, "rows with inner padding {inner_padding}"),
+        "remaining_checks_skipped": (
+            f"{cells} AND NOT coalesce({decodable}, false)",
+            "false",
+            "a cell is no integer, out of range, or padding does not only trail",
         ),
-        "padding_only_ever_trails_the_sequence": (
-            padding_reached, padded, _say("rows with inner padding ", c("inner_padding"))
-        ),
-        "remaining_checks_skipped": (features_reached & ~decodable, F.lit(False), skip_why),
-        "no_row_is_silently_empty": (decodable, c("empty_rows") == 0, _say("empty rows ", c("empty_rows"))),
-        "zero_is_reserved_for_padding": (decodable, always, _say("padding cells ", c("padding_cells"))),
+        "no_row_is_silently_empty": (decodable, "empty_rows = 0", "empty rows {empty_rows}"),
+        "zero_is_reserved_for_padding": (decodable, "true", "padding cells {padding_cells}"),
         "duplicate_sequences_reported": (
-            decodable, always, _say("repeated ", c("repeated_sequences"), ", rows ", c("rows_of_repeated"))
+            decodable,
+            "true",
+            "repeated sequences {repeated_sequences}, rows {rows_of_repeated}",
         ),
         "conflicting_labels_on_identical_sequences_reported": (
-            decodable & labels_usable, always, _say("sequences with several labels ", c("conflicts"))
+            judged,
+            "true",
+            "sequences with several labels {conflicts}",
         ),
         "every_target_column_carries_at_least_one_positive": (
-            decodable & labels_usable, c("all_zero_targets") == 0, _say("all-zero targets ", c("all_zero_targets"))
+            judged,
+            "all_zero_targets = 0",
+            "all-zero targets {all_zero_targets}",
         ),
         "a_single_target_column_has_at_least_two_classes": (
-            decodable & labels_usable & (c("n_targets") == 1),
-            c("classes_of_first") >= 2,
-            _say("classes ", c("classes_of_first")),
+            f"{judged} AND n_targets = 1",
+            "classes_of_first >= 2",
+            "classes {classes_of_first}",
         ),
         "content_hash_matches_the_table_on_disk": (
             decodable,
-            c("table_digest") == c("content_hash"),
-            _say("found ", _short("table_digest"), ", declared ", _short("content_hash")),
+            "table_digest = content_hash",
+            "found {table_digest}, declared {content_hash}",
         ),
         "sampled_rows_decode_back_to_their_source_sequence": (
-            decodable, c("decoded_digest") == c("slice_digest_sum"), F.lit("every row compared")
+            decodable,
+            "decoded_digest = slice_digest_sum",
+            "every row compared",
         ),
     }
-    rows = [
-        F.struct(
-            F.lit(i).alias("ordinal"),
-            F.lit(name).alias("name"),
-            F.coalesce(spec[name][1], F.lit(False)).alias("passed"),
-            spec[name][2].alias("detail"),
-            F.coalesce(spec[name][0], F.lit(False)).alias("_emit"),
-        )
-        for i, name in enumerate(CHECK_NAMES)
-    ]
-    return gathered.select(F.inline(F.array(*rows))).filter("_emit").drop("_emit")
 
 
-def _say(*parts: str | Column) -> Column:
-    words = [F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("none")) for p in parts]
-    return F.concat(*words)
+def _detail(template: str) -> str:
+    """SQL text of a detail: words and facts in turn."""
+    parts = re.split(r"\{(\w+)\}", template)
+    cells = [
+        f"coalesce(left(cast({p} AS STRING), 16), 'none')" if i % 2 else f"'{p}'" for i, p in enumerate(parts)
+    ]
+    return f"concat({', '.join(cells)})"
 
 
-def _short(name: str) -> Column:
-    return F.left(F.col(name), F.lit(16))
+def checks_from_facts(one_row: DataFrame, has_semantics: bool = True) -> DataFrame:
+    """``(ordinal, name, passed, detail)``; a check whose premise failed is left out and said so."""
+    spec = _check_spec(has_semantics)
+    rows = [
+        f"named_struct('ordinal', {i}, 'name', '{name}', 'passed', coalesce({passed}, false), "
+        f"'detail', {_detail(detail)}, 'emitted', coalesce({emitted}, false))"
+        for i, name in enumerate(CHECK_NAMES)
+        for emitted, passed, detail in [spec[name]]
+    ]
+    listed = one_row.select(F.expr(f"inline(array({', '.join(rows)}))"))
+    return listed.filter("emitted").drop("emitted")
 
 
 def validate_table(

@@ -37,3 +37,15 @@ def written(df: DataFrame) -> DataFrame:
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only when a bounded count (action) proves ``df`` has few rows."""
     return F.broadcast(df) if len(df.select(F.lit(1)).take(rows + 1)) <= rows else df
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Partition a source over all cores when it has fewer splits than cores, else leave it alone.
+
+    A file with one row group is one task however much work each row needs. Large inputs have more
+    splits than cores and are not touched, so they are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)

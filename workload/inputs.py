@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqframe.operators.shaping import computed_once
+from seqframe.session import spread
 
 # A source's own columns would be read, not derived; these stand in for them.
 DERIVED_ONCE = {"dna": "b", "protein": "b", "elements": "element"}
@@ -132,6 +133,8 @@ class Inputs:
             return self._made[name]
         if name in TABLES:
             df = self.spark.read.parquet(f"{self.sf}/{name}.parquet")
+            if name == "documents":  # the one table whose rows need much work each
+                df = spread(df.select("doc_id", "text", "lang", "source", "n_chars"), "doc_id")
         elif name in self._sql:
             sql = self._sql[name]
             used = {n: getattr(self, n) for n in (*TABLES, *self._sql) if n != name and _mentions(sql, n)}

@@ -20,6 +20,7 @@ from seqframe.plans import datasets as D
 from seqframe.plans import projection as J
 from seqframe.plans import validate as V
 from seqframe.plans.convert import Converted, convert
+from seqframe.session import written
 from workload.inputs import Inputs
 
 DNA, PROTEIN = Alphabet.DNA_NUCLEOTIDE, Alphabet.AMINO_ACID
@@ -456,7 +457,7 @@ def projected_profiles(x: Inputs) -> DataFrame:
     names, slugs = F.array(F.lit("Quality"), F.lit("Toxic!")), F.array(F.lit("quality"), F.lit("toxic"))
     hashed = Q.ordered_digest(long, ["sample_id"], ["target"], by=["source", "i"])
     per_source = hashed.groupBy("source").agg(
-        F.array_sort(F.collect_list(F.struct("i", "content_digest")))["content_digest"].alias("hashes")
+        F.sort_array(F.collect_list(F.struct("i", "content_digest")))["content_digest"].alias("hashes")
     )
     rows = hashed.join(per_source, "source")
     slug = F.when((F.col("source") == "src3") & (F.col("i") == 1), "quality").otherwise(slugs[F.col("i")])
@@ -565,26 +566,21 @@ def profile_of(table: DataFrame, samples: DataFrame) -> DataFrame:
     """The declared row of a table as written: digests and counts of the sound version."""
     t = V.table_facts(table.drop("slice_digest")).select("n_rows", F.col("table_digest").alias("content_hash"))
     s = V.sidecar_facts(samples).select("sidecar_rows", F.col("sidecar_digest").alias("samples_content_hash"))
-    joined = V._melted(t).unionByName(V._melted(s))
-
-    def num(name: str) -> Column:
-        return F.max(F.when(F.col("fact") == name, F.col("num")))
-
-    def text(name: str) -> Column:
-        return F.max(F.when(F.col("fact") == name, F.col("text")))
-
-    return joined.agg(
-        num("n_rows").alias("n_samples"),
+    one = V.gathered(
+        V.melted(t).unionByName(V.melted(s)), ["n_rows", "sidecar_rows"], ["content_hash", "samples_content_hash"]
+    )
+    return one.select(
+        F.col("n_rows").alias("n_samples"),
         F.lit(64).cast("bigint").alias("n_features"),
         F.lit(1).cast("bigint").alias("n_targets"),
-        num("sidecar_rows").alias("samples_n_rows"),
-        text("content_hash").alias("content_hash"),
-        text("samples_content_hash").alias("samples_content_hash"),
+        F.col("sidecar_rows").alias("samples_n_rows"),
+        "content_hash",
+        "samples_content_hash",
     )
 
 
 def validated(x: Inputs, fault: Callable[[DataFrame], DataFrame] = lambda t: t) -> DataFrame:
-    sound = encoded(x)
+    sound = written(encoded(x))
     samples = sidecar(x, sound)
     semantics = x.spark.createDataFrame([(0, "odd"), (1, "even")], "value INT, meaning STRING")
     table = fault(sound).drop("slice_digest")
