@@ -73,11 +73,12 @@ def read_csv_text(
     if not mark_malformed:
         return plain
     schema = T.StructType([*plain.schema.fields, T.StructField(MALFORMED, T.StringType())])
-    return (
-        spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED, columnPruning=False)
-        .schema(schema)
-        .csv(path)
+    reader = spark.read.options(
+        **options, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED, columnPruning=False
     )
+    # Spark refuses a scan of the malformed column alone, so the mark also reads (none of) the first.
+    nothing = F.left(F.coalesce(F.col(f"`{plain.columns[0]}`"), F.lit("")), F.lit(0))
+    return reader.schema(schema).csv(path).withColumn(MALFORMED, F.concat(MALFORMED, nothing))
 
 
 def count_malformed(df: DataFrame) -> DataFrame:
