@@ -18,22 +18,50 @@ def row_facts(table: DataFrame, key: str = KEY) -> DataFrame:
     The array is read once into padded text; trailing padding, emptiness and the decoded letters
     are then string work. ``decoded`` means nothing where ``in_range`` or ``well_padded`` is false.
     """
-    typed = table.withColumn("_row", row_text_of(F.col("tokens")))
-    text = F.col("_row")
-    lo, hi = F.array_min("tokens"), F.array_max("tokens")
-    width = F.size("tokens")
-    return typed.select(
-        *table.columns,
-        width.alias("width"),
-        (F.exists("tokens", lambda t: t.isNull()) | F.col("tokens").isNull()).alias("has_non_integer"),
-        lo.cast("int").alias("token_min"),
-        hi.cast("int").alias("token_max"),
-        ((lo >= PAD_TOKEN) & (hi <= MAX_TOKEN)).alias("in_range"),
-        (~text.rlike("@[^@]")).alias("well_padded"),
-        D.cell_text(table, key).alias("_key"),
-        F.replace(text, F.lit("@"), F.lit("")).alias("decoded"),
-    ).withColumn("residues", F.length("decoded")).withColumn(
-        "padding", F.col("width") - F.col("residues")
+    text, width = F.col("_row"), F.size("tokens")
+    typed = table.select(
+        "*",
+        row_text_of(F.col("tokens")).alias("_row"),
+        F.array_min("tokens").cast("int").alias("token_min"),
+        F.array_max("tokens").cast("int").alias("token_max"),
+    )
+    # A null cell leaves no character; only below -64 does an integer leave none either.
+    no_cell = F.when(F.col("token_min") >= -64, F.length(text) < width).otherwise(
+        F.exists("tokens", lambda t: t.isNull())
+    )
+    return (
+        typed.select(
+            "*",
+            width.alias("width"),
+            (F.col("tokens").isNull() | F.coalesce(no_cell, F.lit(True))).alias("has_non_integer"),
+            F.expr(f"token_min >= {PAD_TOKEN} AND token_max <= {MAX_TOKEN}").alias("in_range"),
+            (~text.rlike("@[^@]")).alias("well_padded"),
+            F.replace(text, F.lit("@"), F.lit("")).alias("decoded"),
+        )
+        .withColumn("residues", F.length("decoded"))
+        .withColumn("padding", F.col("width") - F.col("residues"))
+    )
+
+
+def token_cell(facts_in_range: Column, row_text: Column, tokens: Column | None = None) -> Column:
+    """Digest text of a row's tokens: its padded letters, or its numbers when one has no letter."""
+    if tokens is None:
+        return row_text
+    numbers = F.array_join(tokens.cast("array<string>"), ",", "null")
+    return F.when(F.coalesce(facts_in_range, F.lit(False)), row_text).otherwise(numbers)
+
+
+def table_row_digest(table: DataFrame, tokens: Column) -> Column:
+    """Digest of one table row: order, key, targets and the token text."""
+    return D.row_digest(*[D.cell_text(table, c) for c in ("ord", KEY, "target")], tokens)
+
+
+def table_digest(table: DataFrame) -> DataFrame:
+    """``(n_rows, content_digest)`` of a narrow table, as a manifest declares it."""
+    facts = row_facts(table)
+    cell = token_cell(F.col("in_range") & ~F.col("has_non_integer"), F.col("_row"), F.col("tokens"))
+    return facts.select(table_row_digest(table, cell).alias("_d")).agg(
+        F.count(F.lit(1)).alias("n_rows"), D.combined_digest("_d").alias("content_digest")
     )
 
 

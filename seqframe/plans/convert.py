@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import UTC, datetime
 from typing import Any
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from seqframe.functions import digests as D
 from seqframe.functions.labels import checked_label
+from seqframe.functions.tokens import pad_text
 from seqframe.model import (
     CIPHER,
     ENCODING_MODE,
@@ -25,7 +26,11 @@ from seqframe.model import (
     Options,
 )
 from seqframe.operators import cleaning, placement
+from seqframe.operators import quality as Q
+from seqframe.operators.placement import narrow
+from seqframe.session import written
 from seqframe.sources import tables
+from seqframe.sources.readers import file_position, with_file_ordinal
 
 TABLE_COLUMNS = ("ord", KEY, "target", "tokens")
 
@@ -39,6 +44,10 @@ class Converted:
     cleaned: DataFrame
     rows: DataFrame
 
+    def materialized(self) -> Converted:
+        """The same with its rows written once to the shared folder (action)."""
+        return replace(self, rows=written(self.rows))
+
     @property
     def table(self) -> DataFrame:
         return self.rows.select(*TABLE_COLUMNS)
@@ -66,8 +75,9 @@ class Converted:
     @property
     def profile(self) -> DataFrame:
         """What a manifest would declare about the two tables, from one pass over ``rows``."""
-        table, samples = self.table, self.samples
-        row = D.row_digest(*[D.cell_text(table, c) for c in TABLE_COLUMNS])
+        samples = self.samples
+        # From the slice, not the tokens: what the encoder should have written, not what it wrote.
+        row = Q.table_row_digest(self.table, pad_text(F.col("slice"), self.options.width))
         side = D.row_digest(*[_nested(samples, self.rows, c) for c in samples.columns])
         hashed = self.rows.select(row.alias("_t"), side.alias("_s"))
         n = F.count(F.lit(1))
@@ -141,13 +151,10 @@ def write_dataset(
     The placed rows are computed once, into the shared folder; every later step reads the columns
     it needs from there. Digests are taken from the files as they stand on disk.
     """
-    from seqframe.session import written
-
     ds, opts = converted.dataset, converted.options
     spark = ds.df.sparkSession
-    rows = written(converted.rows)
-    table = rows.select(*TABLE_COLUMNS)
-    samples = samples_of(rows, ds.metadata_fields)
+    converted = converted.materialized()
+    table, samples = converted.table, converted.samples
     n_rows = tables.refuse_bad_table(table, opts.width, ds.n_targets, ds.semantics)
 
     tables.write_wide_table(table, f"{path}/table", opts.width, ds.n_targets, fmt=fmt)
@@ -162,7 +169,7 @@ def write_dataset(
         "format": TABLE_FORMAT,
         "version": TABLE_VERSION,
         "columns": tables.columns_block(opts.width, ds.n_targets),
-        "manifest": _manifest(converted, rows, fmt, config_hash, extra) | {"n_samples": n_rows},
+        "manifest": _manifest(converted, fmt, config_hash, extra) | {"n_samples": n_rows},
     }
     payload["manifest"] |= _digests(spark, path, payload, fmt)
     tables.write_manifest(spark, payload, f"{path}/manifest")
@@ -170,26 +177,26 @@ def write_dataset(
 
 
 def _digests(spark, path: str, payload: dict[str, Any], fmt: str) -> dict[str, Any]:
-    from seqframe.operators.placement import narrow
-    from seqframe.sources.readers import file_position, with_file_ordinal
-
     reader = spark.read.options(**tables.CSV) if fmt == "csv" else spark.read
     wide = reader.format(fmt).load(f"{path}/table")
     wide = with_file_ordinal(wide.select(file_position().alias("_at"), "*"))
     columns = payload["columns"]
     table = narrow(wide, len(columns["feature_columns"]), len(columns["target_columns"]), keep=("ord",))
-    _, content = tables.table_digest(table, [KEY, "target", "tokens"])
     samples = tables.read_samples(spark, path, fmt)
-    n, sidecar = tables.table_digest(samples, [c for c in samples.columns if c != "ord"])
-    return {"content_hash": content, "samples_content_hash": sidecar, "samples_n_rows": n}
+    sidecar = Q.ordered_digest(samples, ["ord"], [c for c in samples.columns if c != "ord"]).first()
+    return {
+        "content_hash": Q.table_digest(table).first().content_digest,
+        "samples_content_hash": sidecar.content_digest,
+        "samples_n_rows": sidecar.n_rows,
+    }
 
 
 def _manifest(
-    converted: Converted, rows: DataFrame, fmt: str, config_hash: str, extra: Mapping[str, Any] | None
+    converted: Converted, fmt: str, config_hash: str, extra: Mapping[str, Any] | None
 ) -> dict[str, Any]:
     ds, opts = converted.dataset, converted.options
     windowed = opts.policy is LengthPolicy.WINDOW
-    totals = placement.conversion_totals(rows).first().asDict()
+    totals = converted.totals.first().asDict()
     return {
         "source": ds.name,
         "source_url": ds.source_url,

@@ -71,12 +71,13 @@ _TEXTS = (
 def table_facts(table: DataFrame, slice_digest: str = "sha2-256") -> DataFrame:
     """One row: everything a single pass over the table can tell."""
     rows = Q.row_facts(table)
-    ordered = D.cell_text(table, "ord")
+    key, order = D.cell_text(table, KEY), D.cell_text(table, "ord")
+    cell = Q.token_cell(F.col("in_range") & ~F.col("has_non_integer"), F.col("_row"), F.col("tokens"))
     marked = rows.select(
         "*",
-        D.row_digest(ordered, *[D.cell_text(table, c) for c in (KEY, "target", "tokens")]).alias("_content"),
-        D.row_digest(ordered, F.col("_key")).alias("_order"),
-        D.row_digest(F.col("_key"), D.text_digest(F.col("decoded"), slice_digest)).alias("_slice"),
+        Q.table_row_digest(table, cell).alias("_content"),
+        D.row_digest(order, key).alias("_order"),
+        D.row_digest(key, D.text_digest(F.col("decoded"), slice_digest)).alias("_slice"),
     )
     zero = F.lit(0)
     return marked.agg(

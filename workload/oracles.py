@@ -195,7 +195,7 @@ put(
         f"select count(*) as n_rows, {lanes('h')} as content_digest from d"),
 )
 TABLE_ROW = row_digest(
-    "ord::varchar", "sample_id", "concat(quality::varchar, ',', toxic::varchar)", tokens("left(sequence, 64)", 64)
+    "ord::varchar", "sample_id", "concat(quality::varchar, ',', toxic::varchar)", "rpad(left(sequence, 64), 64, '@')"
 )
 put(
     "table_digest",
@@ -505,6 +505,7 @@ def check_rows(ctes: str, skipped: tuple[str, ...], failing: dict[str, str]) ->
 
 EMPTY = "(select count(*) filter (r = repeat('@', 64)) = 0 from sound)"
 put("validate_table", check_rows(ROWS, NOT_EMITTED["sound"], {"no_row_is_silently_empty": EMPTY}))
+put("validate_1000_wide", ORACLES["validate_table"])
 RANGE_OK = "(select count(*) filter (contains(f, '[')) = 0 from ranged)"
 put(
     "validate_range_fault",
