@@ -225,6 +225,27 @@ def explode_pairs(df: DataFrame, natural: str, generated: str) -> DataFrame:
     return df.select(*shared, F.inline(sides))
 
 
+def union_extracts(a: DataFrame, b: DataFrame, key: str = "sample_id") -> DataFrame:
+    """Two extracts of one source without their shared rows.
+
+    Keys come from content, so equal keys mean equal rows and either may stay;
+    ``extract_conflicts`` lists the keys for which that is not so.
+    """
+    return a.unionByName(b, allowMissingColumns=True).dropDuplicates([key])
+
+
+def extract_conflicts(a: DataFrame, b: DataFrame, cols: Sequence[str], key: str = "sample_id") -> DataFrame:
+    """Keys that name different content in the two extracts."""
+    rows = a.select(key, *cols).unionByName(b.select(key, *cols))
+    digest = F.xxhash64(*cols)
+    return (
+        rows.groupBy(key)
+        .agg(F.min(digest).alias("_lo"), F.max(digest).alias("_hi"))
+        .filter(F.col("_lo") != F.col("_hi"))
+        .select(key)
+    )
+
+
 # ---- small reports ----------------------------------------------------------------------------
 
 

@@ -14,7 +14,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqframe.session import written
+from seqframe.session import broadcast_if_small, written
 
 _INDEX_BITS = 33  # monotonically_increasing_id: partition number above, row index below
 
@@ -60,8 +60,15 @@ def rank_in_group(
 
 
 def repeat_counter(df: DataFrame, key: str, order: Sequence[str], name: str = "repeat") -> DataFrame:
-    """How many earlier rows carry the same content key."""
-    return rank_in_group(df, [key], order, name)
+    """How many earlier rows carry the same content key (action: one sorted write of repeated keys).
+
+    Only rows whose key repeats are ranked; every other row is its key's first. Where repeats are
+    few, their ranks are broadcast to the rows and the payload is not shuffled.
+    """
+    repeated = duplicate_keys(df, key).select(key)
+    rows = df.select(key, *order).join(repeated, key, "left_semi")
+    later = rank_in_group(rows, [key], order, name).filter(F.col(name) > 0).drop(key)
+    return df.join(later, list(order), "left").withColumn(name, F.coalesce(F.col(name), F.lit(0)))
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int, top_k: int = 100_000) -> DataFrame:
@@ -111,13 +118,22 @@ def strided_blocks(
     """Rows of evenly spaced blocks, at most ``max_rows`` in block order (action).
 
     With ``ordinal`` the rows already carry dense positions and nothing is sorted: the blocks are a
-    filter. Otherwise positions come from ``order``. Adds ``block`` (1-based), ``block_start`` and
+    filter. Otherwise positions come from ``order``, columns without nulls that no two rows share.
+    Adds ``block`` (1-based), ``block_start`` and
     ``position``. Blocks that overlap repeat the shared rows, as reading each block would.
     """
     if ordinal is None:
-        df = ordinals(df, order or [], "position")
-    elif ordinal != "position":
-        df = df.withColumnRenamed(ordinal, "position")
+        keys = list(order or [])
+        positions = ordinals(df.select(*keys), keys, "position")
+        chosen = _in_blocks(positions, n_blocks, block_rows, max_rows)
+        if set(df.columns) == set(keys):
+            return chosen
+        # Only keys were sorted; the other columns join the few chosen rows.
+        return df.join(broadcast_if_small(chosen), keys)
+    return _in_blocks(df.withColumnRenamed(ordinal, "position"), n_blocks, block_rows, max_rows)
+
+
+def _in_blocks(df: DataFrame, n_blocks: int, block_rows: int, max_rows: int) -> DataFrame:
     total = df.count()
     blocks, taken = [], 0
     for number, start in enumerate(block_starts(total, n_blocks), 1):

@@ -37,8 +37,7 @@ def pairs_dataset(
     status = K.pair_status(_cap(rows, ["ord"], max_pairs), "natural_dna", generated)
     kept = status.filter(F.col("pair_drop").isNull()).drop("pair_drop")
     keyed = K.content_key(kept, ["organism", "GeneID", "description", "natural_dna"])
-    counter = R.repeat_counter(keyed.select("content_key", "ord"), "content_key", ["ord"])
-    numbered = keyed.join(counter.select("ord", "repeat"), "ord")
+    numbered = R.repeat_counter(keyed, "content_key", ["ord"])
     suffix = F.when(F.col("repeat") == 0, "").otherwise(F.concat(F.lit("_"), F.col("repeat").cast("string")))
     named = numbered.withColumn("pair_id", F.concat(F.lit("ct_"), F.col("content_key"), suffix))
     members = K.explode_pairs(named, "natural_dna", generated)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from seqframe.model import Alphabet, Dataset, LengthPolicy, Options
 from seqframe.operators import linking as K
 from seqframe.operators import quality as Q
+from seqframe.operators.projection import select_target
 from seqframe.plans import validate as V
 from seqframe.plans.convert import convert, run_inventory, write_dataset, write_run_inventory
 from seqframe.plans.projection import project_targets, projection_contract, source_contract
@@ -67,8 +68,7 @@ def test_a_written_dataset_reads_back_and_validates(spark, tmp_path, fmt, policy
     assert ids[0].startswith("001") and ids == [r.sample_id for r in samples.orderBy("ord").collect()]
     assert samples.orderBy("ord").first().note == 'q"u,o'
     if fmt == "csv":
-        shape = W.dataset_shape(spark, path).first()
-        assert shape.n_rows == m["n_samples"] and shape.widths == [7]
+        assert [tuple(r) for r in W.dataset_shape(spark, path).collect()] == [(7, m["n_samples"])]
         assert W.read_key_as_text(spark, path, "target").columns == ["sample_id", "target"]
 
 
@@ -164,6 +164,27 @@ def test_a_target_digest_binds_keys_values_and_order(spark):
     assert changed[0] == base[0] and changed[1] != base[1]
 
 
+def test_one_target_of_many(spark):
+    ds = dataset(spark, [("a", "AC", [0, 1])], n_targets=2)
+    assert select_target(ds.df, 1).first().label == [1]
+
+
+def test_checks_are_kept_as_a_table_and_as_json(spark, tmp_path):
+    c = convert(dataset(spark, ROWS), Options(width=4))
+    W.write_checks(V.validate_table(c.table, c.samples, c.profile, c.dataset.semantics), str(tmp_path / "c"))
+    assert spark.read.parquet(str(tmp_path / "c" / "table")).count() == 26
+    assert spark.read.json(str(tmp_path / "c" / "json")).filter("passed").count() == 26
+
+
+def test_a_csv_row_of_another_width_is_seen(spark, tmp_path):
+    path = str(tmp_path / "d")
+    write_dataset(convert(dataset(spark, ROWS), Options(width=4)), path)
+    (tmp_path / "d" / "table" / "zz.csv").write_text('sample_id,target,position_1,position_2,position_3,position_4\n\n"a,b",1,2,3\n')
+    assert {tuple(r) for r in W.dataset_shape(spark, path).collect()} == {(6, 4), (4, 1)}
+    checks = {c.name: c.passed for c in V.validate_dataset(spark, path).collect()}
+    assert not checks["all_position_columns_integer"] and not checks["sidecar_counts_match_manifest"]
+
+
 def test_run_inventory(spark, tmp_path):
     path = str(tmp_path / "d")
     payload = write_dataset(convert(dataset(spark, ROWS), Options(width=4)), path)

@@ -243,6 +243,12 @@ put(
     "pairs_dataset",
     f"{with_ctes('pairs')}, {PAIRS} {pair_side('natural', 0, 'natural_dna')} union all {pair_side('finetune', 1, 'finetune_dna')}",
 )
+put("union_extracts", f"{with_ctes('all_labelled')} select sample_id, sequence from all_labelled")
+put(
+    "extract_conflicts",
+    f"""{with_ctes('dna', 'protein')} select d.doc_id::varchar as sample_id from dna d join protein p on d.doc_id = p.doc_id
+      where d.b <> p.b""",
+)
 LINE_ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
 put(
     "repeat_counter",

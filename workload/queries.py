@@ -255,12 +255,27 @@ def pairs_dataset(x: Inputs) -> DataFrame:
     )
 
 
+@query
+def union_extracts(x: Inputs) -> DataFrame:
+    """Every document once, from the labelled extract and the whole."""
+    whole, part = x.all_labelled.select("sample_id", "sequence"), x.labelled.select("sample_id", "sequence")
+    return K.union_extracts(whole, part)
+
+
+@query
+def extract_conflicts(x: Inputs) -> DataFrame:
+    """Documents that read differently once encoded as residues instead of nucleotides."""
+    a = x.all_labelled.select("sample_id", "sequence")
+    b = x.protein.select(F.col("doc_id").cast("string").alias("sample_id"), F.col("b").alias("sequence"))
+    return K.extract_conflicts(a, b, ["sequence"])
+
+
 @query
 def repeat_counter(x: Inputs) -> DataFrame:
     """Rank of every line among those of its key, where a few keys hold all the lines."""
     lines = x.lineitem.select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    return R.repeat_counter(lines, "l_returnflag", order)
+    return R.repeat_counter(lines, "l_returnflag", order).select(*lines.columns, "repeat")
 
 
 @query
@@ -564,7 +579,7 @@ def sidecar(x: Inputs, table: DataFrame) -> DataFrame:
 def parity_dataset(x: Inputs) -> Dataset:
     df = x.all_labelled.select(
         "ord", "sample_id", "sequence", F.array("even").alias("label"), F.lit("documents").alias("source")
-    ).filter(F.length("sequence") > 0)
+    )
     semantics = x.spark.createDataFrame([(0, "odd"), (1, "even")], "value INT, meaning STRING")
     return Dataset(df=df, name="documents", alphabet=DNA, semantics=semantics)
 
