@@ -60,13 +60,15 @@ def rank_in_group(
 
 
 def repeat_counter(df: DataFrame, key: str, order: Sequence[str], name: str = "repeat") -> DataFrame:
-    """How many earlier rows carry the same content key (action: one sorted write of repeated keys).
+    """How many earlier rows carry the same content key (action: the keys are written
+    once, the repeated ones once more, sorted).
 
     Only rows whose key repeats are ranked; every other row is its key's first. Where repeats are
     few, their ranks are broadcast to the rows and the payload is not shuffled.
     """
-    repeated = duplicate_keys(df, key).select(key)
-    rows = df.select(key, *order).join(repeated, key, "left_semi")
+    keys = written(df.select(key, *order))
+    repeated = duplicate_keys(keys, key).select(key)
+    rows = keys.join(repeated, key, "left_semi")
     later = rank_in_group(rows, [key], order, name).filter(F.col(name) > 0).drop(key)
     return df.join(later, list(order), "left").withColumn(name, F.coalesce(F.col(name), F.lit(0)))
 
@@ -82,6 +84,13 @@ def first_rows(df: DataFrame, order: Sequence[str], n: int, top_k: int = 100_000
     return ordinals(df, order, "_pos").filter(F.col("_pos") < n).drop("_pos")
 
 
+def capped(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows of a table with wide rows (action): the cut is made on the order columns
+    alone, which no two rows share, and the rows are then picked by them."""
+    chosen = written(first_rows(df.select(*order), order, n))
+    return df.join(broadcast_if_small(chosen), list(order), "left_semi")
+
+
 def round_robin_cap(members: DataFrame, n: int) -> DataFrame:
     """Walk the classes in turn and take the next unseen member, until ``n`` are taken (action).
 

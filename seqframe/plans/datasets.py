@@ -20,7 +20,7 @@ def _meaning(spark: SparkSession, pairs: Mapping[int, str]) -> DataFrame:
 
 
 def _cap(df: DataFrame, order: Sequence[str], n: int | None) -> DataFrame:
-    return df if n is None else R.first_rows(df, order, n)
+    return df if n is None else R.capped(df, order, n)
 
 
 def pairs_dataset(

@@ -10,8 +10,10 @@ from pyspark.sql import types as T
 
 from seqframe.functions.letters import clip_text, uri_fragment
 from seqframe.model import require_columns
+from seqframe.session import broadcast_if_small, written
 
 MALFORMED = "_malformed"
+SPLITS = 1_000_000  # file blocks or files whose one row each may be broadcast
 
 # What a nucleotide line of a FASTA file and a line of a membership list look like,
 # the columns each source must have, and the prefixes of the value columns.
@@ -39,10 +41,12 @@ def file_position() -> Column:
 
 
 def with_file_ordinal(df: DataFrame, at: str = "_at", name: str = "ord") -> DataFrame:
-    """Replace a ``file_position`` column by the dense 0-based row number over all files.
+    """Replace a ``file_position`` column by the dense 0-based row number over all files (action: one
+    pass over the row numbers).
 
     No sort: each file block adds its row count to the blocks after it, and a row adds its index in
-    its block. The running sum sees one row per block.
+    its block. The running sum sees one row per block, and so does the broadcast, if they are few
+    enough.
     """
     block = [F.col(f"{at}.{c}").alias(f"_{c}") for c in ("path_length", "path", "block")]
     keys = ["_path_length", "_path", "_block"]
@@ -51,7 +55,7 @@ def with_file_ordinal(df: DataFrame, at: str = "_at", name: str = "ord") -> Data
     before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     return (
-        marked.join(offsets, keys)
+        marked.join(broadcast_if_small(written(offsets), SPLITS), keys)
         .withColumn(name, F.col("_offset") + F.col("_row") - F.col("_first"))
         .drop(*keys, "_row", "_first", "_offset")
     )
@@ -143,7 +147,7 @@ def _fasta_records(spark: SparkSession, path: str) -> DataFrame:
     """``(at, pos, headed, lines)``, one row per record.
 
     The reader splits at the marker, so a large file stays splittable. Only the first record of a
-    file can lack a header; which record that is takes one light pass over the row numbers.
+    file can lack a header; which record that is takes one light pass over the row numbers (action).
     """
     raw = spark.read.option("lineSep", "\n>").text(path).select(file_position().alias("at"), "value")
     opening = (
@@ -152,7 +156,8 @@ def _fasta_records(spark: SparkSession, path: str) -> DataFrame:
         .agg(F.min("at.row").alias("first_row"))
     )
     opens = (F.col("at.block") == 0) & (F.col("at.row") == F.col("first_row"))
-    known = raw.withColumn("path", F.col("at.path")).join(opening, "path", "left")
+    files = broadcast_if_small(written(opening), SPLITS)
+    known = raw.withColumn("path", F.col("at.path")).join(files, "path", "left")
     # An indented marker is a header too; the reader's separator cannot see it.
     pieces = known.select(
         "at",

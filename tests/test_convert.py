@@ -141,7 +141,7 @@ def test_per_target_tables(spark, tmp_path):
     contract = projection_contract(long)
     one = source_contract(contract).first()
     assert one.slugs == ["alpha_one", "beta", "g"] and one.row_count == 2 and len(set(one.hashes)) == 3
-    W.write_per_target(long, convert(ds, Options(width=4)).table, str(tmp_path / "p"), 4)
+    W.write_per_target(convert(ds, Options(width=4)).table, ds.target_names, str(tmp_path / "p"), 4)
     back = spark.read.parquet(str(tmp_path / "p" / "slug=beta"))
     assert back.columns == ["sample_id", "target", "position_1", "position_2", "position_3", "position_4"]
     assert {(r.sample_id, r.target) for r in back.collect()} == {("a", 1), ("b", 0)}
