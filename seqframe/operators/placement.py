@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqframe.functions import tokens as T
@@ -179,17 +179,14 @@ def widen(df: DataFrame, width: int, n_targets: int, keep: Sequence[str] = ()) -
 def narrow(wide: DataFrame, width: int, n_targets: int, keep: Sequence[str] = ()) -> DataFrame:
     """The array form of a wide table; a cell that is not an exact integer becomes null."""
 
-    def integer(name: str):
-        cell = F.col(name)
-        if wide.schema[name].dataType.typeName() == "string":
-            return F.when(cell.rlike("^-?[0-9]+$"), F.expr(f"try_cast(`{name}` AS INT)"))
-        return F.expr(f"try_cast(`{name}` AS INT)")
+    def integers(names: list[str]) -> Column:
+        return F.array(*names).try_cast("array<int>")
 
     return wide.select(
         *keep,
         KEY,
-        F.array(*[integer(n) for n in target_columns(n_targets)]).alias("target"),
-        F.array(*[integer(n) for n in position_columns(width)]).alias("tokens"),
+        integers(target_columns(n_targets)).alias("target"),
+        integers(position_columns(width)).alias("tokens"),
     )
 
 

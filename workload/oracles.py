@@ -629,6 +629,20 @@ put(
       where s.n is null or w.i is null or s.n > 1""",
 )
 
+# ---- files ------------------------------------------------------------------------------------
+
+put("dataset_files", ORACLES["validate_table"])
+put(
+    "fasta_sequences",
+    f"""{with_ctes('elements')} select element, case when doc_id % 7 = 0 then left(sequence, length(sequence) // 2) else sequence end
+      as sequence from elements""",
+)
+put("fasta_quarantine", f"{with_ctes('elements')} select concat('!broken ', doc_id::varchar) as line from elements where doc_id % 7 = 0")
+put("pair_csv_drops", ORACLES["pair_drops"])
+put("one_hot_csv", f"with {FIRST_EVENT} select user_id::varchar as user_id, concat('e_', k) as class from first_event")
+put("sequence_dictionary", f"{with_ctes('dictionary')} select id, sequence from dictionary")
+put("file_order", "select i as at, i as ord from (select unnest(range((select count(*) from lineitem))) as i) t")
+
 # ---- sampling and tallies ---------------------------------------------------------------------
 
 BLOCKS = f"""with numbered as (select {LINE_ORDER}, row_number() over (order by {LINE_ORDER}) - 1 as position from lineitem),

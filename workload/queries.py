@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,9 @@ from seqframe.plans import audit as A
 from seqframe.plans import datasets as D
 from seqframe.plans import projection as J
 from seqframe.plans import validate as V
-from seqframe.plans.convert import Converted, convert
+from seqframe.plans.convert import Converted, convert, write_dataset
+from seqframe.session import shared_dir
+from seqframe.sources import readers as S
 from workload.inputs import Inputs
 
 DNA, PROTEIN = Alphabet.DNA_NUCLEOTIDE, Alphabet.AMINO_ACID
@@ -27,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 WIDTH, STRIDE, CAP = 256, 128, 8
+LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 CLASSES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
@@ -771,10 +775,77 @@ def index_coverage(x: Inputs) -> DataFrame:
     return A.index_coverage(lines, "l_orderkey", "i", "n")
 
 
-# ---- sampling and tallies ---------------------------------------------------------------------
+# ---- files: written from the tables by Spark, read back by the readers -------------------------
+
+
+def folder(x: Inputs) -> str:
+    return f"{shared_dir(x.spark)}/seqframe-{uuid.uuid4().hex}"
+
+
+@query
+def dataset_files(x: Inputs) -> DataFrame:
+    """Convert, write as CSV with sidecar and manifest, read back, validate."""
+    path = folder(x)
+    write_dataset(convert(parity_dataset(x), Options(width=64)), path)
+    return V.validate_dataset(x.spark, path).select("ordinal", "name", "passed")
+
+
+def fasta_path(x: Inputs) -> str:
+    """Elements as FASTA; every seventh record breaks off half way with a line that is no sequence."""
+    path, half = folder(x), (F.length("sequence") / 2).cast("int")
+    broken = F.concat(
+        F.left("sequence", half), F.lit("\n!broken "), F.col("doc_id").cast("string"), F.lit("\n"),
+        F.substring(F.col("sequence"), half + 1, F.length("sequence")),
+    )
+    body = F.when(F.col("doc_id") % 7 == 0, broken).otherwise(F.col("sequence"))
+    x.elements.select(F.concat(F.lit(">"), "element", F.lit("\n"), body).alias("value")).write.text(path)
+    return path
+
+
+@query
+def fasta_sequences(x: Inputs) -> DataFrame:
+    return S.read_fasta(x.spark, fasta_path(x))[0]
+
+
+@query
+def fasta_quarantine(x: Inputs) -> DataFrame:
+    return S.read_fasta(x.spark, fasta_path(x))[1]
+
+
+@query
+def pair_csv_drops(x: Inputs) -> DataFrame:
+    path = folder(x)
+    x.pairs.drop("ord").write.options(header=True, escape='"').csv(path)
+    rows = S.well_formed(S.read_pair_csv(x.spark, path, multi_line=False))
+    return D.pairs_dataset(rows).stats["pair_drops"]
+
+
+@query
+def one_hot_csv(x: Inputs) -> DataFrame:
+    path = folder(x)
+    x.one_hot.write.options(header=True).csv(path)
+    return K.collapse_one_hot(S.read_one_hot(x.spark, path), "user_id")
 
-LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
+@query
+def sequence_dictionary(x: Inputs) -> DataFrame:
+    path = folder(x)
+    x.dictionary.select(F.concat_ws("\t", "id", "sequence").alias("value")).write.text(path)
+    return S.read_sequence_dict(x.spark, path)
+
+
+@query
+def file_order(x: Inputs) -> DataFrame:
+    """Rows written in order come back with the same dense positions."""
+    path = folder(x)
+    lines = R.ordinals(x.lineitem.select(*LINE_ORDER), LINE_ORDER, "at")
+    lines.repartitionByRange("at").sortWithinPartitions("at").write.options(header=True).csv(path)
+    text = S.read_csv_text(x.spark, path, multi_line=False)
+    ranked = S.with_file_ordinal(text.select(S.file_position().alias("_at"), F.col("at").cast("bigint").alias("at")))
+    return ranked.select("at", "ord")
+
+
+# ---- sampling and tallies ---------------------------------------------------------------------
 
 @query
 def strided_blocks(x: Inputs) -> DataFrame:
