@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqframe.functions import letters as L
@@ -82,8 +82,17 @@ def quarantine_table(cleaned: DataFrame, key: str = "sample_id") -> DataFrame:
 
 def cleaning_report(cleaned: DataFrame) -> DataFrame:
     """The scalar counters of one source in one row, from one pass."""
+    return cleaned.agg(*_counters())
+
+
+def full_report(cleaned: DataFrame, alphabet: Alphabet, col: str = "sequence") -> DataFrame:
+    """The counters and, as ``ambiguity_<letter>``, the kept ambiguity letters, from one pass."""
+    return cleaned.agg(*_counters(), *_ambiguity_sums(Alphabet(alphabet), col, "ambiguity_"))
+
+
+def _counters() -> list[Column]:
     flag = F.count_if
-    return cleaned.agg(
+    return [
         F.count(F.lit(1)).alias("seen"),
         flag("uppercased").alias("uppercased"),
         flag("whitespace_stripped").alias("whitespace_stripped"),
@@ -93,7 +102,16 @@ def cleaning_report(cleaned: DataFrame) -> DataFrame:
         flag(F.col("reason") == EMPTY).alias("quarantined_empty"),
         flag(F.col("reason") == INVALID).alias("quarantined_invalid"),
         flag("nucleotide_lookalike").alias("protein_sequences_using_only_nucleotide_letters"),
-    )
+    ]
+
+
+def _ambiguity_sums(alphabet: Alphabet, col: str, prefix: str = "") -> list[Column]:
+    """One sum per ambiguity letter over the rows that passed."""
+    kept = F.when(F.col("reason").isNull(), F.col(col))
+    return [
+        F.coalesce(F.sum(L.letter_count(kept, c)), F.lit(0)).alias(f"{prefix}{c}")
+        for c in sorted(alphabet.ambiguity)
+    ]
 
 
 def quarantine_reasons(cleaned: DataFrame) -> DataFrame:
@@ -105,9 +123,7 @@ def quarantine_reasons(cleaned: DataFrame) -> DataFrame:
 def ambiguity_profile(cleaned: DataFrame, alphabet: Alphabet, col: str = "sequence") -> DataFrame:
     """``(letter, n)`` of the ambiguity letters kept in clean sequences: one sum per letter."""
     codes = sorted(Alphabet(alphabet).ambiguity)
-    sums = cleaned.filter(F.col("reason").isNull()).agg(
-        *[F.coalesce(F.sum(L.letter_count(F.col(col), c)), F.lit(0)).alias(c) for c in codes]
-    )
+    sums = cleaned.agg(*_ambiguity_sums(Alphabet(alphabet), col))
     long = sums.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("letter"), F.col(c).alias("n")) for c in codes]))
     )

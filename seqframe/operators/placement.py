@@ -168,11 +168,12 @@ def conversion_totals(placed: DataFrame) -> DataFrame:
 
 def widen(df: DataFrame, width: int, n_targets: int, keep: Sequence[str] = ()) -> DataFrame:
     """Key, targets, positions as columns. Sink-time only: narrower forms keep code generation."""
-    return df.select(
+    # As text: a thousand columns are one parse instead of thousands of calls.
+    return df.selectExpr(
         *keep,
         KEY,
-        *[F.col("target")[i].alias(n) for i, n in enumerate(target_columns(n_targets))],
-        *[F.col("tokens")[i].alias(n) for i, n in enumerate(position_columns(width))],
+        *[f"target[{i}] AS {n}" for i, n in enumerate(target_columns(n_targets))],
+        *[f"tokens[{i}] AS {n}" for i, n in enumerate(position_columns(width))],
     )
 
 
@@ -180,7 +181,7 @@ def narrow(wide: DataFrame, width: int, n_targets: int, keep: Sequence[str] = ()
     """The array form of a wide table; a cell that is not an exact integer becomes null."""
 
     def integers(names: list[str]) -> Column:
-        return F.array(*names).try_cast("array<int>")
+        return F.expr(f"try_cast(array({', '.join(names)}) AS ARRAY<INT>)")
 
     return wide.select(
         *keep,

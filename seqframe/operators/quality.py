@@ -51,9 +51,14 @@ def token_cell(facts_in_range: Column, row_text: Column, tokens: Column | None =
     return F.when(F.coalesce(facts_in_range, F.lit(False)), row_text).otherwise(numbers)
 
 
+def table_body_digest(table: DataFrame, tokens: Column) -> Column:
+    """Digest of what a table row says, wherever it stands: key, targets and the token text."""
+    return D.row_digest(D.cell_text(table, KEY), D.cell_text(table, "target"), tokens)
+
+
 def table_row_digest(table: DataFrame, tokens: Column) -> Column:
-    """Digest of one table row: order, key, targets and the token text."""
-    return D.row_digest(*[D.cell_text(table, c) for c in ("ord", KEY, "target")], tokens)
+    """Digest of one table row in its place."""
+    return D.row_digest(D.cell_text(table, "ord"), table_body_digest(table, tokens))
 
 
 def table_digest(table: DataFrame) -> DataFrame:

@@ -27,10 +27,9 @@ from seqframe.model import (
 )
 from seqframe.operators import cleaning, placement
 from seqframe.operators import quality as Q
-from seqframe.operators.placement import narrow
+from seqframe.operators.ranking import ordinals
 from seqframe.session import written
 from seqframe.sources import tables
-from seqframe.sources.readers import file_position, with_file_ordinal
 
 TABLE_COLUMNS = ("ord", KEY, "target", "tokens")
 
@@ -149,7 +148,7 @@ def write_dataset(
     """Guard, write, digest what was written, and write the manifest last (action).
 
     The placed rows are computed once, into the shared folder; every later step reads the columns
-    it needs from there. Digests are taken from the files as they stand on disk.
+    it needs from there.
     """
     ds, opts = converted.dataset, converted.options
     spark = ds.df.sparkSession
@@ -157,8 +156,9 @@ def write_dataset(
     table, samples = converted.table, converted.samples
     n_rows = tables.refuse_bad_table(table, opts.width, ds.n_targets, ds.semantics)
 
-    tables.write_wide_table(table, f"{path}/table", opts.width, ds.n_targets, fmt=fmt)
-    tables.write_samples(samples, f"{path}/samples", fmt=fmt)
+    parts = tables.file_count(table, n_rows)
+    tables.write_wide_table(table, f"{path}/table", opts.width, ds.n_targets, fmt=fmt, parts=parts)
+    tables.write_samples(samples, f"{path}/samples", fmt=fmt, parts=parts)
     converted.quarantine.write.parquet(f"{path}/quarantine")
     semantics = ds.semantics
     if semantics is None:
@@ -171,21 +171,24 @@ def write_dataset(
         "columns": tables.columns_block(opts.width, ds.n_targets),
         "manifest": _manifest(converted, fmt, config_hash, extra) | {"n_samples": n_rows},
     }
-    payload["manifest"] |= _digests(spark, path, payload, fmt)
+    payload["manifest"] |= _digests(converted, path, fmt)
     tables.write_manifest(spark, payload, f"{path}/manifest")
     return payload
 
 
-def _digests(spark, path: str, payload: dict[str, Any], fmt: str) -> dict[str, Any]:
-    reader = spark.read.options(**tables.CSV) if fmt == "csv" else spark.read
-    wide = reader.format(fmt).load(f"{path}/table")
-    wide = with_file_ordinal(wide.select(file_position().alias("_at"), "*"))
-    columns = payload["columns"]
-    table = narrow(wide, len(columns["feature_columns"]), len(columns["target_columns"]), keep=("ord",))
-    samples = tables.read_samples(spark, path, fmt)
+def _digests(converted: Converted, path: str, fmt: str) -> dict[str, Any]:
+    """Digests of the table as it should stand on disk and of the sidecar as it does.
+
+    Only one digest per row is sorted to give it its place, not the row.
+    """
+    rows = converted.rows
+    body = Q.table_body_digest(rows, pad_text(F.col("slice"), converted.options.width))
+    placed = ordinals(rows.select("ord", body.alias("_body")), ["ord"], "_place")
+    content = placed.select(D.row_digest(F.col("_place").cast("string"), F.col("_body")).alias("_d"))
+    samples = tables.read_samples(rows.sparkSession, path, fmt)
     sidecar = Q.ordered_digest(samples, ["ord"], [c for c in samples.columns if c != "ord"]).first()
     return {
-        "content_hash": Q.table_digest(table).first().content_digest,
+        "content_hash": content.agg(D.combined_digest("_d").alias("d")).first().d,
         "samples_content_hash": sidecar.content_digest,
         "samples_n_rows": sidecar.n_rows,
     }
@@ -197,6 +200,8 @@ def _manifest(
     ds, opts = converted.dataset, converted.options
     windowed = opts.policy is LengthPolicy.WINDOW
     totals = converted.totals.first().asDict()
+    counted = cleaning.full_report(converted.cleaned, ds.alphabet).first().asDict()
+    letters = {k: v for k, v in counted.items() if k.startswith("ambiguity_")}
     return {
         "source": ds.name,
         "source_url": ds.source_url,
@@ -216,8 +221,8 @@ def _manifest(
             "residues_dropped_by_cap": totals["residues_dropped_by_window_cap"],
             "residues_removed_by_truncation": totals["residues_removed_by_truncation"],
         },
-        "cleaning": converted.report.first().asDict()
-        | {"ambiguity_counts": {r.letter: r.n for r in converted.ambiguity.collect()}},
+        "cleaning": {k: v for k, v in counted.items() if k not in letters}
+        | {"ambiguity_counts": {k.removeprefix("ambiguity_"): n for k, n in letters.items() if n}},
         "n_features": opts.width,
         "n_targets": ds.n_targets,
         "slice_digest_algorithm": opts.digest,

@@ -194,9 +194,10 @@ put(
     dna(f", d as (select {row_digest('ord::varchar', 'sample_id', 'sequence')} as h from ok) "
         f"select count(*) as n_rows, {lanes('h')} as content_digest from d"),
 )
-TABLE_ROW = row_digest(
-    "ord::varchar", "sample_id", "concat(quality::varchar, ',', toxic::varchar)", "rpad(left(sequence, 64), 64, '@')"
+BODY = row_digest(
+    "sample_id", "concat(quality::varchar, ',', toxic::varchar)", "rpad(left(sequence, 64), 64, '@')"
 )
+TABLE_ROW = row_digest("ord::varchar", BODY)
 put(
     "table_digest",
     f"{with_ctes('labelled')}, {CONVERTED}, d as (select {TABLE_ROW} as h from conv) "
