@@ -59,9 +59,8 @@ def clip_text(text: Column, size: int = 120) -> Column:
 
 
 def strip_suffix(text: Column, suffix: str) -> Column:
-    return F.when(
-        F.endswith(text, F.lit(suffix)), F.expr("''") if not suffix else F.left(text, F.length(text) - len(suffix))
-    ).otherwise(text)
+    ends = F.endswith(text, F.lit(suffix))
+    return F.when(ends, F.left(text, F.length(text) - len(suffix))).otherwise(text)
 
 
 def compose_id(file: Column, member: Column) -> Column:
