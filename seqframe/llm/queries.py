@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from seqframe.llm.mixing import mix_report
 from seqframe.llm.prefix_join import near_duplicate_classes
+from seqframe.llm.quality_rules import quality_rules
+from seqframe.llm.token_counts import token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +20,23 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(documents(spark, sf_dir), n=3, num=90, den=100)
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), limit=1024)
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(documents(spark, sf_dir))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op6_token_counts": op6_token_counts,
+    "op7_mixing": op7_mixing,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 ORACLES: dict[str, str] = {}
