@@ -89,15 +89,68 @@ def _packed(one: np.ndarray) -> bytes:
     return (one >> U(32)).astype(np.uint32).tobytes() + ((one >> U(24)) & U(255)).astype(np.uint8).tobytes()
 
 
-def _whole_sets(n: int):
+def _profile(one: np.ndarray) -> bytes:
+    """How many hashes of a set begin with each bit pattern; about one byte for a hash, or nothing if a count is too large."""
+    bits = max(6, int(len(one)).bit_length())
+    counts = np.bincount((one >> U(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
+
+
+def _whole_sets(n: int, wanted):
+    """(node, profile, set) of the documents whose node may be wanted."""
+
     def run(batches):
-        hasher = Hasher(lower=True)
+        hasher, words_, size = Hasher(lower=True), wanted.value, len(wanted.value)
         for batch in batches:
-            nodes, sets = [], []
+            nodes, profiles, sets = [], [], []
             for _, one in _sets(batch.column(0), n, hasher):
-                nodes.append(np.bitwise_xor.reduce(mixed(one + U(len(one)))) if len(one) else U(2**64 - 1))
-                sets.append(_packed(one))
-            yield pa.record_batch([pa.array(signed(np.array(nodes, U))), binaries(sets)], ["node", "set"])
+                if not len(one):
+                    continue
+                node = np.bitwise_xor.reduce(mixed(one + U(len(one)))).astype(np.int64)
+                need = np.bitwise_or.reduce(U(1) << ((node >> np.array(BLOOM_BITS)) & 63).astype(U)).astype(np.int64)
+                if words_[node % size] & need == need:
+                    nodes.append(node)
+                    profiles.append(_profile(one))
+                    sets.append(_packed(one))
+            yield pa.record_batch([pa.array(np.array(nodes, np.int64)), binaries(profiles), binaries(sets)], ["node", "profile", "set"])
+
+    return run
+
+
+#: Where in a node's hash the three bits of its word in the filter come from, and the longest filter, 8 MB.
+BLOOM_BITS = (57, 50, 43)
+BLOOM_WORDS = 1 << 20
+
+
+def _maybe(nodes: DataFrame) -> np.ndarray:
+    """A filter that says yes to every node in ``nodes`` and seldom to others, of a bounded size (action)."""
+    size = int(min(BLOOM_WORDS, max(1, nodes.count() // 6)))
+    one = F.expr(" | ".join(f"shiftleft(1L, cast(shiftright(node, {k}) & 63 as int))" for k in BLOOM_BITS))
+    found = nodes.groupBy(F.pmod("node", F.lit(size)).alias("at")).agg(F.bit_or(one).alias("bits")).toPandas()
+    words_ = np.zeros(size, np.int64)
+    words_[found["at"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return words_
+
+
+def _possible(num: int, den: int):
+    """Pairs whose profiles allow enough common shingles; no pair that links is lost."""
+
+    def bound(p: bytes, q: bytes) -> int | None:
+        if not p or not q:
+            return None
+        x, y = np.frombuffer(p, np.uint8), np.frombuffer(q, np.uint8)
+        while len(x) != len(y):
+            if len(x) > len(y):
+                x = x.reshape(-1, 2).sum(1)
+            else:
+                y = y.reshape(-1, 2).sum(1)
+        sizes, both = int(x.sum()) + int(y.sum()), int(np.minimum(x, y).sum())
+        return den * both - num * (sizes - both)
+
+    def run(batches):
+        for batch in batches:
+            keep = [(v := bound(p.as_py(), q.as_py())) is None or v >= 0 for p, q in zip(batch.column(2), batch.column(3), strict=True)]
+            yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -158,8 +211,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     lead = member.groupBy("group").agg(F.min("node").alias("node"))
     of_groups = written(entries.join(lead, "node").select("token", "place", "size", "group", F.col("node").alias("lead")))
 
-    sets = docs.join(nodes.join(entries.select("node").distinct(), "node", "left_semi").select(F.col("id").alias("id_")), F.col("id").eqNullSafe(F.col("id_")), "left_semi")
-    sets = written(sets.select("text").mapInArrow(_whole_sets(n), "node long, set binary"))
+    maybe = spark.sparkContext.broadcast(_maybe(member.select("node")))
+    sets = written(docs.select("text").mapInArrow(_whole_sets(n, maybe), "node long, profile binary, set binary"))
 
     # First round: each member against the lead of the group that comes first in most of its entries.
     hub = of_groups.groupBy("token").agg(F.min(F.struct("place", "lead", "size", "group")).alias("h"))
@@ -190,10 +243,15 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that link. Each set travels once for each pair it is in on one side only."""
-    one = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
-    two = one.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
-    return two.select("a", "b", "set_a", "set_b").mapInArrow(_verified(num, den), "a long, b long")
+    """The pairs (a, b) that link: profiles first, whole sets only for the pairs that these leave."""
+
+    def carrying(pairs: DataFrame, column: str) -> DataFrame:
+        for end in "ab":
+            pairs = pairs.join(sets.select(F.col("node").alias(end), F.col(column).alias(f"{column}_{end}")), end)
+        return pairs.select("a", "b", f"{column}_a", f"{column}_b")
+
+    left = carrying(pairs, "profile").mapInArrow(_possible(num, den), "a long, b long")
+    return carrying(left, "set").mapInArrow(_verified(num, den), "a long, b long")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
