@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqframe.llm.batches import batches_of
 from seqframe.llm.components import connected_components
 from seqframe.llm.words import Hasher, U, binaries, blocks, list_array, mixed, shingles, signed, unsigned, words
 from seqframe.session import written
@@ -194,12 +195,14 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = docs.schema["id"].dataType.simpleString()
     common = docs.select("text").mapInArrow(_common(n), "token long, docs long").groupBy("token").agg(F.sum("docs").alias("docs"))
-    common = common.orderBy(F.desc("docs"), "token").limit(COMMON_KEPT).toPandas().sort_values(["docs", "token"])
+    with batches_of(spark, 2000):
+        common = common.orderBy(F.desc("docs"), "token").limit(COMMON_KEPT).toPandas().sort_values(["docs", "token"])
     hashes, rank = unsigned(common["token"].to_numpy(np.int64)), np.arange(len(common))
     order = np.argsort(hashes)
     shared = spark.sparkContext.broadcast((hashes[order], rank[order]))
 
-    rows = written(docs.mapInArrow(_prefixes(n, num, den, shared), f"id {id_type}, size int, node long, prefix array<long>"))
+    with batches_of(spark, 2000):
+        rows = written(docs.mapInArrow(_prefixes(n, num, den, shared), f"id {id_type}, size int, node long, prefix array<long>"))
     nodes = rows.filter("size > 0").groupBy("node").agg(F.any_value("size").alias("size"), F.min("id").alias("id"), F.any_value("prefix").alias("prefix"))
     entries = nodes.select("node", "size", F.posexplode("prefix").alias("place", "token"))
     entries = entries.withColumn("k", F.count("*").over(Window.partitionBy("token"))).filter("k > 1").drop("k")
@@ -212,7 +215,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     of_groups = written(entries.join(lead, "node").select("token", "place", "size", "group", F.col("node").alias("lead")))
 
     maybe = spark.sparkContext.broadcast(_maybe(member.select("node")))
-    sets = written(docs.select("text").mapInArrow(_whole_sets(n, maybe), "node long, profile binary, set binary"))
+    with batches_of(spark, 1000):
+        sets = written(docs.select("text").mapInArrow(_whole_sets(n, maybe), "node long, profile binary, set binary"))
 
     # First round: each member against the lead of the group that comes first in most of its entries.
     hub = of_groups.groupBy("token").agg(F.min(F.struct("place", "lead", "size", "group")).alias("h"))
@@ -220,7 +224,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     near = near.filter(_may_link(num, den, "x", "y")).groupBy("group", "hub").agg(F.count("*").alias("k"))
     near = near.groupBy("group").agg(F.max(F.struct("k", "hub")).alias("h")).select("group", F.col("h.hub").alias("b"))
     first = member.join(near, "group").select(F.col("node").alias("a"), "b").filter("a != b")
-    links = written(_verify(first, sets, num, den))
+    with batches_of(spark, 1000):
+        links = written(_verify(first, sets, num, den))
     classes = written(connected_components(links))
 
     # Second round: pairs of groups with all their members in one class are done; the rest are expanded.
@@ -233,7 +238,8 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     own = spread.filter("low != high").select(F.col("group").alias("group_x"), F.col("group").alias("group_y"))
     mx, my = (state.select(F.col("group").alias(f"group_{s}"), F.col("node").alias(n_), F.col("component").alias(f"component_{s}")) for s, n_ in (("x", "a"), ("y", "b")))
     rest = pairs.union(own).join(mx, "group_x").join(my, "group_y").filter("component_x != component_y and (group_x != group_y or a < b)").select("a", "b")
-    links = links.union(_verify(rest, sets, num, den))
+    with batches_of(spark, 1000):
+        links = links.union(written(_verify(rest, sets, num, den)))
     classes = written(connected_components(links))
 
     whole = rows.select("id", "size", "node").join(classes, "node", "left").select("id", "size", F.when(F.col("size") > 0, F.coalesce("component", "node")).alias("class"))

@@ -6,20 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from seqframe.llm.decontamination import contaminations
+from seqframe.llm.language_id import language_id
+from seqframe.llm.license_scan import scan_licenses
 from seqframe.llm.mixing import mix_report
 from seqframe.llm.prefix_join import near_duplicate_classes
 from seqframe.llm.quality_rules import quality_rules
 from seqframe.llm.token_counts import token_counts
+from seqframe.llm.url_filters import filter_urls
+
+#: Rules of the contract: host, path, verdict.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
+
+
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(documents(spark, sf_dir), n=3, num=90, den=100)
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminations(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), limit=1024)
 
@@ -32,11 +51,19 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filters": op1_url_filters,
+    "op2_license_scans": op2_license_scans,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_token_counts": op6_token_counts,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLES: dict[str, str] = {}
