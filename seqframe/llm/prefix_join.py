@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from seqframe.llm.batches import batches_of
 from seqframe.llm.components import connected_components
+from seqframe.llm.sieve import passes, sieve
 from seqframe.llm.words import Hasher, U, binaries, blocks, list_array, mixed, shingles, signed, unsigned, words
 from seqframe.session import written
 
@@ -101,15 +102,14 @@ def _whole_sets(n: int, wanted):
     """(node, profile, set) of the documents whose node may be wanted."""
 
     def run(batches):
-        hasher, words_, size = Hasher(lower=True), wanted.value, len(wanted.value)
+        hasher, filter_ = Hasher(lower=True), wanted.value
         for batch in batches:
             nodes, profiles, sets = [], [], []
             for _, one in _sets(batch.column(0), n, hasher):
                 if not len(one):
                     continue
                 node = np.bitwise_xor.reduce(mixed(one + U(len(one)))).astype(np.int64)
-                need = np.bitwise_or.reduce(U(1) << ((node >> np.array(BLOOM_BITS)) & 63).astype(U)).astype(np.int64)
-                if words_[node % size] & need == need:
+                if passes(filter_, np.array([node]))[0]:
                     nodes.append(node)
                     profiles.append(_profile(one))
                     sets.append(_packed(one))
@@ -118,21 +118,6 @@ def _whole_sets(n: int, wanted):
     return run
 
 
-#: Where in a node's hash the three bits of its word in the filter come from, and the longest filter, 8 MB.
-BLOOM_BITS = (57, 50, 43)
-BLOOM_WORDS = 1 << 20
-
-
-def _maybe(nodes: DataFrame) -> np.ndarray:
-    """A filter that says yes to every node in ``nodes`` and seldom to others, of a bounded size (action)."""
-    size = int(min(BLOOM_WORDS, max(1, nodes.count() // 6)))
-    one = F.expr(" | ".join(f"shiftleft(1L, cast(shiftright(node, {k}) & 63 as int))" for k in BLOOM_BITS))
-    found = nodes.groupBy(F.pmod("node", F.lit(size)).alias("at")).agg(F.bit_or(one).alias("bits")).toPandas()
-    words_ = np.zeros(size, np.int64)
-    words_[found["at"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    return words_
-
-
 def _possible(num: int, den: int):
     """Pairs whose profiles allow enough common shingles; no pair that links is lost."""
 
@@ -214,7 +199,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     lead = member.groupBy("group").agg(F.min("node").alias("node"))
     of_groups = written(entries.join(lead, "node").select("token", "place", "size", "group", F.col("node").alias("lead")))
 
-    maybe = spark.sparkContext.broadcast(_maybe(member.select("node")))
+    maybe = spark.sparkContext.broadcast(sieve(member, "node"))
     with batches_of(spark, 1000):
         sets = written(docs.select("text").mapInArrow(_whole_sets(n, maybe), "node long, profile binary, set binary"))
 

@@ -12,6 +12,7 @@ from seqframe.llm.license_scan import scan_licenses
 from seqframe.llm.mixing import mix_report
 from seqframe.llm.prefix_join import near_duplicate_classes
 from seqframe.llm.quality_rules import quality_rules
+from seqframe.llm.repeats import repeat_report
 from seqframe.llm.token_counts import token_counts
 from seqframe.llm.url_filters import filter_urls
 
@@ -31,6 +32,10 @@ def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir))
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(documents(spark, sf_dir))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(documents(spark, sf_dir), n=3, num=90, den=100)
 
@@ -58,6 +63,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_license_scans": op2_license_scans,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_token_counts": op6_token_counts,
