@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -131,6 +132,25 @@ def predict(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "tex
     return rows.mapInArrow(_predicted(docs.sparkSession.sparkContext.broadcast(model)), f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
 
 
+def _recognised(model, at: int, least: float):
+    def run(batches):
+        predicted = _predicted(model)
+        for batch in batches:
+            texts = pa.record_batch([pa.array(range(batch.num_rows)), batch.column(at)], ["id", "text"])
+            for part in predicted([texts]):
+                keep = pc.and_(pc.not_equal(part.column(1), NONE), pc.greater_equal(part.column(2), least))
+                first = part.column(0)[0].as_py() if part.num_rows else 0
+                yield batch.slice(first, part.num_rows).filter(keep)
+
+    return run
+
+
+def recognised(docs: DataFrame, model, text_col: str = "text", least: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language with a score of ``least`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return docs.mapInArrow(_recognised(shared, docs.columns.index(text_col), least), docs.schema)
+
+
 def held_out(id_col: str, of: int, rest: int) -> F.Column:
     """Rows that no model learns from: by the CRC-32 of the id as text; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % of == rest, F.lit(False))

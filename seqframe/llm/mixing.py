@@ -106,7 +106,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     sized = keyed(docs, id_col, text_col, source_col).select("h", F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), "source_key", word_count(F.col(text_col).cast("string")).alias("size"))
     sized = written(sized)
-    sized = numbered(sized, repeated(sized)).drop("h")
+    sized = numbered(sized, written(repeated(sized))).drop("h")
 
     sources = written(source_targets(sized, weights, share, passes)).withColumn("source_key", F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), "source")))
     plan = sources.select("source_key", F.col("size").alias("source_size"), "target", F.greatest(F.lit(1), F.ceil(F.col("docs") / BLOCK_DOCS)).alias("blocks"), F.floor(F.when(F.col("size") > 0, F.col("target") / F.col("size")).otherwise(0)).alias("whole"))
@@ -145,13 +145,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, each shard shuffled (action). Columns are kept."""
+    """The rows of ``docs`` as often as the mix takes them, with mix_shard, each shard shuffled (action).
+
+    Columns are kept; helper columns may not be named h, source_key, row or copy in ``docs``, so they are renamed there.
+    """
     _, draws = mix(docs, id_col, text_col, source_col, **options)
     rows = keyed(docs, id_col, text_col, source_col)
-    rows = numbered(rows, repeated(rows)).drop("h", "source_key")
-    draws = draws.select(F.col("row").alias("row_"), "shard", "place")
-    out = rows.join(draws, F.col("row") == F.col("row_"))
-    return out.sortWithinPartitions("shard", "place").select(*docs.columns)
+    rows = numbered(rows, written(repeated(rows.select("h"))))
+    draws = draws.select(F.col("row").alias("row_"), F.col("shard").alias("shard_"), F.col("place").alias("place_"))
+    out = rows.join(draws, F.col("row") == F.col("row_")).repartition("shard_").sortWithinPartitions("shard_", "place_")
+    return out.select(*docs.columns, F.col("shard_").alias("mix_shard"))
 
 
 def mix_report(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from seqframe.llm.decontamination import contaminations
 from seqframe.llm.language_id import language_id
 from seqframe.llm.license_scan import scan_licenses
+from seqframe.llm.lm_scoring import scored_corpus
 from seqframe.llm.mixing import mix_report
 from seqframe.llm.prefix_join import near_duplicate_classes
 from seqframe.llm.quality_rules import quality_rules
@@ -60,6 +61,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(documents(spark, sf_dir))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored_corpus(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_license_scans": op2_license_scans,
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 
 ORACLES: dict[str, str] = {}

@@ -37,12 +37,12 @@ GRAM, STEP = 32, 64
 PIECE = 1 << 21
 
 
-def _pieces(column) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _pieces(column, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, offset in it, bytes, row edges); a long row comes in pieces that overlap by a window less a byte."""
     for block in blocks(column):
         if block.rows == 1 and len(block.data) > PIECE:
-            for at in range(0, len(block.data) - LENGTH + 1, PIECE):
-                part = block.data[at : at + PIECE + LENGTH - 1]
+            for at in range(0, len(block.data) - length + 1, PIECE):
+                part = block.data[at : at + PIECE + length - 1]
                 yield block.first, at, part, np.array([0, len(part)])
         else:
             yield block.first, 0, block.data, block.edges
@@ -70,7 +70,7 @@ def _anchors(length: int):
     def run(batches):
         hasher = Hasher(lower=False)
         for batch in batches:
-            for _, _, data, edges in _pieces(batch.column(0)):
+            for _, _, data, edges in _pieces(batch.column(0), length):
                 _, at = _anchored(data, edges, hasher, length)
                 own = at[np.append(True, at[1:] != at[:-1])] if len(at) else at
                 yield pa.record_batch({"anchor": signed(hasher.ranges(data, own, own + GRAM))})
@@ -88,7 +88,7 @@ def _tuples(length: int, repeated):
     def run(batches):
         hasher, wanted = Hasher(lower=False), repeated.value
         for batch in batches:
-            for first, base, data, edges in _pieces(batch.column(1)):
+            for first, base, data, edges in _pieces(batch.column(1), length):
                 starts, at = _anchored(data, edges, hasher, length)
                 if not len(starts):
                     continue
