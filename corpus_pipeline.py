@@ -34,8 +34,8 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings that occur again are cut from all texts; documents that lose all their words go."""
-    cut = without_repeats(docs.withColumn("n_chars", F.col("n_chars") - F.char_length("text")), length=REPEAT)
-    cut = cut.withColumn("n_chars", F.col("n_chars") + F.char_length("text"))
+    cut = without_repeats(docs.withColumn("n_chars", F.col("n_chars") - F.coalesce(F.char_length("text"), F.lit(0))), length=REPEAT)
+    cut = cut.withColumn("n_chars", F.col("n_chars") + F.coalesce(F.char_length("text"), F.lit(0)))
     return cut.filter(F.col("text").isNull() | (F.col("text").rlike(r"[^\x20\x09-\x0D]")))
 
 
