@@ -114,5 +114,5 @@ def _of_size(docs: DataFrame, items: DataFrame, k: int, total: int, similarity:
 
 def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without those that hold an item (action). All columns are kept."""
-    bad = contaminations(docs, items, id_col, **options).select(F.col(id_col).alias("id_")).distinct()
-    return docs.join(written(bad), F.col(id_col).eqNullSafe(F.col("id_")), "left_anti")
+    bad = contaminations(docs, items, id_col, **options).select(F.col(id_col).alias("_id")).distinct()
+    return docs.join(written(bad), F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")

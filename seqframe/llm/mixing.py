@@ -80,20 +80,20 @@ def shard_quotas(draws: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """``docs`` with h, a hash of id and text, and source_key, which tells null from any name."""
+    """``docs`` with _h, a hash of id and text, and _source_key, which tells null from any name."""
     text, source = F.col(text_col).cast("string"), F.col(source_col).cast("string")
-    return docs.withColumns({"h": F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), text), "source_key": F.when(source.isNull(), "").otherwise(F.concat(F.lit("="), source))})
+    return docs.withColumns({"_h": F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), text), "_source_key": F.when(source.isNull(), "").otherwise(F.concat(F.lit("="), source))})
 
 
 def repeated(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("h").alias("h_"))
+    return rows.groupBy("_h").agg(F.count("*").alias("_n")).filter("_n > 1").select(F.col("_h").alias("_h_"))
 
 
 def numbered(rows: DataFrame, again: DataFrame) -> DataFrame:
-    """``rows`` with row, a name for each row; only rows in ``again``, which occur repeatedly, are numbered."""
-    same = F.col("h") == F.col("h_")
-    many = rows.join(again, same, "left_semi").withColumn("copy", F.row_number().over(Window.partitionBy("h").orderBy("source_key")))
-    return rows.join(again, same, "left_anti").withColumn("copy", F.lit(1)).unionByName(many).withColumn("row", F.xxhash64("h", "copy")).drop("copy")
+    """``rows`` with _row, a name for each row; only rows in ``again``, which occur repeatedly, are numbered."""
+    same = F.col("_h") == F.col("_h_")
+    many = rows.join(again, same, "left_semi").withColumn("_copy", F.row_number().over(Window.partitionBy("_h").orderBy("_source_key")))
+    return rows.join(again, same, "left_anti").withColumn("_copy", F.lit(1)).unionByName(many).withColumn("_row", F.xxhash64("_h", "_copy")).drop("_copy")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, passes: float = 2.0, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
@@ -104,9 +104,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     Null and empty texts have size 0; null is a source of its own; equal rows are drawn one by one. ``row``
     names a row by its id, a hash of its text and a number among equal ones.
     """
-    sized = keyed(docs, id_col, text_col, source_col).select("h", F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), "source_key", word_count(F.col(text_col).cast("string")).alias("size"))
+    sized = keyed(docs, id_col, text_col, source_col).select("_h", F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), "_source_key", word_count(F.col(text_col).cast("string")).alias("size"))
     sized = written(sized)
-    sized = numbered(sized, written(repeated(sized))).drop("h")
+    sized = numbered(sized, written(repeated(sized))).drop("_h").withColumnsRenamed({"_row": "row", "_source_key": "source_key"})
 
     sources = written(source_targets(sized, weights, share, passes)).withColumn("source_key", F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), "source")))
     plan = sources.select("source_key", F.col("size").alias("source_size"), "target", F.greatest(F.lit(1), F.ceil(F.col("docs") / BLOCK_DOCS)).alias("blocks"), F.floor(F.when(F.col("size") > 0, F.col("target") / F.col("size")).otherwise(0)).alias("whole"))
@@ -147,14 +147,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with mix_shard, each shard shuffled (action).
 
-    Columns are kept; helper columns may not be named h, source_key, row or copy in ``docs``, so they are renamed there.
+    Columns are kept, in their order; mix_shard is the last.
     """
     _, draws = mix(docs, id_col, text_col, source_col, **options)
     rows = keyed(docs, id_col, text_col, source_col)
-    rows = numbered(rows, written(repeated(rows.select("h"))))
-    draws = draws.select(F.col("row").alias("row_"), F.col("shard").alias("shard_"), F.col("place").alias("place_"))
-    out = rows.join(draws, F.col("row") == F.col("row_")).repartition("shard_").sortWithinPartitions("shard_", "place_")
-    return out.select(*docs.columns, F.col("shard_").alias("mix_shard"))
+    rows = numbered(rows, written(repeated(rows.select("_h"))))
+    draws = draws.select(F.col("row").alias("_drawn"), F.col("shard").alias("_shard"), F.col("place").alias("_place"))
+    out = rows.join(draws, F.col("_row") == F.col("_drawn")).repartition("_shard").sortWithinPartitions("_shard", "_place")
+    return out.select(*docs.columns, F.col("_shard").alias("mix_shard"))
 
 
 def mix_report(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

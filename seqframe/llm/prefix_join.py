@@ -250,6 +250,6 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame
 
     All columns are kept. Rows without shingles are in no class with another and stay.
     """
-    keep = near_duplicate_classes(docs, id_col, **options).filter(F.col("component_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("id_")).distinct()
-    kept = docs.join(keep, F.col(id_col).eqNullSafe(F.col("id_")), "left_semi")
+    keep = near_duplicate_classes(docs, id_col, **options).filter(F.col("component_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("_id")).distinct()
+    kept = docs.join(keep, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
     return kept

@@ -277,7 +277,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Of a character that lies on the edge of a run only whole characters are kept. A text that is all
     repeated becomes empty; null stays null.
     """
-    rows = docs.withColumn("row", _row(id_col, text_col))
-    spans = repeated_spans(rows, text_col, length)
+    rows = docs.withColumn("_row", _row(id_col, text_col))
+    spans = repeated_spans(rows.select(F.col("_row").alias("row"), F.col(text_col).alias("text")), length=length)
+    spans = spans.select(F.col("row").alias("_row"), F.col("spans").alias("_spans"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return rows.join(spans, "row", "left").select(*docs.columns, "spans").mapInArrow(_cut(docs.columns.index(text_col)), kinds)
+    return rows.join(spans, "_row", "left").select(*docs.columns, "_spans").mapInArrow(_cut(docs.columns.index(text_col)), kinds)

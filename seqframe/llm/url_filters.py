@@ -17,7 +17,7 @@ from seqframe.session import broadcast_if_small, written
 #: Share of a score that moves on along links, and rounds.
 DAMPING, ROUNDS = 0.85, 8
 #: Distrust, as a multiple of an even share among all hosts, from which a host is blocked.
-THRESHOLD = 1.0
+THRESHOLD = 0.5
 ALLOW, BLOCK = "allow", "block"
 
 
