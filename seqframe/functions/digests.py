@@ -14,11 +14,10 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegralType, StringType
 
 LANES = 10
 LANE_HEX = 6
-UNIT_SEPARATOR = "\x1f"
 
 
 def text_digest(text: Column, algorithm: str = "sha2-256") -> Column:
@@ -38,20 +37,20 @@ def _blake2b(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def cell_text(df: DataFrame, name: str) -> Column:
-    """One spelling per value, nulls kept apart from empty text."""
+    """One spelling per value; null stays null, which ``row_digest`` marks."""
     kind = df.schema[name].dataType.typeName()
     value = F.col(name)
-    if kind == "array":
-        text = F.array_join(value.cast("array<string>"), ",", "null")
-    elif kind in ("struct", "map"):
-        text = F.to_json(value)
-    else:
-        text = value.cast("string")
-    return F.coalesce(text, F.lit("\x00"))
+    if kind == "array" and isinstance(df.schema[name].dataType.elementType, IntegralType):
+        return F.array_join(value.cast("array<string>"), ",", "null")
+    if kind in ("array", "struct", "map"):
+        return F.to_json(value)
+    return value.cast("string")
 
 
 def row_digest(*cells: Column) -> Column:
-    return F.sha2(F.concat_ws(UNIT_SEPARATOR, *cells), 256)
+    """SHA-256 of the cells, each behind its length, null as a lone hyphen: no two rows spell alike."""
+    spelled = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), c), F.lit("-")) for c in cells]
+    return F.sha2(F.concat(*spelled), 256)
 
 
 def combined_digest(name: str) -> Column:

@@ -74,7 +74,7 @@ class Options:
     width: int = 1000
     policy: LengthPolicy = LengthPolicy.PAD_OR_TRUNCATE
     stride: int = 1000
-    max_windows_per_sample: int | None = 8
+    max_windows_per_sample: int | None = None
     digest: str = "sha2-256"
 
     def __post_init__(self) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seqframe.functions import elements as E
 from seqframe.functions import labels as B
+from seqframe.functions.digests import cell_text, row_digest
 from seqframe.functions.digests import content_key as key_of
 from seqframe.functions.letters import trim_all
 from seqframe.operators.ranking import ordinals
@@ -68,7 +69,7 @@ def with_class_index(df: DataFrame, index: DataFrame, col: str) -> DataFrame:
 
 
 def labels_outside_vocabulary(df: DataFrame, vocabulary: DataFrame, col: str) -> DataFrame:
-    return df.select(col).distinct().join(vocabulary, col, "left_anti")
+    return df.select(col).distinct().join(vocabulary.select(col).distinct(), col, "left_anti")
 
 
 # ---- one-hot labels ---------------------------------------------------------------------------
@@ -105,7 +106,7 @@ def resolve_calls(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 
 def linkable_calls(calls: DataFrame, features: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Calls that reach a feature carrying a sequence."""
-    return calls.join(features.select(*keys), list(keys), "left_semi")
+    return calls.join(features.select(*keys).distinct(), list(keys), "left_semi")
 
 
 # ---- event elements ---------------------------------------------------------------------------
@@ -173,10 +174,10 @@ def link_elements(elements: DataFrame, links: DataFrame, shown: int = 8) -> Data
 
 
 def unlinked_elements(elements: DataFrame, links: DataFrame) -> DataFrame:
-    return elements.join(links.select("element"), "element", "left_anti").select("element")
+    return elements.join(links.select("element").distinct(), "element", "left_anti").select("element")
 
 
-def links_without_element(links: DataFrame, elements: DataFrame, shown: int | None = 10) -> DataFrame:
+def links_without_element(links: DataFrame, elements: DataFrame, shown: int | None = None) -> DataFrame:
     missing = links.select("element").distinct().join(elements.select("element"), "element", "left_anti")
     return missing if shown is None else missing.orderBy("element").limit(shown)
 
@@ -228,16 +229,17 @@ def explode_pairs(df: DataFrame, natural: str, generated: str) -> DataFrame:
 def union_extracts(a: DataFrame, b: DataFrame, key: str = "sample_id") -> DataFrame:
     """Two extracts of one source without their shared rows.
 
-    Keys come from content, so equal keys mean equal rows and either may stay;
-    ``extract_conflicts`` lists the keys for which that is not so.
+    Of a key in both, the first extract's row stays; ``extract_conflicts`` lists keys with other content in the
+    second. Only the keys of the first extract are aggregated. Rows without a key all stay.
     """
-    return a.unionByName(b, allowMissingColumns=True).dropDuplicates([key])
+    held = a.select(F.col(key).alias("_held")).distinct()
+    return a.unionByName(b.join(held, F.col(key) == F.col("_held"), "left_anti"), allowMissingColumns=True)
 
 
 def extract_conflicts(a: DataFrame, b: DataFrame, cols: Sequence[str], key: str = "sample_id") -> DataFrame:
     """Keys that name different content in the two extracts."""
     rows = a.select(key, *cols).unionByName(b.select(key, *cols))
-    digest = F.xxhash64(*cols)
+    digest = row_digest(*[cell_text(rows, c) for c in cols])
     return (
         rows.groupBy(key)
         .agg(F.min(digest).alias("_lo"), F.max(digest).alias("_hi"))

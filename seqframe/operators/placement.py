@@ -133,7 +133,7 @@ def place(
     width: int,
     policy: LengthPolicy = LengthPolicy.PAD_OR_TRUNCATE,
     stride: int | None = None,
-    cap: int | None = 8,
+    cap: int | None = None,
     *,
     digest: str = "sha2-256",
     col: str = "sequence",

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from fractions import Fraction
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqframe.session import broadcast_if_small, written
@@ -54,11 +55,20 @@ def rank_in_group(
     """
     placed = ordinals(df, [*group, *order], "_pos")
     starts = placed.groupBy(*group).agg(F.min("_pos").alias("_start"))
+    # Null is a group like any other.
+    starts = starts.select(*[F.col(c).alias(f"_of_{c}") for c in group], "_start")
     return (
-        placed.join(starts, list(group)).withColumn(name, F.col("_pos") - F.col("_start")).drop("_pos", "_start")
+        placed.join(starts, _same(group, "_of_"))
+        .withColumn(name, F.col("_pos") - F.col("_start"))
+        .select(*[c for c in placed.columns if c != "_pos"], name)
     )
 
 
+def _same(columns: Sequence[str], prefix: str) -> Column:
+    """Equal in every column, null equal to null."""
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in columns])
+
+
 def repeat_counter(df: DataFrame, key: str, order: Sequence[str], name: str = "repeat") -> DataFrame:
     """How many earlier rows carry the same content key (action: the keys are written
     once, the repeated ones once more, sorted).
@@ -68,9 +78,11 @@ def repeat_counter(df: DataFrame, key: str, order: Sequence[str], name: str = "r
     """
     keys = written(df.select(key, *order))
     repeated = duplicate_keys(keys, key).select(key)
-    rows = keys.join(repeated, key, "left_semi")
-    later = rank_in_group(rows, [key], order, name).filter(F.col(name) > 0).drop(key)
-    return df.join(later, list(order), "left").withColumn(name, F.coalesce(F.col(name), F.lit(0)))
+    rows = keys.join(repeated.select(F.col(key).alias("_of_key")), F.col(key).eqNullSafe(F.col("_of_key")), "left_semi")
+    later = rank_in_group(rows, [key], order, "_rank").filter(F.col("_rank") > 0)
+    later = later.select(*[F.col(c).alias(f"_of_{c}") for c in order], "_rank")
+    joined = df.join(later, _same(order, "_of_"), "left")
+    return joined.select(*df.columns, F.coalesce("_rank", F.lit(0)).alias(name))
 
 
 def first_rows(df: DataFrame, order: Sequence[str], n: int, top_k: int = 100_000) -> DataFrame:
@@ -88,7 +100,8 @@ def capped(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows of a table with wide rows (action): the cut is made on the order columns
     alone, which no two rows share, and the rows are then picked by them."""
     chosen = written(first_rows(df.select(*order), order, n))
-    return df.join(broadcast_if_small(chosen), list(order), "left_semi")
+    chosen = chosen.select(*[F.col(c).alias(f"_of_{c}") for c in order])
+    return df.join(broadcast_if_small(chosen), _same(order, "_of_"), "left_semi")
 
 
 def round_robin_cap(members: DataFrame, n: int) -> DataFrame:

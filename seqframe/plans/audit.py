@@ -216,6 +216,7 @@ def inventory_requirement(
 
 def source_partition(enabled: DataFrame, converted: DataFrame, gated: DataFrame) -> DataFrame:
     """``(source_key, problem)``: converted and gated must be disjoint and together be the enabled."""
+    enabled, converted, gated = enabled.distinct(), converted.distinct(), gated.distinct()
     both = converted.intersect(gated).select("source_key", F.lit("both converted and gated").alias("problem"))
     either = converted.union(gated).distinct()
     lost = enabled.exceptAll(either).select("source_key", F.lit("neither converted nor gated").alias("problem"))

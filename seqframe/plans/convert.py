@@ -77,7 +77,8 @@ class Converted:
         samples = self.samples
         # From the slice, not the tokens: what the encoder should have written, not what it wrote.
         row = Q.table_row_digest(self.table, pad_text(F.col("slice"), self.options.width))
-        side = D.row_digest(*[_nested(samples, self.rows, c) for c in samples.columns])
+        place, *cells = [_nested(samples, self.rows, c) for c in samples.columns]
+        side = D.row_digest(place, D.row_digest(*cells))
         hashed = self.rows.select(row.alias("_t"), side.alias("_s"))
         n = F.count(F.lit(1))
         return hashed.agg(
@@ -97,8 +98,7 @@ def _nested(samples: DataFrame, rows: DataFrame, name: str) -> Column:
         return D.cell_text(rows, name)
     flat = F.col(f"metadata.`{name}`")
     kind = samples.schema[name].dataType.typeName()
-    text = F.array_join(flat.cast("array<string>"), ",", "null") if kind == "array" else flat.cast("string")
-    return F.coalesce(text, F.lit("\x00"))
+    return F.array_join(flat.cast("array<string>"), ",", "null") if kind == "array" else flat.cast("string")
 
 
 def samples_of(rows: DataFrame, metadata_fields: list[str]) -> DataFrame:
@@ -171,27 +171,31 @@ def write_dataset(
         "columns": tables.columns_block(opts.width, ds.n_targets),
         "manifest": _manifest(converted, fmt, config_hash, extra) | {"n_samples": n_rows},
     }
-    payload["manifest"] |= _digests(converted, path, fmt)
+    payload["manifest"] |= _digests(converted, fmt)
     tables.write_manifest(spark, payload, f"{path}/manifest")
     return payload
 
 
-def _digests(converted: Converted, path: str, fmt: str) -> dict[str, Any]:
-    """Digests of the table as it should stand on disk and of the sidecar as it does.
+def _digests(converted: Converted, fmt: str) -> dict[str, Any]:
+    """Digests of the table and the sidecar as they should stand on disk.
 
-    Only one digest per row is sorted to give it its place, not the row.
+    Only two digests per row are sorted to give them their place, not the row.
     """
     rows = converted.rows
     body = Q.table_body_digest(rows, pad_text(F.col("slice"), converted.options.width))
-    placed = ordinals(rows.select("ord", body.alias("_body")), ["ord"], "_place")
-    content = placed.select(D.row_digest(F.col("_place").cast("string"), F.col("_body")).alias("_d"))
-    samples = tables.read_samples(rows.sparkSession, path, fmt)
-    sidecar = Q.ordered_digest(samples, ["ord"], [c for c in samples.columns if c != "ord"]).first()
-    return {
-        "content_hash": content.agg(D.combined_digest("_d").alias("d")).first().d,
-        "samples_content_hash": sidecar.content_digest,
-        "samples_n_rows": sidecar.n_rows,
-    }
+    samples = converted.samples
+    names = [c for c in samples.columns if c != "ord"]
+    flat = rows.select("ord", body.alias("_body"), *[_source(rows, c).alias(f"_c_{c}") for c in names])
+    cells = [tables.csv_text(f"_c_{c}") if fmt == "csv" else D.cell_text(flat, f"_c_{c}") for c in names]
+    placed = ordinals(flat.select("ord", "_body", D.row_digest(*cells).alias("_side")), ["ord"], "_place")
+    place = F.col("_place").cast("string")
+    both = placed.select(D.row_digest(place, F.col("_body")).alias("_d"), D.row_digest(place, F.col("_side")).alias("_s"))
+    found = both.agg(D.combined_digest("_d").alias("d"), D.combined_digest("_s").alias("s"), F.count(F.lit(1)).alias("n")).first()
+    return {"content_hash": found.d, "samples_content_hash": found.s, "samples_n_rows": found.n}
+
+
+def _source(rows: DataFrame, name: str) -> Column:
+    return F.col(f"`{name}`") if name in rows.columns else F.col(f"metadata.`{name}`")
 
 
 def _manifest(

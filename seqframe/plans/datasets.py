@@ -47,7 +47,7 @@ def pairs_dataset(
         "organism",
         F.col("GeneID").alias("gene_id"),
         F.length("protein").alias("protein_length"),
-        L.clip_text(F.col("description")).alias("description"),
+        "description",
     )
     df = members.select(
         F.concat_ws("__", "pair_id", "member").alias(KEY),
@@ -114,7 +114,6 @@ def membership_dataset(
             "lines_per_class": K.members_per_class(members),
             "positives_per_class": K.positives_per_class(df, ordered),
             "unresolved": missing,
-            "unresolved_examples": missing.orderBy("id").limit(20),
         },
     )
 
@@ -201,7 +200,7 @@ def evidence_roles_dataset(
         F.array("index").alias("label"),
         F.lit(name).alias("source"),
         F.struct(
-            L.clip_text(F.coalesce("name", blank)).alias("feature_name"),
+            F.coalesce("name", blank).alias("feature_name"),
             F.col("role").alias("part_role"),
             F.coalesce("source", blank).alias("sequence_source"),
             F.coalesce("sourceStart", blank).alias("source_start"),

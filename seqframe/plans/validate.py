@@ -104,7 +104,7 @@ def sidecar_facts(samples: DataFrame) -> DataFrame:
     cells = [D.cell_text(samples, c) for c in samples.columns if c != "ord"]
     key, order = D.cell_text(samples, KEY), D.cell_text(samples, "ord")
     marked = samples.select(
-        D.row_digest(order, *cells).alias("_content"),
+        D.row_digest(order, D.row_digest(*cells)).alias("_content"),
         D.row_digest(order, key).alias("_order"),
         D.row_digest(key, D.cell_text(samples, "slice_digest")).alias("_slice"),
     )
@@ -209,7 +209,7 @@ def _check_spec(has_semantics: bool) -> dict[str, tuple[str, str, str]]:
     documented = f"{PROFILE} AND {str(has_semantics).lower()} AND (({usable}) OR NOT ({semantics}))"
     counts = "n_rows = n_samples AND width_max = n_features AND targets_max = n_targets"
     return {
-        "loads": ("true", "n_rows > 0", "rows {n_rows}"),
+        "loads": ("true", "n_rows > 0 AND coalesce(width_max <= n_features, true)", "rows {n_rows}"),
         "sidecar_present_and_matches_header": ("true", PROFILE, "manifests {n_profiles}"),
         "sidecar_counts_match_manifest": (
             PROFILE,

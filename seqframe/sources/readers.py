@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from seqframe.functions.letters import clip_text, uri_fragment
+from seqframe.functions.letters import uri_fragment
 from seqframe.model import require_columns
 from seqframe.session import broadcast_if_small, written
 
@@ -32,8 +33,9 @@ MEMBERSHIP_CLASSES = 32
 def file_position() -> Column:
     """``(file, block, row)``: orders rows as they stand in the files, whatever the split packing."""
     path = F.col("_metadata.file_path")
+    # A number in a name counts as a number: part-2 comes before part-10, and otherwise names come in their order.
     return F.struct(
-        F.length(path).alias("path_length"),
+        F.regexp_replace(F.regexp_replace(path, r"(\d+)", "00000000000000000000$1"), r"0*(\d{20})(?!\d)", "$1").alias("path_order"),
         path.alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
@@ -48,8 +50,8 @@ def with_file_ordinal(df: DataFrame, at: str = "_at", name: str = "ord") -> Data
     its block. The running sum sees one row per block, and so does the broadcast, if they are few
     enough.
     """
-    block = [F.col(f"{at}.{c}").alias(f"_{c}") for c in ("path_length", "path", "block")]
-    keys = ["_path_length", "_path", "_block"]
+    block = [F.col(f"{at}.{c}").alias(f"_{c}") for c in ("path_order", "path", "block")]
+    keys = ["_path_order", "_path", "_block"]
     marked = df.select("*", *block, F.col(f"{at}.row").alias("_row")).drop(at)
     sizes = marked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
     before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
@@ -65,14 +67,14 @@ def with_file_ordinal(df: DataFrame, at: str = "_at", name: str = "ord") -> Data
 
 
 def read_csv_text(
-    spark: SparkSession, path: str, *, multi_line: bool = True, mark_malformed: bool = False
+    spark: SparkSession, path: str, *, multi_line: bool = True, mark_malformed: bool = False, **more: Any
 ) -> DataFrame:
     """A header CSV with every cell as text; with ``mark_malformed`` wrong-width rows are kept and marked.
 
     ``multi_line`` reads quoted line breaks but makes a file one task; switch it off for large files
     known to hold one record per line.
     """
-    options = {"header": True, "escape": '"', "multiLine": multi_line, "enforceSchema": False}
+    options = {"header": True, "escape": '"', "multiLine": multi_line, "enforceSchema": False} | more
     plain = spark.read.options(**options).csv(path)
     if not mark_malformed:
         return plain
@@ -113,8 +115,8 @@ def well_formed(df: DataFrame) -> DataFrame:
     return df.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
 
 
-def read_link_csv(spark: SparkSession, path: str) -> DataFrame:
-    df = require_columns(read_csv_text(spark, path), *LINK_COLUMNS)
+def read_link_csv(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
+    df = require_columns(read_csv_text(spark, path, multi_line=multi_line), *LINK_COLUMNS)
     return df.select(F.col("IF_Element").alias("element"), F.col("Sample_ID").alias("sample"))
 
 
@@ -202,7 +204,7 @@ def read_fasta(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         .agg(F.max_by("sequence", "at").alias("sequence"))
     )
     junk = marked.select(F.explode(F.filter("body", lambda x: ~x.rlike(NUCLEOTIDE_LINE))).alias("line"))
-    return sequences, junk.select(clip_text(F.col("line"), 120).alias("line"))
+    return sequences, junk.select("line")
 
 
 # ---- nested evidence --------------------------------------------------------------------------
@@ -280,7 +282,7 @@ def membership_list_problems(spark: SparkSession, path: str) -> DataFrame:
     """``(file, problem)`` of lists that are empty or hold a line that is no member id."""
     lines = read_membership_lists(spark, path)
     seen = lines.groupBy("file").agg(
-        F.min(F.when(~F.col("id").rlike(MEMBER_LINE), F.left("id", F.lit(60)))).alias("offender")
+        F.min(F.when(~F.col("id").rlike(MEMBER_LINE), F.col("id"))).alias("offender")
     )
     files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"))
     return (

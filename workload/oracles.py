@@ -10,7 +10,6 @@ ORACLES: dict[str, str] = {}
 
 WS = r"[ \t\r\n\x0B\f]+"
 DNA_OK, PROTEIN_OK = "ACGTRYSWKMBDHVN", "A-Z"
-US = "chr(31)"
 
 
 def put(name: str, sql: str) -> None:
@@ -31,7 +30,8 @@ def lanes(digest: str) -> str:
 
 
 def row_digest(*cells: str) -> str:
-    return f"sha256(concat_ws({US}, {', '.join(cells)}))"
+    spelled = [f"coalesce(length({c})::varchar || ':' || {c}, '-')" for c in cells]
+    return f"sha256({' || '.join(spelled)})"
 
 
 # ---- cleaning ---------------------------------------------------------------------------------
@@ -237,7 +237,7 @@ put(
 
 def pair_side(member: str, label: int, column: str) -> str:
     return f"""select concat(pair_id, '__{member}') as sample_id, {column} as sequence, {label} as label, pair_id, '{member}' as member,
-      organism, "GeneID" as gene_id, length(protein)::int as protein_length, left(description, 120) as description from named"""
+      organism, "GeneID" as gene_id, length(protein)::int as protein_length, description from named"""
 
 
 put(
@@ -384,8 +384,7 @@ put("samples_per_element", f"{EVENTS}, {PER_ELEMENT} select * from per_element")
 put("unlinked_elements", f"{EVENTS} select element from elements where element not in (select element from links)")
 put(
     "links_without_element",
-    f"""{EVENTS} select distinct element from links where element not in (select element from elements)
-      order by element limit 10""",
+    f"""{EVENTS} select distinct element from links where element not in (select element from elements)""",
 )
 put(
     "event_signature_dataset",
