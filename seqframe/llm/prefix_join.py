@@ -102,14 +102,17 @@ def _whole_sets(n: int, wanted):
     """(node, profile, set) of the documents whose node may be wanted."""
 
     def run(batches):
-        hasher, filter_ = Hasher(lower=True), wanted.value
+        hasher, filter_, seen = Hasher(lower=True), wanted.value, set()
         for batch in batches:
+            if len(seen) > 1_000_000:
+                seen = set()
             nodes, profiles, sets = [], [], []
             for _, one in _sets(batch.column(0), n, hasher):
                 if not len(one):
                     continue
                 node = np.bitwise_xor.reduce(mixed(one + U(len(one)))).astype(np.int64)
-                if passes(filter_, np.array([node]))[0]:
+                if node not in seen and passes(filter_, np.array([node]))[0]:
+                    seen.add(node)
                     nodes.append(node)
                     profiles.append(_profile(one))
                     sets.append(_packed(one))
@@ -201,7 +204,9 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     maybe = spark.sparkContext.broadcast(sieve(member, "node"))
     with batches_of(spark, 1000):
-        sets = written(docs.select("text").mapInArrow(_whole_sets(n, maybe), "node long, profile binary, set binary"))
+        sets = docs.select("text").mapInArrow(_whole_sets(n, maybe), "node long, profile binary, set binary")
+        # Copies have one set: without this, a pair would be verified once for each two copies.
+        sets = written(sets.groupBy("node").agg(F.any_value("profile").alias("profile"), F.any_value("set").alias("set")))
 
     # First round: each member against the lead of the group that comes first in most of its entries.
     hub = of_groups.groupBy("token").agg(F.min(F.struct("place", "lead", "size", "group")).alias("h"))
