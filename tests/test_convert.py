@@ -195,3 +195,22 @@ def test_run_inventory(spark, tmp_path):
     back = spark.read.json(str(tmp_path / "run" / "generated_tables")).first()
     assert (back.path, back.content_hash) == (path, payload["manifest"]["content_hash"])
     assert spark.read.json(str(tmp_path / "run" / "run")).first().complete
+
+
+def test_a_damaged_row_fails_the_load(spark, tmp_path):
+    """A cell too many in one row of the table on disk."""
+    rows = [(k, f"s{k}", "ACGT" * (k + 1), [k % 2], "t", ("x",)) for k in range(6)]
+    df = spark.createDataFrame(
+        rows, "ord BIGINT, sample_id STRING, sequence STRING, label ARRAY<INT>, source STRING, metadata STRUCT<note: STRING>"
+    )
+    semantics = spark.createDataFrame([(0, "no"), (1, "yes")], "value INT, meaning STRING")
+    path = str(tmp_path / "d")
+    write_dataset(convert(Dataset(df=df, name="d", alphabet=Alphabet.DNA_NUCLEOTIDE, semantics=semantics), Options(width=8)), path)
+    assert not V.validate_dataset(spark, path).filter("not passed").collect()
+    for part in (tmp_path / "d" / "table").glob("part-*.csv"):
+        lines = part.read_text().splitlines()
+        part.write_text("\n".join(line + ",5" if line.startswith("s3,") else line for line in lines) + "\n")
+    for crc in (tmp_path / "d" / "table").glob(".*.crc"):
+        crc.unlink()
+    failed = {r.name for r in V.validate_dataset(spark, path).filter("not passed").collect()}
+    assert {"loads", "every_row_has_the_same_width", "content_hash_matches_the_table_on_disk"} <= failed

@@ -28,7 +28,9 @@ def letters(text: str, duck: bool) -> str:
 
 def derivations(duck: bool) -> dict[str, str]:
     """Name to SQL; later names may read earlier ones."""
-    text = "varchar" if duck else "string"
+    text, whole = ("varchar", "bigint") if duck else ("string", "int")
+    count = "greatest(1, cast(ceil(length(b) / 64.0) as int))"
+    numbers = f"unnest(range({count}))" if duck else f"explode(sequence(0, {count} - 1))"
     let = letters("text", duck)
     dna = f"translate({let}, 'BDEFHIJKLMOPQRSUVWXYZ', 'CTAGCTAGCTAGCTNRYSWKM')"
     return {
@@ -62,6 +64,17 @@ def derivations(duck: bool) -> dict[str, str]:
             select d.doc_id as ord, cast(d.doc_id as {text}) as sample_id, d.b as sequence, d.lang,
                    case when length(d.b) % 2 = 0 then 1 else 0 end as even, case when d.lang = 'en' then 1 else 0 end as english
             from dna d""",
+        # Both again, each sequence cut into pieces of 64 letters, a record for each: rows of fixed width over whole texts.
+        "pieces": f"""
+            select doc_id * 1000000 + i as ord, doc_id, lang, source, substr(b, cast(i * 64 + 1 as {whole}), 64) as b
+            from (select d.*, {numbers} as i from dna d) p""",
+        "labelled_pieces": f"""
+            select p.ord, cast(p.ord as {text}) as sample_id, p.b as sequence, p.lang, p.source, l.quality, l.toxic
+            from pieces p join labels l on p.doc_id = l.doc_id""",
+        "all_pieces": f"""
+            select ord, cast(ord as {text}) as sample_id, b as sequence, lang,
+                   case when length(b) % 2 = 0 then 1 else 0 end as even, case when lang = 'en' then 1 else 0 end as english
+            from pieces""",
         # Membership lists: the priority of an order is the class, its customer the member.
         "members": f"select o_orderpriority as class, cast(o_custkey as {text}) as id from orders",
         "dictionary": f"select cast(doc_id as {text}) as id, b as sequence from protein",

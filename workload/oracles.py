@@ -173,20 +173,20 @@ put(
 
 # ---- conversion of the labelled documents -----------------------------------------------------
 
-CONVERTED = "conv as (select * from labelled where sequence <> '')"
+CONVERTED = "conv as (select * from labelled_pieces where sequence <> '')"
 put(
     "convert_samples",
-    f"""{with_ctes('labelled')}, {CONVERTED} select ord, sample_id, sample_id as parent_sample_id, 'documents' as source,
+    f"""{with_ctes('labelled_pieces')}, {CONVERTED} select ord, sample_id, sample_id as parent_sample_id, 'documents' as source,
       length(sequence)::int as original_length, 1 as window_start, least(length(sequence), 64)::int as window_end,
       least(length(sequence), 64)::int as residues_in_row, (64 - least(length(sequence), 64))::int as padding_cells,
       (length(sequence) - least(length(sequence), 64))::int as residues_removed_by_truncation, 0 as residues_dropped_by_window_cap,
-      sha256(left(sequence, 64)) as slice_digest, lang, source as origin from conv""",
+      sha256(sequence) as slice_digest, lang, source as origin from conv""",
 )
 put(
     "wide_table",
-    f"""{with_ctes('labelled')}, {CONVERTED}, t as (select *, rpad(left(sequence, 16), 16, '@') as r from conv)
+    f"""{with_ctes('labelled_pieces')}, {CONVERTED}, t as (select *, rpad(sequence, 64, '@') as r from conv)
       select sample_id, quality as target_0, toxic as target_1, """
-    + ", ".join(f"(ascii(substr(r, {i}, 1)) - 64)::tinyint as position_{i:02d}" for i in range(1, 17))
+    + ", ".join(f"(ascii(substr(r, {i}, 1)) - 64)::tinyint as position_{i:02d}" for i in range(1, 65))
     + " from t",
 )
 put(
@@ -195,12 +195,12 @@ put(
         f"select count(*) as n_rows, {lanes('h')} as content_digest from d"),
 )
 BODY = row_digest(
-    "sample_id", "concat(quality::varchar, ',', toxic::varchar)", "rpad(left(sequence, 64), 64, '@')"
+    "sample_id", "concat(quality::varchar, ',', toxic::varchar)", "rpad(sequence, 64, '@')"
 )
 TABLE_ROW = row_digest("ord::varchar", BODY)
 put(
     "table_digest",
-    f"{with_ctes('labelled')}, {CONVERTED}, d as (select {TABLE_ROW} as h from conv) "
+    f"{with_ctes('labelled_pieces')}, {CONVERTED}, d as (select {TABLE_ROW} as h from conv) "
     f"select count(*) as n_rows, {lanes('h')} as content_digest from d",
 )
 LONG = """long as (select ord, sample_id, source, 0 as target_index, quality as target from labelled
@@ -255,6 +255,18 @@ put(
     "repeat_counter",
     f"select l_returnflag, {LINE_ORDER}, row_number() over (partition by l_returnflag order by {LINE_ORDER}) - 1 as repeat from lineitem",
 )
+PART = "case when l_linenumber <> 2 then l_partkey end"
+put(
+    "repeat_counter_nulls",
+    f"""with t as (select case when l_linenumber <> 1 then l_returnflag end as key, {LINE_ORDER.replace('l_partkey', PART + ' as l_partkey')} from lineitem)
+      select key, {LINE_ORDER}, row_number() over (partition by key order by l_orderkey, l_linenumber, l_partkey nulls first,
+        l_suppkey, l_extendedprice) - 1 as repeat from t""",
+)
+put(
+    "balanced_cap_nulls",
+    """with t as (select doc_id, case when doc_id % 4 <> 0 then lang end as label from documents)
+      select doc_id, label, row_number() over (partition by label order by doc_id) - 1 as rank from t order by rank, label nulls first limit 100""",
+)
 put(
     "group_straddle",
     f"""{with_ctes('pairs')} select "GeneID" as gene, count(*) as n_rows from pairs group by 1
@@ -305,7 +317,7 @@ put(
     "class_index",
     "select source, (row_number() over (order by source) - 1)::int as index from (select distinct source from documents) s",
 )
-COUNTS = f"""{with_ctes('labelled')}, {CONVERTED}, counts as (
+COUNTS = f"""{with_ctes('labelled_pieces')}, {CONVERTED}, counts as (
   select 0 as target_index, quality as value, count(*) as n from conv group by quality
   union all select 1, toxic, count(*) from conv group by toxic)"""
 put("class_counts", f"{COUNTS} select * from counts")
@@ -447,8 +459,8 @@ put(
 
 # ---- table quality ----------------------------------------------------------------------------
 
-ROWS = f"""{with_ctes('all_labelled')},
-  sound as (select ord, sample_id, even, left(sequence, 64) as slice, rpad(left(sequence, 64), 64, '@') as r from all_labelled),
+ROWS = f"""{with_ctes('all_pieces')},
+  sound as (select ord, sample_id, even, sequence as slice, rpad(sequence, 64, '@') as r from all_pieces),
   ranged as (select *, case when ord % 31 = 0 then concat('[', substr(r, 2)) else r end as f from sound),
   padded as (select *, case when ord % 37 = 0 then repeat('@', 64) when ord % 29 = 0 then concat(left(r, 1), '@', substr(r, 3)) else r end as f
     from sound)"""
@@ -481,9 +493,10 @@ put(
 )
 put(
     "label_conflicts",
-    f"""{with_ctes('labelled')} select sha256(left(sequence, 8)) as sequence_digest, count(*)::bigint as n_rows,
-      count(distinct concat(quality, ',', toxic)) as n_labels from labelled group by left(sequence, 8)
-      having count(distinct concat(quality, ',', toxic)) > 1""",
+    f"""{with_ctes('labelled')}, cut as (select concat(quality, ',', toxic) as label, substr(sequence, (i * 8 + 1)::bigint, 8) as s
+        from (select *, unnest(range(greatest(1, cast(ceil(length(sequence) / 8.0) as int)))) as i from labelled) e)
+      select sha256(s) as sequence_digest, count(*)::bigint as n_rows, count(distinct label) as n_labels from cut group by s
+      having count(distinct label) > 1""",
 )
 put("duplicate_keys", "select l_orderkey as sample_id, count(*) as n from lineitem group by 1 having count(*) > 1")
 put(
@@ -511,7 +524,14 @@ def check_rows(ctes: str, skipped: tuple[str, ...], failing: dict[str, str]) ->
 
 EMPTY = "(select count(*) filter (r = repeat('@', 64)) = 0 from sound)"
 put("validate_table", check_rows(ROWS, NOT_EMITTED["sound"], {"no_row_is_silently_empty": EMPTY}))
-put("validate_1000_wide", ORACLES["validate_table"])
+put(
+    "validate_1000_wide",
+    check_rows(
+        with_ctes("all_labelled"),
+        NOT_EMITTED["sound"],
+        {"no_row_is_silently_empty": "(select count(*) filter (sequence = '') = 0 from all_labelled)"},
+    ),
+)
 RANGE_OK = "(select count(*) filter (contains(f, '[')) = 0 from ranged)"
 put(
     "validate_range_fault",
@@ -632,6 +652,19 @@ put(
 # ---- files ------------------------------------------------------------------------------------
 
 put("dataset_files", ORACLES["validate_table"])
+put("link_csv", f"{with_ctes('links')} select element, sample from links")
+put(
+    "malformed_csv",
+    """select count(*) filter (doc_id % 13 = 0 or doc_id % 17 = 0) as malformed,
+      count(*) filter (doc_id % 13 <> 0 and doc_id % 17 <> 0) as well_formed from documents""",
+)
+put(
+    "lossless_csv",
+    f"""{with_ctes('all_labelled')}, t as (select sample_id as s, lang from all_labelled where sequence <> '')
+      select concat(' "', s, '",', chr(10), ' ') as sample_id,
+        concat('  a\\n\\', lang, chr(13), chr(10), '"",', s, ' ', chr(9), chr(10), ' ') as note from t
+      union all select 'failed', '0'""",
+)
 put(
     "fasta_sequences",
     f"""{with_ctes('elements')} select element, case when doc_id % 7 = 0 then left(sequence, length(sequence) // 2) else sequence end

@@ -23,6 +23,7 @@ from seqframe.plans import validate as V
 from seqframe.plans.convert import Converted, convert, write_dataset
 from seqframe.session import shared_dir
 from seqframe.sources import readers as S
+from seqframe.sources.tables import read_samples
 from workload.inputs import Inputs
 
 DNA, PROTEIN = Alphabet.DNA_NUCLEOTIDE, Alphabet.AMINO_ACID
@@ -184,8 +185,8 @@ def length_summary(x: Inputs) -> DataFrame:
     return P.length_summary(clean_dna_only(x))
 
 
-def labelled_dataset(x: Inputs) -> Dataset:
-    df = x.labelled.select(
+def labelled_dataset(x: Inputs, rows: DataFrame | None = None) -> Dataset:
+    df = (x.labelled if rows is None else rows).select(
         "ord",
         "sample_id",
         "sequence",
@@ -199,8 +200,8 @@ def labelled_dataset(x: Inputs) -> Dataset:
     )
 
 
-def converted(x: Inputs, width: int = 64) -> Converted:
-    return convert(labelled_dataset(x), Options(width=width))
+def converted(x: Inputs) -> Converted:
+    return convert(labelled_dataset(x, x.labelled_pieces), Options(width=64))
 
 
 @query
@@ -210,7 +211,7 @@ def convert_samples(x: Inputs) -> DataFrame:
 
 @query
 def wide_table(x: Inputs) -> DataFrame:
-    return P.widen(converted(x, 16).table, 16, 2)
+    return P.widen(converted(x).table, 64, 2)
 
 
 # ---- digests ----------------------------------------------------------------------------------
@@ -282,6 +283,21 @@ def repeat_counter(x: Inputs) -> DataFrame:
     return R.repeat_counter(lines, "l_returnflag", order).select(*lines.columns, "repeat")
 
 
+@query
+def repeat_counter_nulls(x: Inputs) -> DataFrame:
+    """Nulls in the key and in an order column."""
+    key = F.when(F.col("l_linenumber") != 1, F.col("l_returnflag")).alias("key")
+    part = F.when(F.col("l_linenumber") != 2, F.col("l_partkey")).alias("l_partkey")
+    rows = x.lineitem.select(key, *[part if c == "l_partkey" else c for c in LINE_ORDER])
+    return R.repeat_counter(rows, "key", LINE_ORDER)
+
+
+@query
+def balanced_cap_nulls(x: Inputs) -> DataFrame:
+    label = F.when(F.col("doc_id") % 4 != 0, F.col("lang")).alias("label")
+    return R.balanced_cap(x.documents.select("doc_id", label), "label", "doc_id", 100)
+
+
 @query
 def group_straddle(x: Inputs) -> DataFrame:
     """Genes whose pairs would fall on both sides of a split made by organism."""
@@ -509,8 +525,8 @@ def projection_coverage(x: Inputs) -> DataFrame:
 
 
 def encoded(x: Inputs, width: int = 64) -> DataFrame:
-    """Every document as one row of fixed width, target 1 for an even length."""
-    ready = x.all_labelled.select("ord", "sample_id", "sequence", F.array("even").alias("target"))
+    """Every piece of every document as one row of fixed width, target 1 for an even length."""
+    ready = x.all_pieces.select("ord", "sample_id", "sequence", F.array("even").alias("target"))
     return P.place(ready, width).select("ord", "sample_id", "target", "tokens", "slice_digest")
 
 
@@ -559,9 +575,9 @@ def duplicate_sequences(x: Inputs) -> DataFrame:
 
 @query
 def label_conflicts(x: Inputs) -> DataFrame:
-    """Rows that look alike once cut to eight letters but carry different labels."""
-    rows = P.pad_or_truncate(
-        x.labelled.select("sample_id", "sequence", F.array("quality", "toxic").alias("label")), 8
+    """Words of eight letters, all that a sequence has, that carry different labels."""
+    rows = P.window(
+        x.labelled.select("sample_id", "sequence", F.array("quality", "toxic").alias("label")), 8, 8, None
     )
     return Q.label_conflicts(rows, "slice", "label")
 
@@ -580,8 +596,8 @@ def sidecar(x: Inputs, table: DataFrame) -> DataFrame:
     return table.select("ord", "sample_id", "slice_digest")
 
 
-def parity_dataset(x: Inputs) -> Dataset:
-    df = x.all_labelled.select(
+def parity_dataset(x: Inputs, rows: DataFrame | None = None) -> Dataset:
+    df = (x.all_labelled if rows is None else rows).select(
         "ord", "sample_id", "sequence", F.array("even").alias("label"), F.lit("documents").alias("source")
     )
     semantics = x.spark.createDataFrame([(0, "odd"), (1, "even")], "value INT, meaning STRING")
@@ -589,7 +605,8 @@ def parity_dataset(x: Inputs) -> Dataset:
 
 
 def validated(x: Inputs, fault: Callable[[DataFrame], DataFrame] = lambda t: t, width: int = 64) -> DataFrame:
-    made = convert(parity_dataset(x), Options(width=width)).materialized()
+    rows = x.all_pieces if width == 64 else x.all_labelled
+    made = convert(parity_dataset(x, rows), Options(width=width)).materialized()
     checks = V.validate_table(fault(made.table), made.samples, made.profile, made.dataset.semantics)
     return checks.select("ordinal", "name", "passed")
 
@@ -786,7 +803,7 @@ def folder(x: Inputs) -> str:
 def dataset_files(x: Inputs) -> DataFrame:
     """Convert, write as CSV with sidecar and manifest, read back, validate."""
     path = folder(x)
-    write_dataset(convert(parity_dataset(x), Options(width=64)), path)
+    write_dataset(convert(parity_dataset(x, x.all_pieces), Options(width=64)), path)
     return V.validate_dataset(x.spark, path).select("ordinal", "name", "passed")
 
 
@@ -820,6 +837,40 @@ def pair_csv_drops(x: Inputs) -> DataFrame:
     return D.pairs_dataset(rows).stats["pair_drops"]
 
 
+@query
+def link_csv(x: Inputs) -> DataFrame:
+    path = folder(x)
+    x.links.select(F.col("sample").alias("Sample_ID"), F.col("element").alias("IF_Element")).write.options(header=True).csv(path)
+    return S.read_link_csv(x.spark, path, multi_line=False)
+
+
+@query
+def malformed_csv(x: Inputs) -> DataFrame:
+    """Every 13th row has a cell too many, every 17th of the others one too few."""
+    path, i = folder(x), F.col("doc_id")
+    more = F.when(i % 13 == 0, F.concat_ws(",", "lang", "source", i)).when(i % 17 == 0, F.col("lang"))
+    lines = x.documents.select(more.alias("odd"), F.concat_ws(",", "lang", "source").alias("even"))
+    lines.select(F.coalesce("odd", "even").alias("lang,source")).write.options(header=True, sep="|").csv(path)
+    return S.count_malformed(S.read_csv_text(x.spark, path, multi_line=False, mark_malformed=True))
+
+
+@query
+def lossless_csv(x: Inputs) -> DataFrame:
+    """Keys and metadata with quotes, commas, spaces, backslashes and line breaks come back as they were."""
+    path = folder(x)
+    key = F.concat(F.lit(' "'), "sample_id", F.lit('",\n '))
+    note = F.concat(F.lit("  a\\n\\"), "lang", F.lit('\r\n"",'), "sample_id", F.lit(" \t\n "))
+    rows = x.all_labelled.select(
+        "ord", key.alias("sample_id"), "sequence", F.array("even").alias("label"), F.lit("documents").alias("source"),
+        F.struct(note.alias("note")).alias("metadata"),
+    )
+    semantics = x.spark.createDataFrame([(0, "odd"), (1, "even")], "value INT, meaning STRING")
+    write_dataset(convert(Dataset(df=rows, name="notes", alphabet=DNA, semantics=semantics), Options(width=64)), path)
+    failed = V.validate_dataset(x.spark, path).filter(~F.col("passed")).agg(F.count(F.lit(1)).alias("n_failed"))
+    rows = read_samples(x.spark, path).select("sample_id", "note")
+    return rows.unionByName(failed.select(F.lit("failed").alias("sample_id"), F.col("n_failed").cast("string").alias("note")))
+
+
 @query
 def one_hot_csv(x: Inputs) -> DataFrame:
     path = folder(x)
