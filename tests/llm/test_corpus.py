@@ -187,3 +187,17 @@ def test_pipeline_stages(spark):
         docs = written(stage(spark, docs, SF))
         assert docs.columns[: len(columns)] == columns, name
         assert name == "mixing" or (docs.columns == columns and 0 < docs.count() <= before)
+
+
+def test_classes_equal_their_twin(spark):
+    import duckdb
+
+    from seqframe.llm.queries import ORACLES, QUERIES
+
+    con = duckdb.connect()
+    con.execute("create view documents as select * from '/root/testdata/sf0.001/documents.parquet'")
+    for name, sql in ORACLES.items():
+        got = QUERIES[name](spark, "/root/testdata/sf0.001")
+        cursor = con.execute(sql)
+        assert got.columns == [d[0] for d in cursor.description]
+        assert sorted(map(tuple, got.collect())) == sorted(cursor.fetchall())
