@@ -20,7 +20,8 @@ from seqframe.session import broadcast_if_small, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_DOCS = 1024
-SHARDS = 16
+#: Words of a shard, about; and the least number of shards.
+SHARD_WORDS, SHARDS = 4 << 20, 16
 SEED = 20240601
 
 
@@ -55,14 +56,14 @@ def _split(seed: int):
     def run(frames):
         for frame in frames:
             rows = []
-            for low, high, sources, quotas in zip(frame.low, frame.high, frame.sources, frame.quotas, strict=True):
+            for low, high, sources, quotas in zip(frame.low.tolist(), frame.high.tolist(), frame.sources, frame.quotas, strict=True):
                 if high - low == 1:
                     rows.append((low, high, sources, quotas))
                     continue
                 quotas = np.asarray(quotas, np.int64)
                 middle, total = (low + high) // 2, int(quotas.sum())
                 ends = [total * at // (high - low) for at in (0, middle - low)]
-                draw = np.random.Generator(np.random.PCG64([seed, int(low), int(high)]))
+                draw = np.random.Generator(np.random.PCG64([seed, low, high]))
                 left = draw.multivariate_hypergeometric(quotas, ends[1], method="marginals") if total else quotas
                 rows += [(low, middle, sources, left.tolist()), (middle, high, sources, (quotas - left).tolist())]
             yield pd.DataFrame(rows, columns=["low", "high", "sources", "quotas"])
@@ -73,7 +74,9 @@ def _split(seed: int):
 def shard_quotas(draws: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
     """(shard, source_key, quota) from (source_key, draws), one row per source: the splitting tree."""
     node = draws.groupBy().agg(F.sort_array(F.collect_list(F.struct("source_key", "draws"))).alias("q")).select(F.lit(0).alias("low"), F.lit(shards).alias("high"), F.col("q.source_key").alias("sources"), F.col("q.draws").alias("quotas"))
-    for _ in range(max(shards - 1, 0).bit_length()):
+    for level in range(max(shards - 1, 0).bit_length()):
+        if level == 10:  # a thousand nodes by now: the rest of the tree grows in parallel
+            node = node.repartition("low")
         node = node.mapInPandas(_split(seed), "low int, high int, sources array<string>, quotas array<long>")
     pairs = node.select(F.col("low").alias("shard"), F.explode(F.arrays_zip("sources", "quotas")).alias("p"))
     return pairs.select("shard", F.col("p.sources").alias("source_key"), F.col("p.quotas").alias("quota")).filter("quota > 0")
@@ -96,7 +99,7 @@ def numbered(rows: DataFrame, again: DataFrame) -> DataFrame:
     return rows.join(again, same, "left_anti").withColumn("_copy", F.lit(1)).unionByName(many).withColumn("_row", F.xxhash64("_h", "_copy")).drop("_copy")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, passes: float = 2.0, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, passes: float = 2.0, shards: int | None = None, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """(sized, draws) (action).
 
     sized: one row per input row with row, id, source, size, source_size, target.
@@ -120,6 +123,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     blocks = blocks.withColumn("rank", F.row_number().over(permuted) - 1).withColumn("before", F.coalesce(F.sum("words").over(permuted.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     blocks = written(blocks.withColumn("some", F.col("before") < F.col("rest")))
     drawn = blocks.groupBy("source_key").agg((F.max("whole") * F.count("*") + F.sum(F.col("some").cast("long"))).alias("draws"))
+    if shards is None:
+        shards = max(SHARDS, int((sources.agg(F.sum("target")).first()[0] or 0) // SHARD_WORDS))
     quotas = shard_quotas(drawn, shards, seed)
     runs = quotas.withColumn("end", F.sum("quota").over(Window.partitionBy("source_key").orderBy("shard")))
     taken = runs.select("source_key", "shard", F.explode(F.sequence(F.col("end") - F.col("quota"), F.col("end") - 1)).alias("draw"))
