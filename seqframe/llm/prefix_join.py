@@ -25,8 +25,10 @@ from seqframe.llm.sieve import passes, sieve
 from seqframe.llm.words import Hasher, U, binaries, blocks, list_array, mixed, shingles, signed, unsigned, words
 from seqframe.session import written
 
-#: A shingle is counted as common when some part of the scan has it in this share of its documents.
-COMMON = 1 / 2000
+#: A shingle is counted as common when some part of the scan has it in this share of its documents, three at least.
+COMMON, COMMON_LEAST = 1 / 2000, 3
+#: Shingles of such a part, 40 MB.
+PART = 5_000_000
 #: So many of the commonest are sent to the workers, 1 MB of hashes. The rest keep the plain order; no result depends on it.
 COMMON_KEPT = 1 << 17
 
@@ -46,7 +48,7 @@ def _common(n: int):
 
     def found(sets: list[np.ndarray]) -> pa.RecordBatch:
         every, counts = np.unique(np.concatenate(sets), return_counts=True)
-        keep = counts >= max(4, COMMON * len(sets))
+        keep = counts >= max(COMMON_LEAST, COMMON * len(sets))
         return pa.record_batch({"token": signed(every[keep]), "docs": counts[keep]})
 
     def run(batches):
@@ -55,7 +57,7 @@ def _common(n: int):
             for _, one in _sets(batch.column(0), n, hasher):
                 sets.append(one)
                 size += len(one)
-                if size > 1_500_000:
+                if size > PART:
                     yield found(sets)
                     sets, size = [], 0
         if sets:
