@@ -36,7 +36,7 @@ def written(df: DataFrame) -> DataFrame:
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only when a bounded count (action) proves ``df`` has few rows."""
-    return F.broadcast(df) if len(df.select(F.lit(1)).take(rows + 1)) <= rows else df
+    return F.broadcast(df) if df.select(F.lit(1)).limit(rows + 1).count() <= rows else df
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

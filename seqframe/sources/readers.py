@@ -14,7 +14,7 @@ from seqframe.model import require_columns
 from seqframe.session import broadcast_if_small, written
 
 MALFORMED = "_malformed"
-SPLITS = 1_000_000  # file blocks or files whose one row each may be broadcast
+SPLITS = 100_000  # file blocks or files whose one row each may be broadcast, paths of some 20 MB
 
 # What a nucleotide line of a FASTA file and a line of a membership list look like,
 # the columns each source must have, and the prefixes of the value columns.
