@@ -27,6 +27,8 @@ from seqframe.session import written
 
 #: A shingle is counted as common when some part of the scan has it in this share of its documents, three at least.
 COMMON, COMMON_LEAST = 1 / 2000, 3
+#: Nodes that a task remembers, to leave out copies early.
+SEEN = 1_000_000
 #: Shingles of such a part, 40 MB.
 PART = 5_000_000
 #: So many of the commonest are sent to the workers, 1 MB of hashes. The rest keep the plain order; no result depends on it.
@@ -66,24 +68,35 @@ def _common(n: int):
     return run
 
 
+def _node(one: np.ndarray) -> np.int64:
+    """A hash of a whole set, -1 for an empty one."""
+    return np.bitwise_xor.reduce(mixed(one + U(len(one)))).astype(np.int64) if len(one) else np.int64(-1)
+
+
 def _prefixes(n: int, num: int, den: int, common):
-    """(id, size, node, prefix): the node is a hash of the whole set, -1 and size 0 for an empty one."""
+    """(id, size, node, prefix). Of the copies that a task meets only the first has a prefix."""
 
     def run(batches):
-        hasher = Hasher(lower=True)
+        hasher, seen = Hasher(lower=True), set()
         by_hash, rank = common.value
         for batch in batches:
             nodes, sizes, parts = [], [], []
+            if len(seen) > SEEN:
+                seen = set()
             for _, one in _sets(batch.column(1), n, hasher):
                 sizes.append(len(one))
-                nodes.append(np.bitwise_xor.reduce(mixed(one + U(len(one)))) if len(one) else U(2**64 - 1))
+                nodes.append(_node(one))
+                if nodes[-1] in seen:
+                    parts.append(one[:0])
+                    continue
+                seen.add(nodes[-1])
                 late = np.zeros(len(one), np.int64)
                 if len(by_hash) and len(one):
                     at = np.minimum(np.searchsorted(by_hash, one), len(by_hash) - 1)
                     late = np.where(by_hash[at] == one, rank[at] + 1, 0)
                 parts.append(one[np.argsort(late, kind="stable")][: len(one) - -(-num * len(one) // den) + 1] if len(one) else one)
             ends = np.cumsum([0, *map(len, parts)])
-            yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int32()), pa.array(signed(np.array(nodes, U))), list_array(signed(np.concatenate([np.zeros(0, U), *parts])), ends)], ["id", "size", "node", "prefix"])
+            yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int32()), pa.array(np.array(nodes, np.int64)), list_array(signed(np.concatenate([np.zeros(0, U), *parts])), ends)], ["id", "size", "node", "prefix"])
 
     return run
 
@@ -100,25 +113,22 @@ def _profile(one: np.ndarray) -> bytes:
     return counts.astype(np.uint8).tobytes() if counts.max() < 256 else b""
 
 
-def _whole_sets(n: int, wanted):
-    """(node, profile, set) of the documents whose node may be wanted."""
+def _wanted_only(n: int, wanted, name: str, make):
+    """(node, ``name``) of the documents whose node may be wanted: ``make`` of their sets."""
 
     def run(batches):
         hasher, filter_, seen = Hasher(lower=True), wanted.value, set()
         for batch in batches:
-            if len(seen) > 1_000_000:
+            if len(seen) > SEEN:
                 seen = set()
-            nodes, profiles, sets = [], [], []
+            nodes, made = [], []
             for _, one in _sets(batch.column(0), n, hasher):
-                if not len(one):
-                    continue
-                node = np.bitwise_xor.reduce(mixed(one + U(len(one)))).astype(np.int64)
-                if node not in seen and passes(filter_, np.array([node]))[0]:
+                node = _node(one)
+                if len(one) and node not in seen and passes(filter_, np.array([node]))[0]:
                     seen.add(node)
                     nodes.append(node)
-                    profiles.append(_profile(one))
-                    sets.append(_packed(one))
-            yield pa.record_batch([pa.array(np.array(nodes, np.int64)), binaries(profiles), binaries(sets)], ["node", "profile", "set"])
+                    made.append(make(one))
+            yield pa.record_batch([pa.array(np.array(nodes, np.int64)), binaries(made)], ["node", name])
 
     return run
 
@@ -193,8 +203,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     with batches_of(spark, 2000):
         rows = written(docs.mapInArrow(_prefixes(n, num, den, shared), f"id {id_type}, size int, node long, prefix array<long>"))
-    nodes = rows.filter("size > 0").groupBy("node").agg(F.any_value("size").alias("size"), F.min("id").alias("id"), F.any_value("prefix").alias("prefix"))
-    entries = nodes.select("node", "size", F.posexplode("prefix").alias("place", "token"))
+    entries = rows.select("node", "size", F.posexplode("prefix").alias("place", "token")).repartition("token").dropDuplicates(["token", "node"])
     entries = entries.withColumn("k", F.count("*").over(Window.partitionBy("token"))).filter("k > 1").drop("k")
     entries = written(entries)
 
@@ -204,11 +213,23 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     lead = member.groupBy("group").agg(F.min("node").alias("node"))
     of_groups = written(entries.join(lead, "node").select("token", "place", "size", "group", F.col("node").alias("lead")))
 
-    maybe = spark.sparkContext.broadcast(sieve(member, "node"))
-    with batches_of(spark, 1000):
-        sets = docs.select("text").mapInArrow(_whole_sets(n, maybe), "node long, profile binary, set binary")
-        # Copies have one set: without this, a pair would be verified once for each two copies.
-        sets = written(sets.groupBy("node").agg(F.any_value("profile").alias("profile"), F.any_value("set").alias("set")))
+    def told(nodes: DataFrame, name: str, make) -> DataFrame:
+        """(node, ``name``) of the sets of ``nodes``: another scan, but no shuffle of texts."""
+        wanted = spark.sparkContext.broadcast(sieve(nodes, "node"))
+        found = docs.select("text").mapInArrow(_wanted_only(n, wanted, name, make), f"node long, {name} binary")
+        with batches_of(spark, 1000):  # copies have one set
+            return written(found.groupBy("node").agg(F.any_value(name).alias(name)))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that link: profiles first, whole sets only for the pairs that these leave."""
+        with batches_of(spark, 1000):
+            left = written(_carrying(pairs, profiles, "profile").mapInArrow(_possible(num, den), "a long, b long"))
+        ends = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
+        sets = told(ends, "set", _packed)
+        with batches_of(spark, 1000):
+            return written(_carrying(left, sets, "set").mapInArrow(_verified(num, den), "a long, b long"))
+
+    profiles = told(member.select("node"), "profile", _profile)
 
     # First round: each member against the lead of the group that comes first in most of its entries.
     hub = of_groups.groupBy("token").agg(F.min(F.struct("place", "lead", "size", "group")).alias("h"))
@@ -216,8 +237,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     near = near.filter(_may_link(num, den, "x", "y")).groupBy("group", "hub").agg(F.count("*").alias("k"))
     near = near.groupBy("group").agg(F.max(F.struct("k", "hub")).alias("h")).select("group", F.col("h.hub").alias("b"))
     first = member.join(near, "group").select(F.col("node").alias("a"), "b").filter("a != b")
-    with batches_of(spark, 1000):
-        links = written(_verify(first, sets, num, den))
+    links = verified(first)
     classes = written(connected_components(links))
 
     # Second round: pairs of groups with all their members in one class are done; the rest are expanded.
@@ -230,8 +250,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     own = spread.filter("low != high").select(F.col("group").alias("group_x"), F.col("group").alias("group_y"))
     mx, my = (state.select(F.col("group").alias(f"group_{s}"), F.col("node").alias(n_), F.col("component").alias(f"component_{s}")) for s, n_ in (("x", "a"), ("y", "b")))
     rest = pairs.union(own).join(mx, "group_x").join(my, "group_y").filter("component_x != component_y and (group_x != group_y or a < b)").select("a", "b")
-    with batches_of(spark, 1000):
-        links = links.union(written(_verify(rest, sets, num, den)))
+    links = links.union(verified(rest))
     classes = written(connected_components(links))
 
     whole = rows.select("id", "size", "node").join(classes, "node", "left").select("id", "size", F.when(F.col("size") > 0, F.coalesce("component", "node")).alias("class"))
@@ -240,16 +259,11 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     return out.select(F.col("id").alias(id_col), F.col("size").cast("long").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that link: profiles first, whole sets only for the pairs that these leave."""
-
-    def carrying(pairs: DataFrame, column: str) -> DataFrame:
-        for end in "ab":
-            pairs = pairs.join(sets.select(F.col("node").alias(end), F.col(column).alias(f"{column}_{end}")), end)
-        return pairs.select("a", "b", f"{column}_a", f"{column}_b")
-
-    left = carrying(pairs, "profile").mapInArrow(_possible(num, den), "a long, b long")
-    return carrying(left, "set").mapInArrow(_verified(num, den), "a long, b long")
+def _carrying(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """The pairs with ``column`` of both ends."""
+    for end in "ab":
+        pairs = pairs.join(sets.select(F.col("node").alias(end), F.col(column).alias(f"{column}_{end}")), end)
+    return pairs.select("a", "b", f"{column}_a", f"{column}_b")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
