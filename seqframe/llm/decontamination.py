@@ -112,7 +112,8 @@ def _of_size(docs: DataFrame, items: DataFrame, k: int, total: int, similarity:
     return windows.select("id", "m", "start", "key").join(alike.select("key", "item", "similarity"), "key").select("id", "item", "start", "m", "similarity")
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without those that hold an item (action). All columns are kept."""
-    bad = contaminations(docs, items, id_col, **options).select(F.col(id_col).alias("_id")).distinct()
-    return docs.join(written(bad), F.col(id_col).eqNullSafe(F.col("_id")), "left_anti")
+def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` without the rows that hold an item (action). All columns are kept; equal or null ids do not matter."""
+    named = docs.withColumn("_row", F.xxhash64(F.col(id_col).isNull(), id_col, text_col))
+    bad = contaminations(named.select("_row", text_col), items, "_row", text_col, **options).select(F.col("_row").alias("_bad")).distinct()
+    return named.join(written(bad), F.col("_row") == F.col("_bad"), "left_anti").drop("_row")

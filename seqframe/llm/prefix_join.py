@@ -266,11 +266,18 @@ def _carrying(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
     return pairs.select("a", "b", f"{column}_a", f"{column}_b")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the rows whose class has a row of a smaller id; of rows with equal ids one stays.
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with exactly one row of each class: that of the smallest id, null last (action).
 
-    All columns are kept. Rows without shingles are in no class with another and stay.
+    All columns are kept. Rows are told apart by all their columns: of rows with equal ids that with the least
+    hash stays, of equal rows one. Rows without shingles are in no class with another and stay, repeated or not.
     """
-    keep = near_duplicate_classes(docs, id_col, **options).filter(F.col("component_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("_id")).distinct()
-    kept = docs.join(keep, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
-    return kept
+    every = [*docs.columns, *(F.col(c).isNull() for c in docs.columns)]  # a hash passes over nulls
+    named = docs.withColumn("_row", F.xxhash64(*every))
+    name = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("_row").alias("row"))
+    classes = near_duplicate_classes(named.select(name.alias("name"), text_col), "name", text_col, **options)
+    keep = classes.filter("component_id = name").groupBy(F.col("name.row").alias("_row"), F.col("name.id").alias("_id")).agg(((F.count("*") > 1) & (F.max("n_shingles") > 0)).alias("_again"))
+    keep = written(keep)
+    same = (F.col("a._row") == F.col("b._row")) & F.col(f"a.{id_col}").eqNullSafe(F.col("b._id"))
+    kept = lambda which: named.alias("a").join(keep.filter(which).alias("b"), same, "left_semi")
+    return kept("not _again").union(kept("_again").dropDuplicates(["_row", id_col])).drop("_row")
