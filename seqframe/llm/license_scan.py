@@ -39,7 +39,8 @@ TEMPLATES = [
     ("cc-by-nc", "licensed under cc by nc 4 0", ["cc by nc"]),
     ("cc-by-nd", "licensed under cc by nd 4 0", ["cc by nd"]),
 ]
-#: Different licence words of a file that are looked up at most, the rarest; and the share of a template's words that must agree.
+#: Different words of each template that are looked up in a file, the rarest, or more if that many may disagree; and the share of a
+#: template's words that must agree.
 RAREST, AGREE = 24, 0.6
 
 
@@ -102,12 +103,19 @@ def _frequencies(templates):
 def _labelled(hashes: np.ndarray, known: np.ndarray, index: Index, idf: dict[int, float], rarest: int, agree: float) -> tuple[set[str], float]:
     """Labels of one document by the index, and the best agreement with a template."""
     mine = hashes[known]
-    chosen = sorted(set(mine.tolist()), key=lambda h: (-idf.get(h, 0.0), h))[:rarest]
+    order = np.argsort(mine, kind="stable")
+    different, first = np.unique(mine[order], return_index=True)
+    where = dict(zip(different.tolist(), np.split(known[order], first[1:]), strict=True))
+    by_template: dict[int, list[int]] = {}
+    for h in sorted(where, key=lambda h: (-idf.get(h, 0.0), h)):
+        for t in {t for t, _ in index.postings[h]}:
+            by_template.setdefault(t, []).append(h)
     votes: dict[tuple[int, int], float] = {}
-    for h in chosen:
-        for at in known[mine == U(h)].tolist():
-            for t, place in index.postings[h]:
-                votes[t, at - place] = votes.get((t, at - place), 0.0) + idf.get(h, 0.0)
+    for t, held in by_template.items():
+        for h in held[: max(rarest, int((1 - agree) * len(index.texts[t]) + 1e-9) + 1)]:  # so one at least stands in a place that agrees
+            for place in (place for of, place in index.postings[h] if of == t):
+                for at in where[h].tolist():
+                    votes[t, at - place] = votes.get((t, at - place), 0.0) + idf.get(h, 0.0)
     labels, best = set(), 0.0
     for (t, begin), _ in votes.items():
         text = index.texts[t]
