@@ -1,8 +1,8 @@
 """Benchmark decontamination: SimHash over windows as long as a benchmark item.
 
-All of it is DataFrame work. A document's windows of an item's length are taken where the two share a
-shingle at the window's own offset: a window that shares none has similarity 0, so none is lost. Each
-different window gets a 64-bit SimHash of its weighted shingles. Fingerprints within a radius agree in
+All of it is DataFrame work. A document's windows of an item's length are taken at every start from which the
+weights of the item's shingles in the window reach the least similarity's share of the item's own: no window
+that is similar enough has less, so none is lost. Each different window gets a 64-bit SimHash of its weighted shingles. Fingerprints within a radius agree in
 one of radius + 1 blocks of their bits, so an equality join on blocks finds all of them; these candidates
 are verified by the exact weighted Jaccard similarity of their shingles.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqframe.operators.shaping import computed_once
@@ -54,24 +54,25 @@ def contaminations(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", te
     A document holds an item if a window of as many words has a weighted Jaccard similarity of n-word shingles
     of ``similarity`` or more. Words are runs of letters and digits, lower-cased; start counts words from 0.
     Items of fewer than n words are one shingle; null, empty and wordless texts hold and are nothing. A
-    shingle weighs the logarithm of its rarity: of items' shingles among all documents, others count once.
+    shingle weighs the logarithm of its rarity among the different items, whatever the documents; one of no
+    item weighs as one of a single item.
     Equal rows give one row; an item met twice in a document gives its best place, the first of ties.
     """
     items = items.select(F.col(item_col).alias("item"), _words(item_text_col).alias("w")).withColumn("m", F.size("w")).filter("m > 0").dropDuplicates(["item", "w"])
     items = items.withColumn("k", F.least(F.lit(n), "m"))
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    total = docs.count()
     sizes = [r.k for r in items.select("k").distinct().orderBy("k").collect()]  # n values at most
-    found = [_of_size(docs, items.filter(F.col("k") == k), k, total, similarity, radius) for k in sizes]
+    found = [_of_size(docs, items.filter(F.col("k") == k), k, similarity, radius) for k in sizes]
     if not found:
-        found = [_of_size(docs, items, n, total, similarity, radius)]
+        found = [_of_size(docs, items, n, similarity, radius)]
     out = reduce(DataFrame.union, found).groupBy("id", "item").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"), F.col("m").alias("words"))).alias("best"))
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_col), (-F.col("best.back")).cast("long").alias("start"), F.col("best.words").cast("long").alias("words"), F.col("best.similarity").alias("similarity"))
 
 
-def _of_size(docs: DataFrame, items: DataFrame, k: int, total: int, similarity: float, radius: int) -> DataFrame:
+def _of_size(docs: DataFrame, items: DataFrame, k: int, similarity: float, radius: int) -> DataFrame:
     items = written(items.select("item", "m", _shingles("w", k).alias("s")).withColumn("own", F.xxhash64("item", "s")))
-    places = items.select("own", "item", "m", F.posexplode("s").alias("offset", "shingle"))
+    places = items.select("own", "m", F.explode(F.array_distinct("s")).alias("shingle"))
+    total = float(items.select("s").distinct().count())
     known = [r.shingle for r in places.select("shingle").distinct().limit(INLINE + 1).collect()]
 
     hashed = computed_once(docs, ["id", F.xxhash64("id", "text").alias("row")], w=_words("text"))
@@ -84,16 +85,23 @@ def _of_size(docs: DataFrame, items: DataFrame, k: int, total: int, similarity:
     hits = written(hits)
 
     met = hits.select("row", F.posexplode("s").alias("at", "shingle")).join(broadcast_if_small(places.select("shingle").distinct()), "shingle", "left_semi")
-    share = met.groupBy("shingle").agg(F.count_distinct("row").alias("df"))
-    weights = written(places.select("shingle").distinct().join(share, "shingle", "left").select("shingle", F.log1p(F.lit(float(total)) / (F.coalesce("df", F.lit(0)) + 1)).alias("weight")))
-    weights = broadcast_if_small(weights)
-    other = F.lit(total / 2.0)
+    share = items.select("s").distinct().select(F.explode(F.array_distinct("s")).alias("shingle")).groupBy("shingle").agg(F.count("*").alias("df"))
+    weights = broadcast_if_small(written(share.select("shingle", F.log1p(F.lit(total) / F.col("df")).alias("weight"))))
 
     def weighed(rows: DataFrame) -> DataFrame:
-        return rows.join(weights, "shingle", "left").withColumn("weight", F.coalesce("weight", F.log1p(other)))
-
-    starts = met.join(broadcast_if_small(places), "shingle").select("row", (F.col("at") - F.col("offset")).alias("start"), "m").distinct()
-    spans = starts.select("row", F.greatest("start", F.lit(0)).alias("start"), "m").distinct().groupBy("row", "m").agg(F.collect_set("start").alias("starts"))
+        return rows.join(weights, "shingle", "left").withColumn("weight", F.coalesce("weight", F.log1p(F.lit(total))))
+
+    # A shingle at place p counts for starts p - (m - k) to p: the sum changes at these ends only.
+    heavy = written(weighed(places).withColumn("least", similarity * F.sum("weight").over(Window.partitionBy("own")) - 1e-6))
+    shared = met.join(broadcast_if_small(heavy), "shingle")
+    enough = shared.groupBy("row", "own").agg(F.sum("weight").alias("sum"), F.any_value("least").alias("least")).filter("sum >= least").select("row", "own")
+    shared = shared.join(enough, ["row", "own"], "left_semi")
+    ends = shared.select("row", "own", "m", "least", F.explode(F.array(F.struct((F.col("at") - (F.col("m") - k)).alias("p"), F.col("weight").alias("d")), F.struct((F.col("at") + 1).alias("p"), (-F.col("weight")).alias("d")))).alias("e"))
+    ends = ends.groupBy("row", "own", "m", "least", "e.p").agg(F.sum("e.d").alias("d"))
+    order = Window.partitionBy("row", "own").orderBy("p")
+    runs = ends.select("row", "m", "least", F.greatest("p", F.lit(0)).alias("low"), (F.lead("p").over(order) - 1).alias("high"), F.sum("d").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("sum"))
+    starts = runs.filter("sum >= least and low <= high").select("row", "m", F.explode(F.sequence("low", "high")).alias("start"))
+    spans = starts.groupBy("row", "m").agg(F.collect_set("start").alias("starts"))
     windows = hits.select("id", "row", "s").join(spans, "row").select("id", "m", F.explode(F.transform("starts", lambda a: F.struct(a.alias("start"), F.slice("s", a + 1, F.col("m") - (k - 1)).alias("win")))).alias("x"))
     windows = written(windows.select("id", "m", "x.start", "x.win", F.xxhash64("x.win", "m").alias("key")).filter(F.size("win") > 0))
 
