@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, StringType
 
+#: How a table digest is made, as a projection block names it.
+ALGORITHM = "sha2-256 of 24-bit lane sums over row digests"
 LANES = 10
 LANE_HEX = 6
 

@@ -104,23 +104,40 @@ def capped(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     return df.join(broadcast_if_small(chosen), _same(order, "_of_"), "left_semi")
 
 
+def first_of_each(
+    df: DataFrame, group: Sequence[str], order: Sequence[str], n: int, name: str = "rank"
+) -> DataFrame:
+    """The first ``n`` rows of each group under an order, with their 0-based rank.
+
+    For a small ``n`` (Spark's own bound for limits on ranks) every task keeps its first ``n`` rows of a group before
+    anything moves, so a group of any size sends ``n`` rows a task; nothing is sorted as a whole. Beyond that bound, which
+    would let a task merge too many, ranks come from exact positions (action).
+    """
+    bound = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n <= bound:
+        at = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        return df.withColumn(name, at).filter(F.col(name) <= n).withColumn(name, F.col(name).cast("bigint") - 1)
+    return rank_in_group(df, group, order, name).filter(F.col(name) < n)
+
+
 def round_robin_cap(members: DataFrame, n: int) -> DataFrame:
-    """Walk the classes in turn and take the next unseen member, until ``n`` are taken (action).
+    """Walk the classes in turn and take the next unseen member, until ``n`` are taken.
 
     ``members`` is ``(class, id)``. A member's turn is its least (depth, class), where depth is its
-    rank among the sorted members of the class. Returns ``(id, depth, class)``.
+    rank among the sorted members of the class. Returns ``(id, depth, class)``. A class with n members has n turns
+    before depth n, so no chosen turn lies deeper and only the first n members of each class are ranked.
     """
-    ranked = rank_in_group(members.select("class", "id").distinct(), ["class"], ["id"], "depth")
+    ranked = first_of_each(members.select("class", "id").distinct(), ["class"], ["id"], n, "depth")
     turns = ranked.groupBy("id").agg(F.min(F.struct("depth", "class")).alias("turn"))
     return first_rows(turns.select("id", "turn.depth", "turn.class"), ["depth", "class"], n)
 
 
 def balanced_cap(df: DataFrame, label: str, key: str, n: int) -> DataFrame:
-    """Alternate between the classes, each in key order, until ``n`` keys are taken (action).
+    """Alternate between the classes, each in key order, until ``n`` keys are taken.
 
-    Returns ``(key, label, rank)`` of the chosen rows.
+    Returns ``(key, label, rank)`` of the chosen rows; no class can give more than ``n``.
     """
-    ranked = rank_in_group(df.select(label, key), [label], [key])
+    ranked = first_of_each(df.select(label, key), [label], [key], n)
     return first_rows(ranked.select(key, label, "rank"), ["rank", label], n)
 
 
@@ -182,6 +199,18 @@ def block_provenance(sampled: DataFrame) -> DataFrame:
     return sampled.groupBy("block", "block_start").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def last_of_each(df: DataFrame, key: str, at: str) -> DataFrame:
+    """Of the rows of a key the one with the greatest ``at``, which no two rows share; null is a key like any other.
+
+    Only keys and positions are grouped, and only repeated keys go on: where they are few they are broadcast, so wide rows
+    are neither shuffled nor sorted. ``df`` must give the same positions when it is read twice, as a file does.
+    """
+    lasts = df.groupBy(F.col(key).alias("_key")).agg(F.max(at).alias("_last"), F.count(F.lit(1)).alias("_n"))
+    repeated = written(lasts.filter("_n > 1").drop("_n"))
+    joined = df.join(broadcast_if_small(repeated), F.col(key).eqNullSafe(F.col("_key")), "left")
+    return joined.filter(F.col("_last").isNull() | (F.col(at) == F.col("_last"))).drop("_key", "_last")
+
+
 def duplicate_keys(df: DataFrame, key: str = "sample_id") -> DataFrame:
     """Keys that occur more than once, with their count."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

@@ -12,7 +12,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seqframe.functions import digests as D
 from seqframe.model import CIPHER, ENCODING_MODE
+from seqframe.operators.ranking import first_of_each, rank_in_group
+from seqframe.session import written
 
 PASS, FAIL = "PASS", "FAIL"
 BLOCKED, UNSUPPORTED = "BLOCKED_EXTERNAL", "UNSUPPORTED_BY_SOURCE"
@@ -25,7 +28,7 @@ config_hash STRING, n_samples BIGINT, samples_n_rows BIGINT, samples_content_has
 target_hash STRING,
 projection STRUCT<original_target_index: INT, original_target_count: INT, original_target_name: STRING,
   original_target_slug: STRING, source_target_names: ARRAY<STRING>, source_target_slugs: ARRAY<STRING>,
-  source_target_hashes: ARRAY<STRING>, source_row_count: BIGINT>
+  source_target_hashes: ARRAY<STRING>, source_target_hash_algorithm: STRING, source_row_count: BIGINT>
 """
 
 REQUIREMENTS = (
@@ -110,18 +113,23 @@ def _words(*parts: str | Column) -> Column:
     )
 
 
-def requirement_rollup(findings: DataFrame) -> DataFrame:
-    """``(requirement, status, n_tables, n_failed, first_failure)`` over all tables.
+def requirement_rollup(findings: DataFrame, examples: int = 3) -> DataFrame:
+    """``(requirement, status, n_tables, n_failed, failures)`` over all tables.
 
-    Only the least failing path is kept as the example, so nothing is collected per requirement.
+    ``failures`` names the first few failing tables; no more are kept per requirement.
     """
     failed = ~F.col("passed")
-    return findings.groupBy("requirement").agg(
+    totals = findings.groupBy("requirement").agg(
         F.when(F.count_if(failed) > 0, FAIL).otherwise(PASS).alias("status"),
         F.count(F.lit(1)).alias("n_tables"),
         F.count_if(failed).alias("n_failed"),
-        F.min(F.when(failed, F.concat_ws(": ", "path", "detail"))).alias("first_failure"),
     )
+    shown = first_of_each(findings.filter(failed), ["requirement"], ["path", "detail"], examples, "_rank")
+    named = F.struct("_rank", F.concat_ws(": ", "path", "detail").alias("name"))
+    listed = shown.groupBy(F.col("requirement").alias("_of")).agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(named)), lambda s: s["name"]), "; ").alias("failures")
+    )
+    return totals.join(listed, F.col("requirement") == F.col("_of"), "left").drop("_of")
 
 
 def provenance_check(profiles: DataFrame, declared: DataFrame) -> DataFrame:
@@ -227,21 +235,45 @@ def source_partition(enabled: DataFrame, converted: DataFrame, gated: DataFrame)
 # ---- projections ------------------------------------------------------------------------------
 
 
-def index_coverage(df: DataFrame, source: str, index: str, count: str) -> DataFrame:
-    """``(source, index, problem)``: indexes missing from, outside of or repeated in 0…count-1."""
-    expected = df.groupBy(source).agg(F.max(count).alias("_n")).select(
-        source, F.explode(F.sequence(F.lit(0), F.greatest(F.col("_n") - 1, F.lit(0)))).alias(index)
+def index_gaps(df: DataFrame, source: str, index: str, count: str) -> DataFrame:
+    """``(source, first, last)``: every run of indexes missing from 0…count-1 (action).
+
+    Gaps lie between islands, runs of consecutive indexes: within one, index less rank stays the same. Only what
+    is listed is sorted, over many partitions whatever a source holds; a source that claims a billion indexes
+    costs what it lists.
+    """
+    wanted = df.groupBy(F.col(source).alias("_s")).agg(F.max(count).alias("_count"))
+    wanted = written(wanted)
+    of_source = F.col(source).eqNullSafe(F.col("_s"))
+    inside = df.select(source, F.col(index).cast("bigint").alias("_i")).filter("_i >= 0").distinct()
+    inside = inside.join(wanted, of_source).filter("_i < _count").select(source, "_i")
+    ranked = rank_in_group(inside, [source], ["_i"], "_rank")
+    islands = ranked.groupBy(source, (F.col("_i") - F.col("_rank")).alias("_lost")).agg(F.min("_i").alias("_first"), F.max("_i").alias("_last"))
+    islands = written(rank_in_group(islands.select(source, "_first", "_last"), [source], ["_first"], "_k"))
+    # The end of the island before; a source's first gap begins at 0, its last one ends with the count.
+    ends = islands.select(F.col(source).alias("_t"), (F.col("_k") + 1).alias("_k"), (F.col("_last") + 1).alias("first"))
+    last = islands.groupBy(F.col(source).alias("_u")).agg(F.max("_k").alias("_k"), F.max("_last").alias("_end"))
+    between = islands.alias("i").join(ends.alias("e"), F.col(f"i.{source}").eqNullSafe(F.col("e._t")) & (F.col("i._k") == F.col("e._k")), "left")
+    between = between.select(F.col(f"i.{source}").alias(source), F.coalesce("e.first", F.lit(0)).alias("first"), (F.col("i._first") - 1).alias("last"))
+    after = wanted.join(last, F.col("_s").eqNullSafe(F.col("_u")), "left").select(
+        F.col("_s").alias(source), F.coalesce(F.col("_end") + 1, F.lit(0)).alias("first"), (F.col("_count") - 1).cast("bigint").alias("last")
     )
-    seen = df.groupBy(source, index).agg(F.count(F.lit(1)).alias("n"))
-    joined = expected.withColumn("want", F.lit(True)).join(seen, [source, index], "full_outer")
-    return joined.select(
-        source,
-        index,
-        F.when(F.col("n").isNull(), "missing")
-        .when(F.col("want").isNull(), "unexpected")
-        .when(F.col("n") > 1, "duplicate")
-        .alias("problem"),
-    ).filter(F.col("problem").isNotNull())
+    return between.unionByName(after).filter("first <= last")
+
+
+def index_coverage(df: DataFrame, source: str, index: str, count: str) -> DataFrame:
+    """``(source, index, problem)``: indexes missing from, outside of or repeated in 0…count-1 (action).
+
+    One row per missing index; ``index_gaps`` has one per run of them.
+    """
+    kind = df.schema[index].dataType
+    gaps = index_gaps(df, source, index, count)
+    missing = gaps.select(source, F.explode(F.sequence(F.col("first").cast(kind), F.col("last").cast(kind))).alias(index), F.lit("missing").alias("problem"))
+    wanted = df.groupBy(F.col(source).alias("_s")).agg(F.max(count).alias("_count"))
+    seen = df.groupBy(source, index).agg(F.count(F.lit(1)).alias("n")).join(wanted, F.col(source).eqNullSafe(F.col("_s")))
+    inside = F.coalesce((F.col(index) >= 0) & (F.col(index) < F.col("_count")), F.lit(False))
+    wrong = seen.select(source, index, F.when(~inside, "unexpected").when(F.col("n") > 1, "duplicate").alias("problem"))
+    return missing.unionByName(wrong.filter(F.col("problem").isNotNull()))
 
 
 def projection_shape_problem(p: str = "projection") -> Column:
@@ -260,6 +292,7 @@ def projection_shape_problem(p: str = "projection") -> Column:
         .when(~F.coalesce(listed("source_target_names"), no), "names are not one per target")
         .when(~F.coalesce(listed("source_target_slugs"), no), "slugs are not one per target")
         .when(~F.coalesce(listed("source_target_hashes"), no), "hashes are not one per target")
+        .when(~c("source_target_hash_algorithm").eqNullSafe(F.lit(D.ALGORITHM)), "hash algorithm is another")
         .when(~F.coalesce(c("source_row_count") > 0, no), "row count is not positive")
         .when(c("original_target_name").isNull() | c("original_target_slug").isNull(), "name or slug is missing")
     )
@@ -407,7 +440,7 @@ def audit(
             F.coalesce("status", "empty").alias("status"),
             F.when(F.col("n_tables").isNull(), "0 tables checked")
             .otherwise(
-                _words("tables ", F.col("n_tables"), ", failed ", F.col("n_failed"), F.coalesce(F.concat(F.lit("; "), F.col("first_failure")), F.lit("")))
+                _words("tables ", F.col("n_tables"), ", failed ", F.col("n_failed"), F.coalesce(F.concat(F.lit("; "), F.col("failures")), F.lit("")))
             )
             .alias("detail"),
         )

@@ -7,7 +7,7 @@ from dataclasses import dataclass, replace
 from datetime import UTC, datetime
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqframe.functions import digests as D
@@ -27,6 +27,7 @@ from seqframe.model import (
 )
 from seqframe.operators import cleaning, placement
 from seqframe.operators import quality as Q
+from seqframe.operators.projection import target_slugs
 from seqframe.operators.ranking import ordinals
 from seqframe.session import written
 from seqframe.sources import tables
@@ -47,6 +48,11 @@ class Converted:
         """The same with its rows written once to the shared folder (action)."""
         return replace(self, rows=written(self.rows))
 
+    def cleaned_once(self) -> Converted:
+        """The same with its source read and cleaned once, then its rows placed and written (action)."""
+        cleaned = written(self.cleaned)
+        return replace(self, cleaned=cleaned, rows=written(_placed(self.dataset, self.options, cleaned)))
+
     @property
     def table(self) -> DataFrame:
         return self.rows.select(*TABLE_COLUMNS)
@@ -111,10 +117,13 @@ def convert(dataset: Dataset, options: Options = Options()) -> Converted:
     Quarantine is decided before the label is looked at, so an unlabelled unusable sequence is
     quarantined and only an unlabelled usable one is an error.
     """
-    df = dataset.df
-    cleaned = cleaning.clean_sequence(df, dataset.alphabet, rna_to_dna=dataset.rna_to_dna)
+    cleaned = cleaning.clean_sequence(dataset.df, dataset.alphabet, rna_to_dna=dataset.rna_to_dna)
+    return Converted(dataset, options, cleaned, _placed(dataset, options, cleaned))
+
+
+def _placed(dataset: Dataset, options: Options, cleaned: DataFrame) -> DataFrame:
     label = checked_label(F.col("label"), dataset.n_targets, F.col(KEY).cast("string"))
-    carried = ["source"] + (["metadata"] if "metadata" in df.columns else [])
+    carried = ["source"] + (["metadata"] if "metadata" in cleaned.columns else [])
     ready = cleaned.filter(F.col("reason").isNull()).select(
         KEY, *[c for c in dataset.order if c != KEY], *carried, "original_length", label.alias("target"), "sequence"
     )
@@ -128,7 +137,7 @@ def convert(dataset: Dataset, options: Options = Options()) -> Converted:
         digest=options.digest,
     )
     order = ["parent_sample_id" if c == KEY else c for c in dataset.order]
-    return Converted(dataset, options, cleaned, placed.withColumn("ord", _place(order, options)))
+    return placed.withColumn("ord", _place(order, options))
 
 
 def _place(order: list[str], options: Options) -> Column:
@@ -147,12 +156,12 @@ def write_dataset(
 ) -> dict[str, Any]:
     """Guard, write, digest what was written, and write the manifest last (action).
 
-    The placed rows are computed once, into the shared folder; every later step reads the columns
-    it needs from there.
+    The source is cleaned and its rows are placed once, into the shared folder; every later step reads
+    the columns it needs from there.
     """
     ds, opts = converted.dataset, converted.options
     spark = ds.df.sparkSession
-    converted = converted.materialized()
+    converted = converted.cleaned_once()
     table, samples = converted.table, converted.samples
     n_rows = tables.refuse_bad_table(table, opts.width, ds.n_targets, ds.semantics)
 
@@ -160,10 +169,7 @@ def write_dataset(
     tables.write_wide_table(table, f"{path}/table", opts.width, ds.n_targets, fmt=fmt, parts=parts)
     tables.write_samples(samples, f"{path}/samples", fmt=fmt, parts=parts)
     converted.quarantine.write.parquet(f"{path}/quarantine")
-    semantics = ds.semantics
-    if semantics is None:
-        semantics = spark.createDataFrame([], "value INT, meaning STRING")
-    semantics.select(F.col("value").cast("int"), "meaning").write.parquet(f"{path}/semantics")
+    _write_semantics(ds, path)
 
     payload = {
         "format": TABLE_FORMAT,
@@ -176,6 +182,20 @@ def write_dataset(
     return payload
 
 
+def _write_semantics(ds: Dataset, path: str) -> None:
+    semantics = ds.semantics
+    if semantics is None:
+        semantics = ds.df.sparkSession.createDataFrame([], "value INT, meaning STRING")
+    semantics.select(F.col("value").cast("int"), "meaning").write.parquet(f"{path}/semantics")
+
+
+def _side_digest(rows: DataFrame, names: list[str], fmt: str) -> DataFrame:
+    """``rows`` with ``_side``, the digest of a sidecar row's cells as they stand on disk."""
+    flat = rows.select("*", *[_source(rows, c).alias(f"_c_{c}") for c in names])
+    cells = [tables.csv_text(f"_c_{c}") if fmt == "csv" else D.cell_text(flat, f"_c_{c}") for c in names]
+    return flat.withColumn("_side", D.row_digest(*cells)).drop(*[f"_c_{c}" for c in names])
+
+
 def _digests(converted: Converted, fmt: str) -> dict[str, Any]:
     """Digests of the table and the sidecar as they should stand on disk.
 
@@ -183,11 +203,9 @@ def _digests(converted: Converted, fmt: str) -> dict[str, Any]:
     """
     rows = converted.rows
     body = Q.table_body_digest(rows, pad_text(F.col("slice"), converted.options.width))
-    samples = converted.samples
-    names = [c for c in samples.columns if c != "ord"]
-    flat = rows.select("ord", body.alias("_body"), *[_source(rows, c).alias(f"_c_{c}") for c in names])
-    cells = [tables.csv_text(f"_c_{c}") if fmt == "csv" else D.cell_text(flat, f"_c_{c}") for c in names]
-    placed = ordinals(flat.select("ord", "_body", D.row_digest(*cells).alias("_side")), ["ord"], "_place")
+    names = [c for c in converted.samples.columns if c != "ord"]
+    flat = _side_digest(rows.withColumn("_body", body), names, fmt)
+    placed = ordinals(flat.select("ord", "_body", "_side"), ["ord"], "_place")
     place = F.col("_place").cast("string")
     both = placed.select(D.row_digest(place, F.col("_body")).alias("_d"), D.row_digest(place, F.col("_side")).alias("_s"))
     found = both.agg(D.combined_digest("_d").alias("d"), D.combined_digest("_s").alias("s"), F.count(F.lit(1)).alias("n")).first()
@@ -237,6 +255,84 @@ def _manifest(
     }
 
 
+def write_projected(
+    converted: Converted,
+    path: str,
+    *,
+    fmt: str = "csv",
+    config_hash: str = "",
+    extra: Mapping[str, Any] | None = None,
+) -> DataFrame:
+    """Write one single-target dataset per target under ``path`` (action); returns ``(slug, manifest)`` rows.
+
+    Three writes fan out to all targets: tables, sidecars and manifests, each a folder per slug. The digests of all
+    targets are added up in one pass over digests that were given their place once, so there is no job per target.
+    Each manifest has the projection block that binds it to the others.
+    """
+    ds, opts = converted.dataset, converted.options
+    if ds.n_targets < 2 or len(ds.target_names) != ds.n_targets:
+        raise ValueError(f"projecting needs several targets with a name each, got {ds.n_targets} and {len(ds.target_names)}")
+    spark = ds.df.sparkSession
+    slugs = target_slugs(spark, ds.target_names)
+    converted = converted.cleaned_once()
+    table, samples = converted.table, converted.samples
+    n_rows = tables.refuse_bad_table(table, opts.width, ds.n_targets, ds.semantics)
+
+    parts = tables.file_count(table, n_rows)
+    tables.write_per_target(table, ds.target_names, f"{path}/table", opts.width, fmt=fmt, parts=parts)
+    tables.write_samples_per_target(samples, slugs, f"{path}/samples", fmt=fmt, parts=parts)
+    converted.quarantine.write.parquet(f"{path}/quarantine")
+    _write_semantics(ds, path)
+
+    block = _projection_blocks(converted, slugs, fmt, n_rows)
+    common = _manifest(converted, fmt, config_hash, extra) | {"n_samples": n_rows, "n_targets": 1, "target_names": []}
+    head = {"format": TABLE_FORMAT, "version": TABLE_VERSION, "columns": tables.columns_block(opts.width, 1)}
+    before = f'{tables.manifest_text(head)[:-1]}, "manifest": {tables.manifest_text(common)[:-1]}, '
+    fields = ("content_hash", "samples_content_hash", "samples_n_rows", "target_projection")
+    text = F.concat(F.lit(before), F.substring(F.to_json(F.struct(*fields)), 2, 1 << 30), F.lit("}"))
+    manifests = written(block.select("slug", text.alias("value")))
+    manifests.write.partitionBy("slug").text(f"{path}/manifest")
+    return manifests.withColumnRenamed("value", "manifest")
+
+
+def _projection_blocks(converted: Converted, slugs: list[str], fmt: str, n_rows: int) -> DataFrame:
+    """One row per target: its digests and its projection block."""
+    rows, ds = converted.rows, converted.dataset
+    tokens = pad_text(F.col("slice"), converted.options.width)
+    names = [c for c in converted.samples.columns if c != "ord"]
+    placed = ordinals(_side_digest(rows.withColumn("_tokens", tokens), names, fmt).select("ord", KEY, "target", "_tokens", "_side"), ["ord"], "_place")
+    place, key = F.col("_place").cast("string"), D.cell_text(rows, KEY)
+    long = placed.select(KEY, "_tokens", place.alias("_place"), D.row_digest(place, F.col("_side")).alias("_s"), F.posexplode("target").alias("i", "value"))
+    value = F.col("value").cast("string")
+    hashed = long.select(
+        "i", "_s",
+        D.row_digest(F.col("_place"), D.row_digest(key, value, F.col("_tokens"))).alias("_d"),
+        D.row_digest(F.col("_place"), key, value).alias("_t"),
+    )
+    per = hashed.groupBy("i").agg(
+        D.combined_digest("_d").alias("content_hash"),
+        D.combined_digest("_s").alias("samples_content_hash"),
+        D.combined_digest("_t").alias("target_hash"),
+        F.count(F.lit(1)).alias("samples_n_rows"),
+    )
+    # One row per target, and on each the hashes of all.
+    every = F.collect_list(F.struct("i", "target_hash")).over(Window.partitionBy(F.lit(0)))
+    per = per.withColumn("hashes", F.transform(F.sort_array(every), lambda t: t["target_hash"]))
+    listed = [F.array(*[F.lit(v) for v in values]) for values in (ds.target_names, slugs)]
+    projection = F.struct(
+        F.col("i").alias("original_target_index"),
+        listed[0][F.col("i")].alias("original_target_name"),
+        listed[1][F.col("i")].alias("original_target_slug"),
+        F.lit(ds.n_targets).alias("original_target_count"),
+        listed[0].alias("source_target_names"),
+        listed[1].alias("source_target_slugs"),
+        F.col("hashes").alias("source_target_hashes"),
+        F.lit(D.ALGORITHM).alias("source_target_hash_algorithm"),
+        F.lit(n_rows).cast("bigint").alias("source_row_count"),
+    )
+    return per.withColumn("target_projection", projection).withColumn("slug", listed[1][F.col("i")])
+
+
 def run_inventory(
     spark,
     table_paths: list[str],
@@ -249,11 +345,19 @@ def run_inventory(
     converted: list[str],
     gated: list[str],
 ) -> tuple[DataFrame, DataFrame]:
-    """``(run, tables)``: one row describing a run, and the content hash of each dataset it made."""
-    found = [(p, tables.read_manifest(spark, p)["manifest"]["content_hash"]) for p in sorted(table_paths)]
-    children = spark.createDataFrame(found, "path STRING, content_hash STRING")
+    """``(run, tables)``: one row describing a run, and the content hash of each dataset it made.
+
+    All manifests are read in one scan.
+    """
+    given = spark.createDataFrame([(p,) for p in sorted(table_paths)], "path STRING").withColumn("_place", tables.bare_path(F.col("path")))
+    if table_paths:
+        found = tables.scanned_manifests(spark, [tables.part_of(p, "manifest") for p in sorted(table_paths)])
+        hashed = found.select(tables.bare_path(F.col("path")).alias("_place"), F.get_json_object("value", "$.manifest.content_hash").alias("content_hash"))
+        children = given.join(hashed, "_place").select("path", "content_hash")
+    else:
+        children = given.select("path", F.lit(None).cast("string").alias("content_hash"))
     run = spark.createDataFrame(
-        [(complete, profile, target_layout, config_hash, enabled, converted, gated, len(found))],
+        [(complete, profile, target_layout, config_hash, enabled, converted, gated, len(table_paths))],
         "complete BOOLEAN, profile STRING, target_layout STRING, config_hash STRING, "
         "enabled ARRAY<STRING>, converted ARRAY<STRING>, gated ARRAY<STRING>, n_tables INT",
     )

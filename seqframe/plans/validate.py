@@ -1,9 +1,10 @@
 """Every data-quality check over one encoded table, its sidecar and its declared profile.
 
-The table is measured in one fused aggregation (which also digests it, its key order and its decoded
-slices), plus one grouping each for key uniqueness, repeated sequences and class counts. The
-measurements are melted into ``(fact, num, text)`` rows, gathered into one row, and the check rows
-are expressions over that row; nothing is collected.
+Every row is decoded once, into a narrow written row of facts and digests. From those come one aggregation
+(digests of the table, its key order and its decoded slices among it) and one grouping each for key uniqueness,
+repeated sequences and class counts, each reading its own columns. The measurements are melted into
+``(fact, num, text)`` rows, gathered into one row, and the check rows are expressions over that row; nothing
+is collected. With ``by`` all of this is done for many tables at once (see ``plans/folder.py``).
 
 Digests settle the comparisons with the sidecar without a join: equal sums over (order, key) mean
 equal keys in equal order, equal sums over (key, slice digest) mean every row decodes to the slice
@@ -16,12 +17,13 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqframe.functions import digests as D
 from seqframe.model import KEY, MAX_TOKEN, PAD_TOKEN
 from seqframe.operators import quality as Q
+from seqframe.session import written
 
 # The names of the checks, in the order in which they are reported.
 CHECK_NAMES = (
@@ -64,23 +66,33 @@ _NUMBERS = (
 )
 _TEXTS = (
     "content_hash", "samples_content_hash", "table_digest", "key_order", "decoded_digest",
-    "sidecar_digest", "sidecar_key_order", "slice_digest_sum",
+    "sidecar_digest", "sidecar_key_order", "slice_digest_sum", "target_digest",
 )
 
 
-def table_facts(table: DataFrame, slice_digest: str = "sha2-256") -> DataFrame:
-    """One row: everything a single pass over the table can tell."""
+def measured(table: DataFrame, slice_digest: str = "sha2-256", by: Sequence[str] = ()) -> DataFrame:
+    """One narrow row per table row: its facts and digests. Rows are decoded here and nowhere else."""
     rows = Q.row_facts(table)
-    key, order = D.cell_text(table, KEY), D.cell_text(table, "ord")
+    key, order, target = D.cell_text(table, KEY), D.cell_text(table, "ord"), D.cell_text(table, "target")
     cell = Q.token_cell(F.col("in_range") & ~F.col("has_non_integer"), F.col("_row"), F.col("tokens"))
-    marked = rows.select(
-        "*",
+    seen = rows.withColumn("sequence_digest", F.sha2("decoded", 256))
+    letters = F.col("sequence_digest") if slice_digest == "sha2-256" else D.text_digest(F.col("decoded"), slice_digest)
+    return seen.select(
+        *by, KEY, "target", target.alias("label_text"), "sequence_digest",
+        "width", "has_non_integer", "token_min", "token_max", "padding", "well_padded", "residues",
+        F.coalesce(F.size("target"), F.lit(0)).alias("n_of_target"),
+        F.coalesce(F.exists("target", lambda v: v.isNull()), F.lit(True)).alias("bad_target"),
         Q.table_row_digest(table, cell).alias("_content"),
         D.row_digest(order, key).alias("_order"),
-        D.row_digest(key, D.text_digest(F.col("decoded"), slice_digest)).alias("_slice"),
+        D.row_digest(key, letters).alias("_slice"),
+        D.row_digest(order, key, target).alias("_target"),
     )
+
+
+def measured_facts(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Totals of ``measured`` rows, one row per table."""
     zero = F.lit(0)
-    return marked.agg(
+    return rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col(KEY).isNull()).alias("null_keys"),
         F.min("width").alias("width_min"),
@@ -91,24 +103,33 @@ def table_facts(table: DataFrame, slice_digest: str = "sha2-256") -> DataFrame:
         F.coalesce(F.sum("padding"), zero).alias("padding_cells"),
         F.count_if(~F.col("well_padded")).alias("inner_padding"),
         F.count_if(F.col("residues") == 0).alias("empty_rows"),
-        F.min(F.coalesce(F.size("target"), zero)).alias("targets_min"),
-        F.max(F.coalesce(F.size("target"), zero)).alias("targets_max"),
-        F.count_if(F.coalesce(F.exists("target", lambda v: v.isNull()), F.lit(True))).alias("non_integer_targets"),
+        F.min("n_of_target").alias("targets_min"),
+        F.max("n_of_target").alias("targets_max"),
+        F.count_if("bad_target").alias("non_integer_targets"),
         D.combined_digest("_content").alias("table_digest"),
         D.combined_digest("_order").alias("key_order"),
         D.combined_digest("_slice").alias("decoded_digest"),
+        D.combined_digest("_target").alias("target_digest"),
     )
 
 
-def sidecar_facts(samples: DataFrame) -> DataFrame:
-    cells = [D.cell_text(samples, c) for c in samples.columns if c != "ord"]
+def table_facts(table: DataFrame, slice_digest: str = "sha2-256") -> DataFrame:
+    """One row: everything a single pass over the table can tell."""
+    return measured_facts(measured(table, slice_digest))
+
+
+def sidecar_facts(samples: DataFrame, cells: Column | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Totals of a sidecar, one row per table; ``cells`` digests a row's cells where they are not columns."""
+    if cells is None:
+        cells = D.row_digest(*[D.cell_text(samples, c) for c in samples.columns if c not in ("ord", *by)])
     key, order = D.cell_text(samples, KEY), D.cell_text(samples, "ord")
     marked = samples.select(
-        D.row_digest(order, D.row_digest(*cells)).alias("_content"),
+        *by,
+        D.row_digest(order, cells).alias("_content"),
         D.row_digest(order, key).alias("_order"),
         D.row_digest(key, D.cell_text(samples, "slice_digest")).alias("_slice"),
     )
-    return marked.agg(
+    return marked.groupBy(*by).agg(
         F.count(F.lit(1)).alias("sidecar_rows"),
         D.combined_digest("_content").alias("sidecar_digest"),
         D.combined_digest("_order").alias("sidecar_key_order"),
@@ -116,74 +137,87 @@ def sidecar_facts(samples: DataFrame) -> DataFrame:
     )
 
 
-def melted(one_row: DataFrame) -> DataFrame:
-    """``(fact, num, text)``: one row per column of a one-row DataFrame."""
+def melted(one_row: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(fact, num, text)``: one row per column of a DataFrame of one row (per table)."""
     cells = []
-    for f in one_row.schema.fields:
+    for f in [f for f in one_row.schema.fields if f.name not in by]:
         text = f.dataType.typeName() == "string"
         num, word = ("NULL", f.name) if text else (f.name, "NULL")
         cells.append(
             f"named_struct('fact', '{f.name}', 'num', cast({num} AS BIGINT), 'text', cast({word} AS STRING))"
         )
-    return one_row.select(F.expr(f"inline(array({', '.join(cells)}))"))
+    return one_row.select(*by, F.expr(f"inline(array({', '.join(cells)}))"))
 
 
-def gathered(long: DataFrame, numbers: Sequence[str], texts: Sequence[str]) -> DataFrame:
-    """One row again: a column per fact, null for one that was not measured."""
-    return long.agg(
+def gathered(long: DataFrame, numbers: Sequence[str], texts: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """One row (per table) again: a column per fact, null for one that was not measured."""
+    return long.groupBy(*by).agg(
         *[F.expr(f"max(CASE WHEN fact = '{n}' THEN num END) AS {n}") for n in numbers],
         *[F.expr(f"max(CASE WHEN fact = '{n}' THEN text END) AS {n}") for n in texts],
     )
 
 
-def label_facts(table: DataFrame, semantics: DataFrame | None) -> DataFrame:
+def label_facts(table: DataFrame, semantics: DataFrame | None, by: Sequence[str] = ()) -> DataFrame:
     """Values per target column, reduced to counts before anything is joined."""
-    counts = Q.class_counts(table).filter(F.col("value").isNotNull())
+    values = table.select(*by, F.posexplode("target").alias("target_index", "value")).filter(F.col("value").isNotNull())
+    counts = values.groupBy(*by, "target_index", "value").agg(F.count(F.lit(1)).alias("n"))
     if semantics is None:
         known = counts.withColumn("known", F.lit(True))
     else:
-        named = semantics.select("value", F.lit(True).alias("known")).distinct()
-        known = counts.join(named, "value", "left")
-    per_target = known.groupBy("target_index").agg(
+        named = semantics.select(*by, "value", F.lit(True).alias("known")).distinct()
+        known = counts.join(named, [*by, "value"], "left")
+    per_target = known.groupBy(*by, "target_index").agg(
         F.max(F.abs("value")).alias("top"),
         F.count(F.lit(1)).alias("classes"),
         F.count_if(F.col("known").isNull()).alias("unknown"),
     )
-    return per_target.agg(
+    return per_target.groupBy(*by).agg(
         F.count_if(F.col("top") == 0).alias("all_zero_targets"),
         F.max(F.when(F.col("target_index") == 0, F.col("classes"))).alias("classes_of_first"),
         F.coalesce(F.sum("unknown"), F.lit(0)).alias("undocumented"),
     )
 
 
+def distinct_keys(rows: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+    return rows.groupBy(*by, KEY).agg(F.lit(1)).groupBy(*by).agg(F.count(KEY).alias(name))
+
+
+def repeat_facts(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Repeated sequences and their labels from ``measured`` rows, counted in two steps."""
+    pairs = rows.groupBy(*by, "sequence_digest", "label_text").agg(F.count(F.lit(1)).alias("_n"))
+    groups = pairs.groupBy(*by, "sequence_digest").agg(F.sum("_n").alias("n_rows"), F.count(F.lit(1)).alias("n_labels"))
+    return groups.groupBy(*by).agg(
+        F.count_if(F.col("n_rows") > 1).alias("repeated_sequences"),
+        F.coalesce(F.sum(F.when(F.col("n_rows") > 1, F.col("n_rows"))), F.lit(0)).alias("rows_of_repeated"),
+        F.count_if(F.col("n_labels") > 1).alias("conflicts"),
+    )
+
+
+DECLARED = ("n_samples", "n_features", "n_targets", "samples_n_rows", "content_hash", "samples_content_hash")
+
+
 def facts(
-    table: DataFrame,
+    rows: DataFrame,
     samples: DataFrame,
     profile: DataFrame,
     semantics: DataFrame | None,
-    slice_digest: str = "sha2-256",
+    cells: Column | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """All measurements of one table in one row (lazy)."""
-    one = F.lit(1)
-    count = F.count(one)
-    groups = Q.sequence_groups(Q.row_facts(table), "decoded", "target")
-    declared = ["n_samples", "n_features", "n_targets", "samples_n_rows", "content_hash", "samples_content_hash"]
+    """All measurements in one row (per table) from written ``measured`` rows: each part reads the columns it needs."""
+    count = F.count(F.lit(1))
     parts = [
-        profile.agg(count.alias("n_profiles"), *[F.max(c).alias(c) for c in declared]),
-        table_facts(table, slice_digest),
-        table.groupBy(KEY).agg(one).agg(F.count(KEY).alias("distinct_keys")),
-        sidecar_facts(samples),
-        samples.groupBy(KEY).agg(one).agg(F.count(KEY).alias("sidecar_distinct_keys")),
-        groups.agg(
-            F.count_if(F.col("n_rows") > 1).alias("repeated_sequences"),
-            F.coalesce(F.sum(F.when(F.col("n_rows") > 1, F.col("n_rows"))), F.lit(0)).alias("rows_of_repeated"),
-            F.count_if(F.col("n_labels") > 1).alias("conflicts"),
-        ),
-        label_facts(table, semantics),
+        profile.groupBy(*by).agg(count.alias("n_profiles"), *[F.max(c).alias(c) for c in DECLARED]),
+        measured_facts(rows, by),
+        distinct_keys(rows, "distinct_keys", by),
+        sidecar_facts(samples, cells, by),
+        distinct_keys(samples, "sidecar_distinct_keys", by),
+        repeat_facts(rows, by),
+        label_facts(rows, semantics, by),
     ]
     if semantics is not None:
-        parts.append(semantics.agg(count.alias("documented")))
-    return gathered(reduce(DataFrame.unionByName, [melted(p) for p in parts]), _NUMBERS, _TEXTS)
+        parts.append(semantics.groupBy(*by).agg(count.alias("documented")))
+    return gathered(reduce(DataFrame.unionByName, [melted(p, by) for p in parts]), _NUMBERS, _TEXTS, by)
 
 
 # Premises of the checks, over the gathered facts.
@@ -305,8 +339,8 @@ def _detail(template: str) -> str:
     return f"concat({', '.join(cells)})"
 
 
-def checks_from_facts(one_row: DataFrame, has_semantics: bool = True) -> DataFrame:
-    """``(ordinal, name, passed, detail)``; a check whose premise failed is left out and said so."""
+def checks_from_facts(one_row: DataFrame, has_semantics: bool = True, by: Sequence[str] = ()) -> DataFrame:
+    """``(ordinal, name, passed, detail)`` (per table); a check whose premise failed is left out and said so."""
     spec = _check_spec(has_semantics)
     rows = [
         f"named_struct('ordinal', {i}, 'name', '{name}', 'passed', coalesce({passed}, false), "
@@ -314,7 +348,7 @@ def checks_from_facts(one_row: DataFrame, has_semantics: bool = True) -> DataFra
         for i, name in enumerate(CHECK_NAMES)
         for emitted, passed, detail in [spec[name]]
     ]
-    listed = one_row.select(F.expr(f"inline(array({', '.join(rows)}))"))
+    listed = one_row.select(*by, F.expr(f"inline(array({', '.join(rows)}))"))
     return listed.filter("emitted").drop("emitted")
 
 
@@ -325,12 +359,13 @@ def validate_table(
     semantics: DataFrame | None = None,
     slice_digest: str = "sha2-256",
 ) -> DataFrame:
-    """Check rows of one table.
+    """Check rows of one table (action: every row is decoded once and its facts are written).
 
     ``table`` is ``(ord, sample_id, target ARRAY, tokens ARRAY)`` with null for a cell that is no
     integer; ``samples`` has ``ord, sample_id, slice_digest``; ``profile`` is the one declared row.
     """
-    return checks_from_facts(facts(table, samples, profile, semantics, slice_digest), semantics is not None)
+    rows = written(measured(table, slice_digest))
+    return checks_from_facts(facts(rows, samples, profile, semantics), semantics is not None)
 
 
 def summary(checks: DataFrame) -> DataFrame:

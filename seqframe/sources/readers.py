@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from seqframe.functions.letters import uri_fragment
 from seqframe.model import require_columns
+from seqframe.operators.ranking import last_of_each
 from seqframe.session import broadcast_if_small, written
 
 MALFORMED = "_malformed"
@@ -200,9 +201,8 @@ def read_fasta(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     sequences = (
         marked.filter("headed")
         .select("element", F.array_join(good, "").alias("sequence"), F.struct("at", "pos").alias("at"))
-        .groupBy("element")
-        .agg(F.max_by("sequence", "at").alias("sequence"))
     )
+    sequences = last_of_each(sequences, "element", "at").drop("at")
     junk = marked.select(F.explode(F.filter("body", lambda x: ~x.rlike(NUCLEOTIDE_LINE))).alias("line"))
     return sequences, junk.select("line")
 
@@ -270,12 +270,20 @@ def evidence_calls(documents: DataFrame) -> DataFrame:
 # ---- membership lists -------------------------------------------------------------------------
 
 
+def _list_name() -> tuple[Column, Column]:
+    """``(class, file)``: the folder ``class=<name>`` that a list lies in, or else the file name before ``_v``."""
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    folder, file = F.regexp_extract(path, "/class=([^/]*)/[^/]*$", 1), F.col("_metadata.file_name")
+    name = F.when(folder != "", folder).otherwise(F.substring_index(file, "_v", 1))
+    return name, F.when(folder != "", folder).otherwise(file)
+
+
 def read_membership_lists(spark: SparkSession, path: str) -> DataFrame:
-    """``(class, id, file)``: one file per class, one id per line; the class is the name before ``_v``."""
-    lines = spark.read.text(path).select(
-        F.trim(F.col("value")).alias("id"), F.col("_metadata.file_name").alias("file")
-    )
-    return lines.filter(F.col("id") != "").select(F.substring_index("file", "_v", 1).alias("class"), "id", "file")
+    """``(class, id, file)``: one file per class, or one folder ``class=<name>``, one id per line."""
+    name, file = _list_name()
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    rows = lines.select(name.alias("class"), F.trim(F.col("value")).alias("id"), file.alias("file"))
+    return rows.filter(F.col("id") != "")
 
 
 def membership_list_problems(spark: SparkSession, path: str) -> DataFrame:
@@ -284,7 +292,9 @@ def membership_list_problems(spark: SparkSession, path: str) -> DataFrame:
     seen = lines.groupBy("file").agg(
         F.min(F.when(~F.col("id").rlike(MEMBER_LINE), F.col("id"))).alias("offender")
     )
-    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"))
+    # The content is not read; a file's name is enough.
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = files.select(_list_name()[1].alias("file")).distinct()
     return (
         files.join(seen.withColumn("seen", F.lit(True)), "file", "left")
         .select("file", F.when(F.col("seen").isNull(), F.lit("<empty file>")).otherwise(F.col("offender")).alias("problem"))
@@ -313,4 +323,4 @@ def read_sequence_dict(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).select("value", file_position().alias("at")).filter(F.contains("value", F.lit("\t")))
     pair = F.split("value", "\t", 2)
     entries = lines.select(pair[0].alias("id"), pair[1].alias("sequence"), "at")
-    return entries.groupBy("id").agg(F.max_by("sequence", "at").alias("sequence"))
+    return last_of_each(entries, "id", "at").drop("at")

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seqframe.functions.digests import ALGORITHM
 from seqframe.plans import audit as A
 
 CHECKS = (
@@ -25,7 +26,8 @@ def block(index, n=2, **changes):
     names, slugs, hashes = ([f"{p}{i}" for i in range(n)] for p in ("N ", "n", "h"))
     base = {
         "original_target_index": index, "original_target_count": n, "original_target_name": f"N {index}", "original_target_slug": f"n{index}",
-        "source_target_names": names, "source_target_slugs": slugs, "source_target_hashes": hashes, "source_row_count": 2,
+        "source_target_names": names, "source_target_slugs": slugs, "source_target_hashes": hashes,
+        "source_target_hash_algorithm": ALGORITHM, "source_row_count": 2,
     }
     return base | changes
 
@@ -104,8 +106,8 @@ def test_rollup_counts_and_shows_one_failure(spark, make):
     found = A.per_table_findings(checks(spark, "a", "b", "c"), both, declared(spark, ("s1", True)))
     rolled = {r.requirement: r for r in A.requirement_rollup(found).collect()}
     bad = rolled[A.REQUIREMENTS[4]]
-    assert (bad.status, bad.n_tables, bad.n_failed) == ("FAIL", 3, 2) and bad.first_failure.startswith("b: ")
-    assert rolled[A.REQUIREMENTS[0]].status == "PASS" and rolled[A.REQUIREMENTS[0]].first_failure is None
+    assert (bad.status, bad.n_tables, bad.n_failed) == ("FAIL", 3, 2) and bad.failures.startswith("b: ") and bad.failures.count("; ") == 1
+    assert rolled[A.REQUIREMENTS[0]].status == "PASS" and rolled[A.REQUIREMENTS[0]].failures is None
 
 
 def test_provenance_field_by_field(spark, make):
@@ -181,6 +183,7 @@ def test_projections_that_cover_their_source(make):
         (lambda: [projected(0), projected(1, source_target_slugs=["n0", ""])], "slugs"),
         (lambda: [projected(0), projected(1, source_target_hashes=None)], "hashes"),
         (lambda: [projected(0), projected(1, source_row_count=0)], "row count"),
+        (lambda: [projected(0), projected(1, source_target_hash_algorithm="md5")], "algorithm"),
         (lambda: [projected(0), projected(1, original_target_name="N 0")], "name and index"),
         (lambda: [projected(0), projected(1, original_target_slug="n0")], "slug and index"),
         (lambda: [projected(0), projected(1, path="t__other")], "path and slug"),
@@ -235,3 +238,18 @@ def test_tables_of_undeclared_sources_do_not_count(spark, make):
     report = A.audit(checks(spark, "t", "u"), make(profile("t"), profile("u", "other", cipher="x")), declared(spark, ("s1", True)))
     assert A.overall_status(report).first().overall_status == "PASS"
     assert report.filter(F.col("requirement").contains("other")).count() == 0
+
+
+def test_gaps_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(4)
+    counts = {s: n for s, n in (("a", 60), ("b", 1), ("c", 0), (None, 25), ("all", 5), ("big", 10**9))}
+    rows = [(s, rng.randrange(-2, min(n, 60) + 3), n) for s, n in counts.items() for _ in range(25)] + [("all", i, 5) for i in range(5)] + [("a", None, 60)]
+    got = {tuple(r) for r in A.index_gaps(spark.createDataFrame(rows, "s STRING, i INT, n INT"), "s", "i", "n").collect()}
+    want = set()
+    for s, n in counts.items():
+        seen = sorted({i for t, i, _ in rows if t == s and i is not None and 0 <= i < n})
+        edges = [-1, *seen, n]
+        want |= {(s, a + 1, b - 1) for a, b in zip(edges[:-1], edges[1:], strict=True) if b - a > 1}
+    assert got == want

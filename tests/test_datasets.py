@@ -23,7 +23,7 @@ def test_pairs_alternate_and_repeats_are_numbered(spark):
     ids = [r.metadata.pair_id for r in got[::2]]
     assert ids[2] == f"{ids[0]}_1" and ids[3] == f"{ids[0]}_2" and ids[1] not in ids[2]
     assert [r.sample_id for r in got[:2]] == [f"{ids[0]}__natural", f"{ids[0]}__finetune"]
-    assert got[0].metadata.description == "d" * 120 and got[2].sequence == "AAA"
+    assert got[0].metadata.description == "d" * 200 and got[2].sequence == "AAA"
     assert ds.stats["pair_drops"].first() == (1, 1, 4)
 
 

@@ -101,3 +101,25 @@ def test_keyed_sample_ignores_layout(spark):
     a = {r.id for r in R.keyed_sample(df, "id", 25, seed=3).collect()}
     assert a == {r.id for r in R.keyed_sample(df.repartition(9), "id", 25, seed=3).collect()}
     assert len(a) == 25 and a != {r.id for r in R.keyed_sample(df, "id", 25, seed=4).collect()}
+
+
+@pytest.mark.parametrize("n", [3, 2000])
+def test_first_of_each_equals_brute_force(spark, n):
+    rng = random.Random(n)
+    rows = [(rng.choice([None, "a", "a", "a", "b"]), rng.randrange(10**9)) for _ in range(3000)]
+    got = R.first_of_each(spark.createDataFrame(rows, "g STRING, v BIGINT"), ["g"], ["v"], n)
+    want = {(g, v, k) for g in (None, "a", "b") for k, v in enumerate(sorted(v for h, v in rows if h == g)[:n])}
+    assert {(r.g, r.v, r["rank"]) for r in got.collect()} == want
+
+
+def test_small_caps_sort_nothing_as_a_whole(spark):
+    members = spark.createDataFrame([("a", "x"), ("b", "y")], "class STRING, id STRING")
+    for df in (R.round_robin_cap(members, 500), R.balanced_cap(members, "class", "id", 500)):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in text and "rangepartitioning" not in text
+
+
+def test_last_of_each_key(spark):
+    rows = [("a", 1, "x"), (None, 2, "y"), ("a", 5, "z"), (None, 3, "u"), ("b", 4, "v"), ("a", 0, "w")]
+    got = R.last_of_each(spark.createDataFrame(rows, "k STRING, at INT, wide STRING"), "k", "at")
+    assert sorted((r.at, r.wide) for r in got.collect()) == [(3, "u"), (4, "v"), (5, "z")]

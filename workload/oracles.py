@@ -567,6 +567,97 @@ put(
         },
     ),
 )
+put(
+    "validate_declared_fault",
+    check_rows(
+        ROWS,
+        NOT_EMITTED["sound"],
+        {n: "false" for n in (
+            "sidecar_counts_match_manifest", "samples_sidecar_content_hash_matches", "samples_sidecar_row_count_matches_manifest",
+            "content_hash_matches_the_table_on_disk",
+        )} | {"no_row_is_silently_empty": EMPTY},
+    ),
+)
+TARGETS_OK = "(select count(*) filter (ord % 43 = 0) = 0 from sound)"
+put(
+    "validate_target_fault",
+    check_rows(
+        ROWS,
+        (
+            "labels_only_documented_values", "remaining_checks_skipped", "conflicting_labels_on_identical_sequences_reported",
+            "every_target_column_carries_at_least_one_positive", "a_single_target_column_has_at_least_two_classes",
+        ),
+        {n: TARGETS_OK for n in (
+            "target_columns_exist", "all_target_columns_integer", "label_dependent_checks_skipped", "content_hash_matches_the_table_on_disk",
+        )} | {"no_row_is_silently_empty": EMPTY},
+    ),
+)
+put(
+    "validate_label_fault",
+    check_rows(
+        ROWS,
+        NOT_EMITTED["sound"],
+        {"labels_only_documented_values": "false", "content_hash_matches_the_table_on_disk": "false", "no_row_is_silently_empty": EMPTY,
+         "a_single_target_column_has_at_least_two_classes": "false"},
+    ),
+)
+put(
+    "validate_zero_fault",
+    check_rows(
+        ROWS,
+        NOT_EMITTED["sound"],
+        {"every_target_column_carries_at_least_one_positive": "false", "no_row_is_silently_empty": EMPTY,
+         "a_single_target_column_has_at_least_two_classes": "false",
+         "content_hash_matches_the_table_on_disk": "(select count(*) filter (even <> 0) = 0 from sound)"},
+    ),
+)
+put(
+    "validate_sidecar_fault",
+    check_rows(
+        f"{ROWS}, {SWAPPED}",
+        NOT_EMITTED["sound"],
+        {n: SAME_OK for n in (
+            "samples_sidecar_content_hash_matches", "samples_sidecar_sample_ids_match_table_order",
+            "sampled_rows_decode_back_to_their_source_sequence",
+        )} | {"samples_sidecar_sample_ids_unique": KEYS_OK, "no_row_is_silently_empty": EMPTY},
+    ),
+)
+put(
+    "validate_unprofiled",
+    "select 0 as ordinal, 'loads' as name, count(*) > 0 as passed from documents union all select 1, 'sidecar_present_and_matches_header', false",
+)
+SHORT_OK = "(select count(*) filter (ord % 53 = 0) = 0 from sound)"
+put(
+    "validate_width_fault",
+    check_rows(
+        ROWS,
+        NOT_EMITTED["sound"],
+        {"every_row_has_the_same_width": SHORT_OK, "no_row_is_silently_empty": EMPTY,
+         # A cell of padding is lost from the row's text as well; one with a letter changes what the row decodes to.
+         "content_hash_matches_the_table_on_disk": SHORT_OK,
+         "sampled_rows_decode_back_to_their_source_sequence": "(select count(*) filter (ord % 53 = 0 and substr(r, 64) <> '@') = 0 from sound)"},
+    ),
+)
+CELL_OK = "(select count(*) filter (ord % 59 = 0) = 0 from sound)"
+put(
+    "validate_cell_fault",
+    check_rows(
+        ROWS,
+        (
+            "label_dependent_checks_skipped", "every_row_has_the_same_width", "tokens_within_configured_range",
+            "padding_only_ever_trails_the_sequence", *DECODE,
+        ),
+        {"all_position_columns_integer": CELL_OK, "remaining_checks_skipped": CELL_OK},
+    ),
+)
+put(
+    "compare_runs_differ",
+    f"{ROWS}, {SWAPPED} select 'rerunning_with_the_same_config_is_byte_identical' as name, {SAME_OK} as passed",
+)
+put(
+    "stored_checks",
+    f"select k.kind, v.* from ({ORACLES['validate_table']}) v, (select 'json' as kind union all select 'table') k",
+)
 put(
     "validation_summary",
     f"""select bool_and(passed) as ok, count(*) as n_checks, count(*) filter (not passed) as n_failed
@@ -676,6 +767,115 @@ put("one_hot_csv", f"with {FIRST_EVENT} select user_id::varchar as user_id, conc
 put("sequence_dictionary", f"{with_ctes('dictionary')} select id, sequence from dictionary")
 put("file_order", "select i as at, i as ord from (select unnest(range((select count(*) from lineitem))) as i) t")
 
+# ---- whole folders ----------------------------------------------------------------------------
+
+PIECES = f"{with_ctes('all_pieces', 'labelled_pieces')}, {CONVERTED}, whole as (select * from all_pieces where sequence <> '')"
+TWO_CLASSES = "(select count(distinct quality) = 2 and count(distinct toxic) = 2 from conv)"
+
+
+def audit_rows(loads: str, inventory: str) -> str:
+    """The report over the written folder; ``loads`` and ``inventory`` are conditions over the data."""
+    status = lambda ok: f"case when {ok} then 'PASS' else 'FAIL' end"
+    rows = [
+        (0, "run inventory is complete and current", status(inventory)), (1, "table loads and validates", status(loads)),
+        (2, "sample_id is present, non-null and unique", "'PASS'"), (3, "exactly one target column", "'PASS'"),
+        (4, "features are position columns in declared order and integer", "'PASS'"),
+        (5, "encoding is the letter cipher with padding 0", "'PASS'"), (6, "label provenance matches the declaration", "'PASS'"),
+        (7, "source coverage: documents", "'PASS'"), (7, "source coverage: labelled", "'PASS'"),
+        (7, "source coverage: absent", "'BLOCKED_EXTERNAL'"),
+    ]
+    return f"{PIECES} " + " union all ".join(f"select {i} as ordinal, '{r}' as requirement, {s} as status" for i, r, s in rows)
+
+
+UNSWAPPED = "(select count(*) filter (ord % 41 = 0 and substr(sequence, 1, 1) <> substr(sequence, 2, 1) and length(sequence) > 1) = 0 from whole)"
+put("written_audit", audit_rows(TWO_CLASSES, "true"))
+put("written_audit_swapped", audit_rows(f"{TWO_CLASSES} and {UNSWAPPED}", UNSWAPPED))
+put(
+    "projected_files",
+    f"""{PIECES} select 'labelled' as source_key, 'PASS' as status, 'every index present and bound' as detail, 2::bigint as n_tables
+      from (select count(*) as n from conv) c where n > 0""",
+)
+FOLDER_CHECKS = " union all ".join(
+    f"""select p.path, {i} as ordinal, '{n}' as name, """
+    + ("case when p.target = 'quality' then {0} when p.target = 'toxic' then {1} else true end".format(
+        "(select count(distinct quality) = 2 from conv)", "(select count(distinct toxic) = 2 from conv)")
+       if n == "a_single_target_column_has_at_least_two_classes"
+       else "case when p.target = 'quality' then (select max(quality) > 0 from conv) when p.target = 'toxic' then (select max(toxic) > 0 from conv) else true end"
+       if n == "every_target_column_carries_at_least_one_positive" else "true")
+    + " as passed from p"
+    for i, n in enumerate(CHECK_NAMES)
+    if n not in NOT_EMITTED["sound"]
+)
+put(
+    "folder_checks",
+    f"""{PIECES}, p as (select 'documents_full' as path, '' as target union all select 'labelled_full/slug=quality', 'quality'
+      union all select 'labelled_full/slug=toxic', 'toxic') {FOLDER_CHECKS} union all select 'torn', 0, 'loads', false""",
+)
+PLACED_ROW = row_digest("place::varchar", row_digest("sample_id", "even::varchar", "rpad(sequence, 64, '@')"))
+put(
+    "inventory_of_run",
+    f"""{PIECES}, placed as (select *, row_number() over (order by ord) - 1 as place from whole), d as (select {PLACED_ROW} as h from placed)
+      select 'documents_full' as path, {lanes('h')} as content_hash from d""",
+)
+put(
+    "damaged_rows",
+    f"""{PIECES} select sample_id, case when ord % 13 = 0 then 65 else 63 end as width, 64 as declared from whole
+      where ord % 13 = 0 or ord % 17 = 0""",
+)
+put(
+    "damaged_shape",
+    f"""{PIECES} select (case when ord % 13 = 0 then 67 when ord % 17 = 0 then 65 else 66 end)::int as width, count(*) as n_rows
+      from whole group by 1""",
+)
+put("keys_as_text", f"{PIECES} select sample_id, even::varchar as target from whole")
+
+# ---- the other source shapes ------------------------------------------------------------------
+
+put(
+    "evidence_features",
+    f"{with_ctes('dna')} select '1' as id, doc_id::varchar as name, b as sequence, lang as role, lang as call from dna",
+)
+put(
+    "evidence_calls",
+    f"""{with_ctes('dna')} select '1' as id, lang as call, count(*) as n from dna group by lang
+      union all select '2', 'altered', count(*) from dna having count(*) > 0""",
+)
+put("evidence_detections", f"{with_ctes('dna')} select doc_id::varchar as sample, source as call from dna")
+MEMBER = "concat('P', lpad(id, 8, '0'))"
+put("membership_lists", f"{with_ctes('members')} select class, {MEMBER} as id from members")
+put(
+    "membership_list_problems",
+    f"""{with_ctes('members')} select class as file, case when class = '5-LOW' then '<empty file>'
+        else min(concat('bad ', id)) filter (id::int % 97 = 0) end as problem from members group by class
+      having class = '5-LOW' or count(*) filter (id::int % 97 = 0) > 0""",
+)
+put(
+    "values_csv",
+    f"""{with_ctes('dna')} select doc_id::varchar as sequence_id, nullif(b, '') as sequence, lang as species_name, (doc_id % 37)::varchar as growth_rate
+      from dna""",
+)
+put(
+    "class_vocabulary",
+    f"""with {FIRST_EVENT}, names as (select unnest(['e_click', 'e_error', 'e_purchase', 'e_signup', 'e_view']) as class)
+      select n.class, count(k) as n from names n left join first_event f on n.class = concat('e_', k) group by n.class""",
+)
+put("one_target", f"{with_ctes('labelled')} select sample_id, toxic, 1 as n from labelled")
+put(
+    "index_gaps",
+    """with want as (select l_orderkey, unnest(range(7))::bigint as i from (select distinct l_orderkey from lineitem) o),
+      lost as (select w.* from want w anti join lineitem s on w.l_orderkey = s.l_orderkey and w.i = s.l_linenumber),
+      runs as (select *, i - row_number() over (partition by l_orderkey order by i) as run from lost)
+      select l_orderkey, min(i) as first, max(i) as last from runs group by l_orderkey, run""",
+)
+put(
+    "membership_capped",
+    f"""{with_ctes('members', 'dictionary')}, {SETS}, ranked as (select class, id, row_number() over (partition by class order by id) - 1 as depth
+        from (select distinct class, id from members) m),
+      turns as (select id, depth, class, row_number() over (partition by id order by depth, class) as rn from ranked),
+      chosen as (select id from turns where rn = 1 order by depth, class limit 200)
+      select v.id as sample_id, v.label from vectors v join chosen c on v.id = c.id join dictionary d on v.id = d.id where d.sequence <> ''""",
+)
+
 # ---- sampling and tallies ---------------------------------------------------------------------
 
 BLOCKS = f"""with numbered as (select {LINE_ORDER}, row_number() over (order by {LINE_ORDER}) - 1 as position from lineitem),

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqframe.functions import letters as L
+from seqframe.functions.digests import ALGORITHM
+from seqframe.functions.labels import checked_label
 from seqframe.functions import tokens as T
 from seqframe.model import Alphabet, Dataset, LengthPolicy, Options
 from seqframe.operators import cleaning as C
@@ -20,10 +22,12 @@ from seqframe.plans import audit as A
 from seqframe.plans import datasets as D
 from seqframe.plans import projection as J
 from seqframe.plans import validate as V
-from seqframe.plans.convert import Converted, convert, write_dataset
+from seqframe.plans import folder as O
+from seqframe.plans.convert import Converted, convert, run_inventory, write_dataset, write_projected
 from seqframe.session import shared_dir
 from seqframe.sources import readers as S
-from seqframe.sources.tables import read_samples
+from seqframe.operators.projection import select_target
+from seqframe.sources.tables import bare_path, dataset_shape, read_key_as_text, read_samples, write_checks, write_wide_table
 from workload.inputs import Inputs
 
 DNA, PROTEIN = Alphabet.DNA_NUCLEOTIDE, Alphabet.AMINO_ACID
@@ -511,6 +515,7 @@ def projected_profiles(x: Inputs) -> DataFrame:
             names.alias("source_target_names"),
             slugs.alias("source_target_slugs"),
             F.col("hashes").alias("source_target_hashes"),
+            F.lit(ALGORITHM).alias("source_target_hash_algorithm"),
             F.col("n_rows").alias("source_row_count"),
         ).alias("projection"),
     ).filter(~((F.col("source_key") == "src7") & (F.col("projection.original_target_index") == 1)))
@@ -643,6 +648,82 @@ def validate_key_fault(x: Inputs) -> DataFrame:
     return validated(x, with_swapped_key)
 
 
+def with_faults(x: Inputs, table=None, samples=None, profile=None) -> DataFrame:
+    """Check rows of the pieces' table with a fault in one of its three parts."""
+    made = convert(parity_dataset(x, x.all_pieces), Options(width=64)).materialized()
+    same = lambda df: df
+    parts = [(f or same)(df) for f, df in ((table, made.table), (samples, made.samples), (profile, made.profile))]
+    return V.validate_table(*parts, made.dataset.semantics).select("ordinal", "name", "passed")
+
+
+@query
+def validate_declared_fault(x: Inputs) -> DataFrame:
+    """The manifest names other counts and hashes."""
+    other = {"n_samples": F.col("n_samples") + 1, "samples_n_rows": F.col("samples_n_rows") + 2, "content_hash": F.lit("x"), "samples_content_hash": F.lit("y")}
+    return with_faults(x, profile=lambda p: p.withColumns(other))
+
+
+@query
+def validate_target_fault(x: Inputs) -> DataFrame:
+    """Every 43rd row has no target."""
+    return with_faults(x, table=lambda t: t.withColumn("target", F.when(F.col("ord") % 43 != 0, F.col("target"))))
+
+
+@query
+def validate_label_fault(x: Inputs) -> DataFrame:
+    """One value everywhere, and one that nothing documents."""
+    return with_faults(x, table=lambda t: t.withColumn("target", F.array(F.lit(2))))
+
+
+@query
+def validate_zero_fault(x: Inputs) -> DataFrame:
+    return with_faults(x, table=lambda t: t.withColumn("target", F.array(F.lit(0))))
+
+
+@query
+def validate_sidecar_fault(x: Inputs) -> DataFrame:
+    """Every 41st row of the sidecar carries the key of the row before it."""
+    return with_faults(x, samples=with_swapped_key)
+
+
+@query
+def validate_unprofiled(x: Inputs) -> DataFrame:
+    return with_faults(x, profile=lambda p: p.filter("false"))
+
+
+@query
+def validate_width_fault(x: Inputs) -> DataFrame:
+    """Every 53rd row lacks its last cell."""
+    t = F.col("tokens").cast("array<int>")
+    short = F.when(F.col("ord") % 53 == 0, F.slice(t, 1, 63)).otherwise(t)
+    return with_faults(x, table=lambda d: d.withColumn("tokens", short))
+
+
+@query
+def validate_cell_fault(x: Inputs) -> DataFrame:
+    """Every 59th row has a cell that is no integer."""
+    t = F.col("tokens").cast("array<int>")
+    bad = F.when(F.col("ord") % 59 == 0, F.concat(F.slice(t, 1, 63), F.array(F.lit(None).cast("int")))).otherwise(t)
+    return with_faults(x, table=lambda d: d.withColumn("tokens", bad))
+
+
+@query
+def compare_runs_differ(x: Inputs) -> DataFrame:
+    a = encoded(x)
+    return Q.compare_runs(a, with_swapped_key(a), ["ord"], ["sample_id", "target"]).select("name", "passed")
+
+
+@query
+def stored_checks(x: Inputs) -> DataFrame:
+    """Check rows written as a table and as JSON lines, both read back."""
+    path = folder(x)
+    write_checks(with_faults(x), path)
+    table = x.spark.read.parquet(f"{path}/table")
+    lines = x.spark.read.schema(table.schema).json(f"{path}/json")
+    kinds = [d.select(F.lit(k).alias("kind"), "ordinal", "name", "passed") for k, d in (("json", lines), ("table", table))]
+    return kinds[0].unionByName(kinds[1])
+
+
 @query
 def validation_summary(x: Inputs) -> DataFrame:
     return V.summary(validated(x, with_padding_faults))
@@ -720,7 +801,7 @@ def native_profiles(x: Inputs) -> DataFrame:
 A_PROJECTION = (
     "struct<original_target_index:int,original_target_count:int,original_target_name:string,"
     "original_target_slug:string,source_target_names:array<string>,source_target_slugs:array<string>,"
-    "source_target_hashes:array<string>,source_row_count:bigint>"
+    "source_target_hashes:array<string>,source_target_hash_algorithm:string,source_row_count:bigint>"
 )
 
 
@@ -749,7 +830,7 @@ def per_table_findings(x: Inputs) -> DataFrame:
 @query
 def requirement_rollup(x: Inputs) -> DataFrame:
     found = A.per_table_findings(native_checks(x), native_profiles(x), declared_sources(x))
-    return A.requirement_rollup(found).drop("first_failure")
+    return A.requirement_rollup(found).drop("failures")
 
 
 @query
@@ -896,6 +977,224 @@ def file_order(x: Inputs) -> DataFrame:
     return ranked.select("at", "ord")
 
 
+# ---- whole folders ----------------------------------------------------------------------------
+
+
+def written_folder(x: Inputs, fault: Callable[[DataFrame], DataFrame] | None = None) -> str:
+    """A native dataset of all pieces and a projected one of the labelled pieces, side by side."""
+    root = folder(x)
+    made = convert(parity_dataset(x, x.all_pieces), Options(width=64))
+    write_dataset(made, f"{root}/documents_full", config_hash="cfg", extra={"profile": "full"})
+    if fault is not None:
+        write_wide_table(fault(made.table), f"{root}/documents_full/table", 64, 1, mode="overwrite")
+    write_projected(converted(x), f"{root}/labelled_full", config_hash="cfg", extra={"profile": "full", "source_key": "labelled"})
+    return root
+
+
+def recorded_run(x: Inputs, root: str) -> tuple[DataFrame, DataFrame]:
+    names = ("documents_full", "labelled_full/slug=quality", "labelled_full/slug=toxic")
+    return run_inventory(
+        x.spark, [f"{root}/{n}" for n in names], complete=True, profile="full", target_layout="single", config_hash="cfg",
+        enabled=["documents", "labelled"], converted=["documents", "labelled"], gated=[],
+    )
+
+
+def audited(x: Inputs, fault: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    root = written_folder(x, fault)
+    declared = x.spark.createDataFrame(
+        [("documents", True, "documents"), ("labelled", True, "documents"), ("absent", False, "absent")], "source_key STRING, ready BOOLEAN, source STRING"
+    ).withColumns({c: F.lit("") for c in ("source_url", "licence", "target_description")})
+    run, children = recorded_run(x, root)
+    report = O.audit_folder(x.spark, root, declared, profile="full", config_hash="cfg", run=run, children=children, enabled=["documents", "labelled"])
+    return report.select("ordinal", "requirement", "status")
+
+
+@query
+def written_audit(x: Inputs) -> DataFrame:
+    """Convert, write, project, and audit what stands in the folder."""
+    return audited(x)
+
+
+@query
+def written_audit_swapped(x: Inputs) -> DataFrame:
+    """The same after the first two tokens of every 41st row were swapped in the table on disk."""
+    t = F.col("tokens")
+    swapped = F.concat(F.array(t[1], t[0]), F.slice(t, 3, 62))
+    return audited(x, lambda d: d.withColumn("tokens", F.when((F.col("ord") % 41 == 0) & (t[1] > 0), swapped).otherwise(t)))
+
+
+@query
+def projected_files(x: Inputs) -> DataFrame:
+    """The projection blocks that the writer made against tables and sidecars on disk."""
+    root = folder(x)
+    write_projected(converted(x), f"{root}/labelled_full", config_hash="cfg", extra={"source_key": "labelled"})
+    return A.projection_coverage(O.folder_facts(x.spark, root)[2], "cfg")
+
+
+@query
+def folder_checks(x: Inputs) -> DataFrame:
+    """Check rows of every dataset in the folder, and of one that was left half written."""
+    root = written_folder(x)
+    x.spark.range(1).select(F.lit("{").alias("value")).write.text(f"{root}/torn/manifest")
+    name = F.replace(F.col("path"), F.concat(bare_path(F.lit(root)), F.lit("/")), F.lit(""))
+    return O.validate_folder(x.spark, root).select(name.alias("path"), "ordinal", "name", "passed")
+
+
+@query
+def inventory_of_run(x: Inputs) -> DataFrame:
+    """Content hashes of a run's datasets from one scan of their manifests."""
+    root = folder(x)
+    write_dataset(convert(parity_dataset(x, x.all_pieces), Options(width=64)), f"{root}/documents_full")
+    _, children = run_inventory(
+        x.spark, [f"{root}/documents_full"], complete=True, profile="full", target_layout="single", config_hash="", enabled=[], converted=[], gated=[]
+    )
+    return children.select(F.element_at(F.split("path", "/"), -1).alias("path"), "content_hash")
+
+
+def damaged_folder(x: Inputs) -> str:
+    """A table on disk with a cell too many in every 13th row and one too few in every 17th of the others."""
+    root = folder(x)
+    write_dataset(convert(parity_dataset(x, x.all_pieces), Options(width=64)), f"{root}/good")
+    lines, key = x.spark.read.text(f"{root}/good/table"), F.try_to_number(F.substring_index("value", ",", 1), F.lit("99999999999999"))
+    value = F.col("value")
+    odd = F.when(key % 13 == 0, F.concat(value, F.lit(",5"))).when(key % 17 == 0, F.regexp_replace(value, ",[^,]*$", "")).otherwise(value)
+    lines.select(odd.alias("value")).write.text(f"{root}/bad/table")
+    x.spark.read.text(f"{root}/good/manifest").write.text(f"{root}/bad/manifest")
+    return root
+
+
+@query
+def damaged_rows(x: Inputs) -> DataFrame:
+    """Rows that are not as wide as their manifest says, named from the lines on disk."""
+    return O.damaged_rows(x.spark, damaged_folder(x)).select("sample_id", "width", "declared")
+
+
+@query
+def damaged_shape(x: Inputs) -> DataFrame:
+    return dataset_shape(x.spark, f"{damaged_folder(x)}/bad")
+
+
+@query
+def keys_as_text(x: Inputs) -> DataFrame:
+    path = folder(x)
+    write_dataset(convert(parity_dataset(x, x.all_pieces), Options(width=64)), path)
+    return read_key_as_text(x.spark, path, "target")
+
+
+# ---- the other source shapes ------------------------------------------------------------------
+
+
+def evidence_documents(x: Inputs) -> DataFrame:
+    """One nested JSON file per document: a feature with its sequence, one without, calls of both and a detection."""
+    path, mark = folder(x), F.concat(F.lit("http://x/y#"), "lang")
+    text = F.lit(None).cast("string")
+    feature = lambda i, name, sequence, role: F.struct(
+        F.lit(i).alias("id"), name.alias("name"), sequence.alias("sequence"), role.alias("role"), F.col("source"),
+        F.lit("0").alias("sourceStart"), F.length("b").cast("string").alias("sourceEnd"), F.lit("x#inline").alias("sourceOrientation"),
+    )
+    regions = F.array(
+        F.struct(F.lit("0").alias("start"), F.lit("9").alias("end"), F.lit("1").alias("feature"), mark.alias("engineered")),
+        F.struct(F.lit("9").alias("start"), F.lit("12").alias("end"), text.alias("feature"), mark.alias("engineered")),
+    )
+    detection = F.struct(
+        F.lit("agent").alias("agent"), F.col("doc_id").cast("string").alias("sample"), F.concat(F.lit("z#"), "source").alias("engineered"),
+        F.array(F.struct("source", regions.alias("regions"))).alias("contigs"),
+        F.array(F.struct(F.lit("2").alias("derivedFeature"), F.lit("w#altered").alias("engineered"))).alias("alterations"),
+    )
+    name = F.col("doc_id").cast("string")
+    features = F.array(feature("1", name, F.col("b"), F.col("lang")), feature("2", F.lit("none"), text, text))
+    rows = x.dna.select(F.to_json(F.struct(features.alias("features"), F.array(detection).alias("detections"))).alias("value"))
+    rows.coalesce(8).write.option("maxRecordsPerFile", 1).text(path)
+    return S.read_evidence_json(x.spark, path)
+
+
+@query
+def evidence_features(x: Inputs) -> DataFrame:
+    """Features with a sequence, and what was called on them in their own file."""
+    docs = evidence_documents(x)
+    found = S.evidence_features(docs).join(S.evidence_calls(docs), ["file", "id"], "left")
+    return found.select("id", "name", "sequence", "role", "call")
+
+
+@query
+def evidence_calls(x: Inputs) -> DataFrame:
+    return S.evidence_calls(evidence_documents(x)).groupBy("id", "call").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def evidence_detections(x: Inputs) -> DataFrame:
+    return S.evidence_detections(evidence_documents(x)).select("sample", "call")
+
+
+def member_lists(x: Inputs, broken: bool) -> str:
+    """A list per class in a folder of its name; broken: some lines are no ids, and one list is empty."""
+    path = folder(x)
+    ids = F.concat(F.lit("P"), F.lpad("id", 8, "0"))
+    if broken:
+        ids = F.when(F.col("id").cast("int") % 97 == 0, F.concat(F.lit("bad "), "id")).otherwise(ids)
+    rows = x.members.select("class", ids.alias("value"))
+    rows = rows.withColumn("value", F.when(F.col("class") == "5-LOW", "").otherwise(F.col("value"))) if broken else rows
+    rows.write.partitionBy("class").text(path)
+    return path
+
+
+@query
+def membership_lists(x: Inputs) -> DataFrame:
+    return S.require_membership_lists(x.spark, member_lists(x, False), classes=5).select("class", "id")
+
+
+@query
+def membership_list_problems(x: Inputs) -> DataFrame:
+    return S.membership_list_problems(x.spark, member_lists(x, True))
+
+
+def values_path(x: Inputs) -> str:
+    path = folder(x)
+    x.dna.select(
+        F.col("doc_id").alias("sequence_id"), F.col("b").alias("sequence"), F.col("lang").alias("species_name"), F.lit("no").alias("notes"),
+        (F.col("doc_id") % 37).alias("growth_rate"),
+    ).write.options(header=True).csv(path)
+    return path
+
+
+@query
+def values_csv(x: Inputs) -> DataFrame:
+    """Id, sequence and the value columns; other columns stay in the file."""
+    return S.read_values_csv(x.spark, values_path(x)).drop("ord")
+
+
+@query
+def class_vocabulary(x: Inputs) -> DataFrame:
+    """Class names from a header, with the members that a one-hot file has of each."""
+    path = folder(x)
+    x.one_hot.write.options(header=True).csv(path)
+    names = x.spark.createDataFrame([(n,) for n in S.label_vocabulary(x.spark, path)], "class STRING")
+    counts = K.collapse_one_hot(S.read_one_hot(x.spark, path), "user_id").groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+    return names.join(counts, "class", "left").select("class", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query
+def one_target(x: Inputs) -> DataFrame:
+    """One target of several, each label checked for presence and width."""
+    ds = labelled_dataset(x)
+    checked = ds.df.withColumn("label", checked_label(F.col("label"), 2, F.col("sample_id")))
+    return select_target(checked, 1).select("sample_id", F.col("label")[0].alias("toxic"), F.size("label").alias("n"))
+
+
+@query
+def index_gaps(x: Inputs) -> DataFrame:
+    """Runs of missing line numbers among the first seven of every order."""
+    lines = x.lineitem.select("l_orderkey", F.col("l_linenumber").alias("i"), F.lit(7).alias("n"))
+    return A.index_gaps(lines, "l_orderkey", "i", "n")
+
+
+@query
+def membership_capped(x: Inputs) -> DataFrame:
+    """The dataset of the first members in turn."""
+    ds = D.membership_dataset(x.members, x.dictionary, CLASSES, max_records=200)
+    return ds.df.select("sample_id", text_of("label").alias("label"))
+
+
 # ---- sampling and tallies ---------------------------------------------------------------------
 
 @query
