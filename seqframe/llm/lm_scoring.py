@@ -5,7 +5,9 @@ distinct n-grams, packed by bucket of their hash, and each bucket adds them up.
 1 + floor(log2 c); an n-gram of level q is entered in the filter q times, with each level up to its own. A
 reader probes levels upwards until one is missing, which gives the quantised count. Probabilities interpolate
 the bigram's share of its first word with the smoothed unigram. The filter takes a fixed number of bits for
-each entry; bigrams below a cutoff are left out, the least cutoff (2 or more) that keeps it under its bound.
+each entry, so it grows with the corpus, and nothing is left out. It consists of segments by ranges of hashes; as many
+as fit a bound are sent to the workers at a time. One that fits as a whole scores texts as they are read; else each
+group of segments tells the levels of its own n-grams in a scan of its own, and a text's score follows from all of them.
 
 Exact unigram scores come from a bounded table of the most frequent tokens, on the map side, and a join
 for the rest.
@@ -14,6 +16,7 @@ for the rest.
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +31,16 @@ from seqframe.session import written
 
 #: The hash of the token that ends each document; it also stands before the first word.
 END = U(0x0E4D0E4D0E4D0E4D)
-#: Bits of the filter for each entry, and its bound.
-ENTRY_BITS, MOST_BYTES = 12, 64 << 20
+#: Bits of the filter for each entry, and bytes of it that are sent to the workers at a time.
+ENTRY_BITS, SENT_BYTES = 12, 128 << 20
 #: Bits of a filter word that are set for an entry come from these places of its hash.
 PROBES = (58, 52, 46, 40)
 #: Most frequent tokens that are sent to the workers with their exact counts, 4 MB.
 FREQUENT = 1 << 18
 #: Weight of the bigram's share.
 SHARE = 0.7
+#: Texts that a task remembers, to look at copies once.
+SEEN = 1_000_000
 #: Tokens that a task gathers before it sends their n-grams on, and bytes of text for each bucket.
 FLUSH, BUCKET_BYTES = 2_000_000, 8 << 20
 
@@ -95,7 +100,7 @@ def _grams(buckets: int):
 
 
 def _added(table: pa.Table) -> pa.Table:
-    """The totals of one bucket: all unigrams, and the bigrams that occur twice or more."""
+    """The totals of one bucket, unigrams and bigrams."""
     out = []
     for order in (1, 2):
         part = table.filter(pc.equal(table.column("order"), order))
@@ -105,8 +110,7 @@ def _added(table: pa.Table) -> pa.Table:
         hashes, counts = hashes[at], counts[at]
         first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, np.int64)
         total = np.add.reduceat(counts.astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
-        keep = total >= order
-        out.append((order, hashes[first][keep], total[keep]))
+        out.append((order, hashes[first], total))
     bucket = table.column("bucket")[0].as_py()
     levels = [np.bincount(level_of(c), minlength=40).tolist() for _, _, c in out]
     return pa.table({"bucket": pa.array([bucket] * 2, pa.int32()), "order": pa.array([o for o, _, _ in out], pa.int32()), "hashes": pa.array([h.tobytes() for _, h, _ in out], pa.binary()), "counts": pa.array([c.tobytes() for _, _, c in out], pa.binary()), "levels": pa.array(levels, pa.list_(pa.int64())), "total": pa.array([int(c.sum()) for _, _, c in out], pa.int64()), "different": pa.array([len(c) for _, _, c in out], pa.int64())})
@@ -123,15 +127,13 @@ def _need(h: np.ndarray) -> np.ndarray:
     return need
 
 
-def _segments(buckets: int, size: int, cutoff: int):
+def _segments(size: int):
     """The part of the filter that belongs to each bucket, ``size`` words long."""
 
     def run(batches):
         for batch in batches:
-            for bucket, order, raw, counted in zip(*(batch.column(c).to_pylist() for c in ("bucket", "order", "hashes", "counts")), strict=True):
+            for bucket, raw, counted in zip(*(batch.column(c).to_pylist() for c in ("bucket", "hashes", "counts")), strict=True):
                 hashes, level = np.frombuffer(raw, U), level_of(np.frombuffer(counted, np.int64))
-                if order == 2:
-                    hashes, level = hashes[level > cutoff], level[level > cutoff]
                 segment = np.zeros(size, U)
                 for k in range(1, int(level.max(initial=0)) + 1):
                     h = mixed(hashes[level >= k] + U(k * 1_000_003))
@@ -142,15 +144,19 @@ def _segments(buckets: int, size: int, cutoff: int):
 
 
 class LogFrequencyFilter:
-    """Quantised counts of n-grams by repeated probes."""
+    """Quantised counts of n-grams by repeated probes; holds the segments of ``buckets`` from ``first`` on."""
 
-    def __init__(self, words_: np.ndarray, buckets: int):
-        self.words, self.buckets, self.size = words_, buckets, len(words_) // max(buckets, 1)
+    def __init__(self, words_: np.ndarray, buckets: int, first: int = 0, last: int | None = None):
+        self.words, self.buckets, self.first = words_, buckets, first
+        self.last = buckets if last is None else last
+        self.size = len(words_) // max(self.last - first, 1)
 
     def levels(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(hashes), np.int64)
-        base = (mixed(hashes + U(99)) % U(self.buckets)).astype(np.int64) * self.size
-        left, k = np.arange(len(hashes)), 1
+        """0 for an n-gram that is not there, or of another segment."""
+        out = np.zeros(len(hashes), np.uint8)
+        bucket = (mixed(hashes + U(99)) % U(self.buckets)).astype(np.int64)
+        left, k = np.flatnonzero((bucket >= self.first) & (bucket < self.last)), 1
+        base = (bucket - self.first) * self.size
         while len(left):
             h = mixed(hashes[left] + U(k * 1_000_003))
             need = _need(h)
@@ -158,31 +164,75 @@ class LogFrequencyFilter:
             out[left], k = k, k + 1
         return out
 
-    def counts(self, hashes: np.ndarray) -> np.ndarray:
-        """The middle of the counts that have the level; 0 where the first probe misses."""
-        level = self.levels(hashes)
-        return np.where(level > 0, (3.0 * 2.0 ** (level - 1) - 1) / 2, 0.0)
+
+def middle(level: np.ndarray) -> np.ndarray:
+    """The middle of the counts that have a level; 0 where the first probe misses."""
+    return np.where(level > 0, (3.0 * 2.0 ** (level.astype(np.float64) - 1) - 1) / 2, 0.0)
+
+
+def _log_sums(one: np.ndarray, two: np.ndarray, end: int, rows: np.ndarray, scale: float) -> np.ndarray:
+    """The score of each row from the levels of its tokens, of its bigrams and of the end."""
+    smooth = middle(one)
+    before = np.append(0.0, smooth[:-1])[: len(smooth)]
+    before[rows[:-1]] = middle(np.array([end]))[0]
+    share = np.minimum(np.where(before > 0, middle(two) / np.maximum(before, 1), 0.0), 1.0)
+    return np.add.reduceat(np.log10(SHARE * share + (1 - SHARE) * (smooth + 0.5) / scale), rows[:-1])  # every row has its end
+
+
+def _levels(part):
+    """(text, one, two): levels of the tokens and bigrams of each different text that lie in this part of the filter."""
+
+    def run(batches):
+        filter_, hasher, seen = LogFrequencyFilter(*part.value), Hasher(lower=True), set()
+        for batch in batches:
+            if len(seen) > SEEN:
+                seen = set()
+            fresh = []
+            for name in batch.column(0).to_pylist():
+                fresh.append(name not in seen)
+                seen.add(name)
+            batch = batch.filter(pa.array(fresh, pa.bool_()))
+            one, two = [], []
+            for _, n, tokens, rows in _tokens(batch.column(1), hasher):
+                different, place = np.unique(tokens, return_inverse=True)
+                a, b = filter_.levels(different)[place], filter_.levels(bigrams(_before(tokens, rows), tokens))
+                one += [a[rows[r] : rows[r + 1]].tobytes() for r in range(n)]
+                two += [b[rows[r] : rows[r + 1]].tobytes() for r in range(n)]
+            yield pa.record_batch([batch.column(0), pa.array(one, pa.binary()), pa.array(two, pa.binary())], ["text", "one", "two"])
+
+    return run
+
+
+def _summed(end: int, scale: float):
+    """(text, score) from the levels that each part of the filter told of a text: the greatest of each place."""
+
+    def run(table: pa.Table) -> pa.Table:
+        one, two = (np.max([np.frombuffer(b, np.uint8) for b in table.column(c).to_pylist()], axis=0) for c in ("one", "two"))
+        score = _log_sums(one, two, end, np.array([0, len(one)]), scale)[0]
+        return pa.table({"text": table.column("text").slice(0, 1), "score": pa.array([float(score)])})
+
+    return run
 
 
 def _scores(model):
-    """(id, key, n_tokens, n_known, base, score, rare): sums over the frequent tokens, and the other tokens' hashes."""
+    """(id, key, name, n_tokens, n_known, base, score, rare): sums over the frequent tokens, and the other tokens' hashes.
+
+    The score is 0 where the filter is not sent as a whole.
+    """
 
     def run(batches):
         held, buckets, known, counts, total, vocabulary = model.value
-        filter_ = LogFrequencyFilter(held, buckets) if total else None
+        filter_ = LogFrequencyFilter(held, buckets) if held is not None else None
         hasher, scale = Hasher(lower=True), total + 0.5 * (vocabulary + 1)
+        end = int(filter_.levels(np.array([END]))[0]) if filter_ else 0
         for batch in batches:
             columns: list[list] = [[], [], [], [], []]
             for _, n, tokens, rows in _tokens(batch.column(1), hasher):
                 different, place = np.unique(tokens, return_inverse=True)
-                smooth = filter_.counts(different) if filter_ else np.zeros(len(different))
-                before = _before(tokens, rows)
-                of_before = np.empty(len(tokens))
-                of_before[1:], of_before[:1] = smooth[place][:-1], 0
-                of_before[rows[:-1]] = filter_.counts(np.array([END]))[0] if filter_ else 0
-                pair = filter_.counts(bigrams(before, tokens)) if filter_ else np.zeros(len(tokens))
-                share = np.minimum(np.where(of_before > 0, pair / np.maximum(of_before, 1), 0.0), 1.0)
-                p = SHARE * share + (1 - SHARE) * ((smooth + 0.5) / scale)[place]
+                if filter_:
+                    score = _log_sums(filter_.levels(different)[place], filter_.levels(bigrams(_before(tokens, rows), tokens)), end, rows, scale)
+                else:
+                    score = np.zeros(n)
                 at = np.minimum(np.searchsorted(known, different), max(len(known) - 1, 0))
                 frequent = known[at] == different if len(known) else np.zeros(len(different), bool)
                 exact = np.where(frequent, counts[at], 0) if len(known) else np.zeros(len(different))
@@ -192,7 +242,7 @@ def _scores(model):
                 columns[0].append(np.diff(rows))
                 columns[1].append(sums((~rare).astype(np.int64)))
                 columns[2].append(sums(base))
-                columns[3].append(sums(np.log10(p)))
+                columns[3].append(score)
                 number = np.repeat(np.arange(n), np.diff(rows))[rare]
                 edges = np.searchsorted(number, np.arange(n + 1))
                 mine = signed(tokens[rare])
@@ -201,7 +251,7 @@ def _scores(model):
             rare = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int64), *columns[4]])))
             keys = np.frombuffer(os.urandom(8 * batch.num_rows), np.int64)  # only to tell the written rows apart
             flat = [np.concatenate([np.zeros(0, k), *c]).astype(k) for c, k in zip(columns[:4], (np.int64, np.int64, np.float64, np.float64), strict=True)]
-            yield pa.record_batch([batch.column(0), pa.array(keys), *map(pa.array, flat), rare], ["id", "key", "n_tokens", "n_known", "base", "score", "rare"])
+            yield pa.record_batch([batch.column(0), pa.array(keys), batch.column(2), *map(pa.array, flat), rare], ["id", "key", "name", "n_tokens", "n_known", "base", "score", "rare"])
 
     return run
 
@@ -244,35 +294,61 @@ def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", t
     for r in grams.select("order", F.posexplode("levels").alias("level", "n")).groupBy("order", "level").agg(F.sum("n").alias("n")).collect():
         by_level[r.order][r.level] = r.n
     total, vocabulary = (int(levels[1].total), int(levels[1].different)) if 1 in levels else (0, 0)
-    numbers = np.arange(41)
-    entries = lambda cutoff: float(by_level[1] @ numbers + (by_level[2] * (numbers > cutoff)) @ numbers)
-    cutoff = next((c for c in range(1, 40) if entries(c) * ENTRY_BITS / 8 <= MOST_BYTES), 40)
-    per_bucket = int(max(1, min(entries(cutoff) * ENTRY_BITS / 64, MOST_BYTES / 8) // buckets + 1))
+    entries = float((by_level[1] + by_level[2]) @ np.arange(41))
+    per_bucket = int(max(1, entries * ENTRY_BITS / 64 // buckets + 1))
     least = next(k for k in range(42) if by_level[1][k:].sum() <= FREQUENT)
     least = 1 << max(least - 1, 0)
+    scale = total + 0.5 * (vocabulary + 1)
 
     with batches_of(spark, 100):
-        parts = grams.select("bucket", "order", "hashes", "counts").mapInArrow(_segments(buckets, per_bucket, cutoff), "bucket int, words binary")
-        filter_words = np.zeros((buckets, per_bucket), U)
-        for r in written(parts).toLocalIterator():
-            filter_words[r.bucket] |= np.frombuffer(bytes(r.words), U)
+        parts = grams.select("bucket", "hashes", "counts").mapInArrow(_segments(per_bucket), "bucket int, words binary")
+        segments = written(parts)
         one = grams.filter("order = 1").select("hashes", "counts")
         frequent = one.mapInArrow(_unpacked(least, None), "token long, n long").toPandas()
         rare = written(one.mapInArrow(_unpacked(1, least), "token long, n long"))
     known, counts = unsigned(frequent["token"].to_numpy(np.int64)), frequent["n"].to_numpy(np.int64)
     order = np.argsort(known)
-    model = (filter_words.reshape(-1), buckets, known[order], counts[order], total, vocabulary)
-    shared = spark.sparkContext.broadcast(model)
+
+    def part(first: int, last: int) -> np.ndarray:
+        """The segments of some buckets: no more than are sent at a time."""
+        held = np.zeros((last - first, per_bucket), U)
+        for r in segments.filter(F.col("bucket").between(first, last - 1)).toLocalIterator():
+            held[r.bucket - first] |= np.frombuffer(bytes(r.words), U)
+        return held.reshape(-1)
+
+    at_a_time = max(1, SENT_BYTES // (8 * per_bucket))
+    groups = [(k, min(k + at_a_time, buckets)) for k in range(0, buckets, at_a_time)]
+    shared = spark.sparkContext.broadcast((part(0, buckets) if len(groups) == 1 else None, buckets, known[order], counts[order], total, vocabulary))
+    named = docs.select("id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("name"))
     with batches_of(spark, 2000):
-        rows = written(docs.mapInArrow(_scores(shared), f"id {kind}, key long, n_tokens long, n_known long, base double, score double, rare array<long>"))
+        rows = written(named.mapInArrow(_scores(shared), f"id {kind}, key long, name long, n_tokens long, n_known long, base double, score double, rare array<long>"))
+    if len(groups) > 1:
+        rows = _in_parts(rows, named.select("name", "text"), groups, part, buckets, scale)
 
     met = rows.select("key", F.explode("rare").alias("token")).join(rare, "token", "left")
     met = met.groupBy("key").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"), F.count("n").alias("met"))
     out = rows.drop("rare").join(met.withColumnRenamed("key", "key_"), F.col("key") == F.col("key_"), "left")
-    unit = F.log10(F.lit(total + 0.5 * (vocabulary + 1)))
+    unit = F.log10(F.lit(scale))
     return out.select(F.col("id").alias(id_col), "n_tokens", (F.col("n_known") + F.coalesce("met", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * unit).alias("base_score"), "score")
 
 
+def _in_parts(rows: DataFrame, named: DataFrame, groups: list[tuple[int, int]], part, buckets: int, scale: float) -> DataFrame:
+    """``rows`` with scores: one scan for each part of the filter, then the levels of each different text together."""
+    spark, found, end = rows.sparkSession, [], 0
+    for first, last in groups:
+        held = part(first, last)
+        end = max(end, int(LogFrequencyFilter(held, buckets, first, last).levels(np.array([END]))[0]))
+        shared = spark.sparkContext.broadcast((held, buckets, first, last))
+        with batches_of(spark, 2000):
+            told = written(named.mapInArrow(_levels(shared), "text long, one binary, two binary"))
+        found.append(told.withColumn("part", F.lit(first)))
+        shared.destroy()
+    # Copies that different tasks met tell the same.
+    every = reduce(DataFrame.union, found).groupBy("text", "part").agg(F.any_value("one").alias("one"), F.any_value("two").alias("two"))
+    scores = written(every.groupBy("text").applyInArrow(_summed(end, scale), "text long, score double"))
+    return rows.drop("score").join(scores, F.col("name") == F.col("text"))
+
+
 def scored_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``score_documents`` of all rows with a model of those that are not held out, and held_out (action)."""
     out = score_documents(docs, docs.filter(~held_out(id_col, 5, 1)), id_col, text_col)

@@ -83,6 +83,17 @@ def test_quality_learns_the_labels(docs, spark):
     assert sum(kept[i] for i, _ in good[45:]) >= 14 and not any(kept[i] for i, _ in junk[45:])
 
 
+def test_quality_learns_one_text_of_an_id(docs, spark):
+    """Copies of a labelled id bring no more to the driver than one, and equal texts score alike wherever they lie."""
+    rows = [(1, prose(k, 30)) for k in range(300)] + [(2, "a$ b$ c$ " * 20)] * 200 + [(5, prose(3, 40))] * 7
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id BIGINT, quality INT, toxic INT")
+    got = {}
+    for df in (docs(*rows), docs(*rows[::-1]).repartition(3)):
+        scored = quality_rules(df, labels).collect()
+        got[len(got)] = {(r.doc_id, r.n_words, r.score) for r in scored if r.doc_id in (2, 5)}
+    assert got[0] == got[1] and len(got[0]) == 2
+
+
 def test_quality_without_labels(docs, spark):
     labels = spark.createDataFrame([], "doc_id BIGINT, quality INT, toxic INT")
     assert {r.score for r in quality_rules(docs((1, prose(1)), (2, None)), labels).collect()} == {0.5}
@@ -106,6 +117,24 @@ def test_lm_prefers_what_it_has_seen(docs):
     assert got[1] > got[2] > got[3]
 
 
+def test_lm_scores_do_not_depend_on_what_is_sent_at_a_time(docs, monkeypatch):
+    from seqframe.llm import lm_scoring
+
+    rows = [*ODD, *((200 + k, prose(k % 20, 60)) for k in range(40))]
+    scores = lambda: Counter((r.doc_id, r.n_tokens, round(r.score, 9)) for r in scored_corpus(docs(*rows)).collect())
+    whole = scores()
+    monkeypatch.setattr(lm_scoring, "SENT_BYTES", 4_096)
+    assert scores() == whole
+
+
+def test_lm_learns_bigrams_that_occur_once(docs):
+    """A text seen once is likelier than its words in another order."""
+    train = docs(*((k, prose(900 + k, 80, 400)) for k in range(6)))
+    text = prose(903, 80, 400).split()
+    got = {r.doc_id: r.score for r in score_documents(docs((1, " ".join(text)), (2, " ".join(sorted(text)))), train).collect()}
+    assert got[1] > got[2]
+
+
 def test_lm_without_training_rows(docs, none):
     rows = score_documents(docs((1, "a b"), (2, None)), none).collect()
     assert sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens) for r in rows) == [(1, 3, 0, 0), (2, 1, 0, 0)]
@@ -127,6 +156,6 @@ def test_filter_holds_every_count():
     hashes, counts = np.unique(rng.randint(0, 2**62, 3_000).astype(np.uint64)), None
     counts = rng.randint(1, 500, len(hashes)).astype(np.int64)
     batch = pa.record_batch([pa.array([0], pa.int32()), pa.array([1], pa.int32()), pa.array([hashes.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary())], ["bucket", "order", "hashes", "counts"])
-    words = np.frombuffer(next(_segments(1, 4_000, 1)([batch])).column(1)[0].as_py(), np.uint64)
+    words = np.frombuffer(next(_segments(4_000)([batch])).column(1)[0].as_py(), np.uint64)
     levels = LogFrequencyFilter(words, 1).levels(hashes)
     assert (levels >= level_of(counts)).all() and (levels == level_of(counts)).mean() > 0.9
