@@ -12,17 +12,18 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqframe.llm.words import U, blocks, byte_values, mixed
+from seqframe.session import broadcast_if_small, written
 
 #: Lengths of n-grams (each one byte more than the last), and log2 of the number of hashed ones for each length.
 LENGTHS, BITS = (1, 2, 3), 12
-#: Labelled texts of each language that are fitted on at most, those with the smallest hash of their id; and landmarks among them.
+#: Labelled texts of each language that are fitted on at most, those with the smallest hash; and landmarks among them.
 SAMPLE, LANDMARKS = 400, 32
-#: Languages that are told apart at most: those with the most labelled texts.
-LANGUAGES = 64
+#: The same over all languages. Where these are many each has fewer, four texts and one landmark at least; none is left out.
+ALL_SAMPLES, ALL_LANDMARKS = 12_800, 1_024
 RIDGE = 1e-2
 NONE = "und"
 
@@ -52,22 +53,27 @@ def kernel(x: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
     return (x @ landmarks.T) / size(x)[:, None] / size(landmarks)[None, :]
 
 
-def fit(x: np.ndarray, names: list[str]) -> tuple[np.ndarray, np.ndarray, list[str], float]:
-    """Landmarks, coefficients of each language, languages, sharpness of the score."""
-    languages = sorted(set(names))
-    order = np.arange(len(names))
-    chosen = np.concatenate([order[[n == lang for n in names]][:LANDMARKS] for lang in languages])
-    landmarks = x[chosen]
+def fit(bits: np.ndarray, names: list[str]) -> tuple[np.ndarray, np.ndarray, list[str], float]:
+    """Landmarks, coefficients of each language, languages, sharpness of the score; ``bits`` are packed presences."""
+    languages, which, counts = np.unique(np.array(names, object).astype(str), return_inverse=True, return_counts=True)
+    unpacked = lambda rows: np.unpackbits(rows, axis=1).astype(np.float32)
+    per = max(1, min(LANDMARKS, ALL_LANDMARKS // len(languages)))
+    landmarks = unpacked(bits[np.concatenate([np.flatnonzero(which == k)[:per] for k in range(len(languages))])])
     values, vectors = np.linalg.eigh(kernel(landmarks, landmarks).astype(np.float64))
     keep = values > 1e-6 * values.max()
     white = vectors[:, keep] / np.sqrt(values[keep])
-    z = kernel(x, landmarks) @ white
-    target = np.array([[1.0 if n == lang else -1.0 for lang in languages] for n in names])
-    weight = np.array([len(names) / (len(languages) * names.count(n)) for n in names])
-    ones = np.column_stack([z, np.ones(len(z))])
-    gram = ones.T @ (ones * weight[:, None]) + RIDGE * np.diag([*[1.0] * z.shape[1], 0.0])
-    solved = np.linalg.solve(gram + 1e-9 * np.eye(len(gram)), ones.T @ (target * weight[:, None]))
-    return landmarks, np.vstack([white @ solved[:-1], solved[-1:]]).astype(np.float32), languages, 4.0
+    weight = len(names) / (len(languages) * counts[which])
+    gram = np.zeros((white.shape[1] + 1,) * 2)
+    right = np.zeros((white.shape[1] + 1, len(languages)))
+    for at in range(0, len(bits), 500):
+        part = slice(at, at + 500)
+        ones = np.column_stack([kernel(unpacked(bits[part]), landmarks) @ white, np.ones(len(bits[part]))])
+        target = np.where(which[part, None] == np.arange(len(languages)), 1.0, -1.0)
+        gram += ones.T @ (ones * weight[part, None])
+        right += ones.T @ (target * weight[part, None])
+    gram += RIDGE * np.diag([*[1.0] * white.shape[1], 0.0])
+    solved = np.linalg.solve(gram + 1e-9 * np.eye(len(gram)), right)
+    return landmarks, np.vstack([white @ solved[:-1], solved[-1:]]).astype(np.float32), languages.tolist(), 4.0
 
 
 def decide(x: np.ndarray, model) -> tuple[np.ndarray, np.ndarray]:
@@ -96,23 +102,26 @@ def _predicted(model):
 
 
 def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"):
-    """A model from the rows of ``docs`` with a text and a language, or None (action)."""
+    """A model from the rows of ``docs`` with a text and a language, or None (action).
+
+    Every language is learnt, however many there are; copies of a text count once. Equal margins go to the language
+    that comes first by its name.
+    """
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     rows = rows.filter("lang is not null and text is not null and length(trim(text)) > 0")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
+    languages = rows.agg(F.count_distinct("lang")).first()[0]
+    if not languages:
         return None
-    # The sample: in each language the least hashes; only hashes are ordered, texts come by a join.
-    key = F.xxhash64(F.coalesce("id", F.lit("")), "text")
-    per = [rows.filter(F.col("lang") == r.lang).select(key.alias("key")).orderBy("key").limit(SAMPLE) for r in counts]
-    chosen = per[0]
-    for more in per[1:]:
-        chosen = chosen.union(more)
-    found = rows.withColumn("key", key).join(F.broadcast(chosen.distinct().withColumnRenamed("key", "key_")), F.col("key") == F.col("key_"))
-    vectors = found.select("key", "lang", "text").mapInArrow(_bits, "key long, lang string, bits binary").toLocalIterator()
-    sample = sorted({(r.key, r.lang, bytes(r.bits)) for r in vectors})
-    x = np.array([np.unpackbits(np.frombuffer(bits, np.uint8)) for _, _, bits in sample], np.float32)
-    return fit(x, [lang for _, lang, _ in sample])
+    # The sample: in each language the least hashes of its different texts; a task keeps no more of a language than are
+    # chosen, only hashes move, and texts come by a join.
+    per = max(4, min(SAMPLE, ALL_SAMPLES // languages))
+    keys = rows.select("lang", F.xxhash64("text").alias("key")).distinct()
+    chosen = keys.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy("key"))).filter(F.col("at") <= per)
+    chosen = written(chosen.select(F.col("lang").alias("lang_"), F.col("key").alias("key_")))
+    found = rows.withColumn("key", F.xxhash64("text")).join(broadcast_if_small(chosen), (F.col("key") == F.col("key_")) & (F.col("lang") == F.col("lang_")))
+    vectors = found.select("key", "lang", "text").mapInArrow(_bits, "key long, lang string, bits binary").groupBy("key", "lang").agg(F.any_value("bits").alias("bits"))
+    sample = sorted((r.key, r.lang, bytes(r.bits)) for r in vectors.toLocalIterator())
+    return fit(np.stack([np.frombuffer(bits, np.uint8) for _, _, bits in sample]), [lang for _, lang, _ in sample])
 
 
 def _bits(batches):
