@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqframe.llm.batches import batches_of
+from seqframe.llm.names import under_plain_names
+from seqframe.llm.shared_passages import WORDS, shared_bytes, shared_spans
 from seqframe.llm.sieve import passes, sieve
 from seqframe.llm.words import Hasher, U, blocks, mixed, signed
 from seqframe.session import written
@@ -233,28 +235,49 @@ def _without(raw: bytes, spans: list[dict]) -> bytes:
     return b"".join([*kept, raw[at:]])
 
 
-def _digests(batches):
-    for batch in batches:
-        removed, runs, hashes = [], [], []
-        for raw, spans in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            spans = spans or []
-            removed.append(sum(s["end"] - s["begin"] for s in spans))
-            runs.append(len(spans))
-            hashes.append(hashlib.sha256(_without(raw or b"", spans)).hexdigest())
-        yield pa.record_batch([batch.column(0), pa.array([len(r or b"") for r in batch.column(1).cast(pa.binary()).to_pylist()], pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(hashes)], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+def _merged(spans: list[dict]) -> list[dict]:
+    out: list[dict] = []
+    for s in sorted(spans, key=lambda s: s["begin"]):
+        if out and s["begin"] <= out[-1]["end"]:
+            out[-1]["end"] = max(out[-1]["end"], s["end"])
+        else:
+            out.append(dict(s))
+    return out
+
+
+def _digests(words: int):
+    def run(batches):
+        for batch in batches:
+            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            removed, runs, hashes, spans_of = [], [], [], []
+            for raw, spans in zip(texts, batch.column(2).to_pylist(), strict=True):
+                spans = spans or []
+                removed.append(sum(s["end"] - s["begin"] for s in spans))
+                runs.append(len(spans))
+                hashes.append(hashlib.sha256(_without(raw, spans)).hexdigest())
+                spans_of.append(len(raw.strip()) if len(raw.split()) >= words else 0)  # from the first word to the last
+            arrays = [pa.array(c, pa.int64()) for c in (list(map(len, texts)), removed, runs)]
+            yield pa.record_batch([batch.column(0), *arrays, pa.array(hashes), batch.column(3), pa.array(spans_of, pa.int64())], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "name", "span"])
+
+    return run
 
 
-def repeat_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """One row per input row: ``id_col``, n_bytes, n_removed, n_spans, kept_sha256 (action).
+def repeat_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, words: int = WORDS) -> DataFrame:
+    """One row per input row: ``id_col``, n_bytes, n_removed, n_spans, kept_sha256, n_shared (action).
 
-    A byte is removed if a string of ``length`` bytes covers it that starts elsewhere as well, in any text.
-    Null texts are empty; shorter texts stay whole. Equal rows repeat each other.
+    A byte is removed if a string of ``length`` bytes covers it that starts elsewhere as well, in any text. n_shared
+    counts the bytes in runs of ``words`` words or more that stand in another document, whatever their length in bytes.
+    Null texts are empty; shorter texts stay whole. Equal rows repeat each other, but are one document to n_shared.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), _row(id_col, text_col).alias("row"))
+    shared = shared_bytes(rows.select("row", "text"), words)
     spans = repeated_spans(rows, length=length)
     joined = rows.join(spans, "row", "left").select("id", "text", "spans")
-    return joined.mapInArrow(_digests, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumnRenamed("id", id_col)
+    out = joined.withColumn("name", F.xxhash64("text")).mapInArrow(_digests(words), f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, name long, span long")
+    out = out.join(shared, "name", "left")
+    n_shared = F.when(F.col("copied"), F.col("span")).otherwise(F.coalesce("shared", F.lit(0)))
+    return out.select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", n_shared.alias("n_shared"))
 
 
 def _cut(at: int):
@@ -263,7 +286,7 @@ def _cut(at: int):
     def run(batches):
         for batch in batches:
             texts, spans = batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
-            texts = [_without(t.encode(), s).decode("utf-8", "ignore") if s else t for t, s in zip(texts, spans, strict=True)]
+            texts = [_without(t.encode(), _merged(s)).decode("utf-8", "ignore") if s else t for t, s in zip(texts, spans, strict=True)]
             columns = batch.columns[:-1]
             columns[at] = pa.array(texts, pa.string())
             yield pa.record_batch(columns, batch.schema.names[:-1])
@@ -271,14 +294,24 @@ def _cut(at: int):
     return run
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, words: int | None = None) -> DataFrame:
     """``docs`` with repeated strings cut from the text (action). All other columns and rows stay.
 
+    With ``words`` runs of so many words that other texts have are cut as well, however few bytes they are.
+
     Of a character that lies on the edge of a run only whole characters are kept. A text that is all
     repeated becomes empty; null stays null.
     """
+    return under_plain_names(docs, lambda d, i, t: _without_repeats(d, i, t, length, words), id_col, text_col)
+
+
+def _without_repeats(docs: DataFrame, id_col: str, text_col: str, length: int, words: int | None) -> DataFrame:
     rows = docs.withColumn("_row", _row(id_col, text_col))
-    spans = repeated_spans(rows.select(F.col("_row").alias("row"), F.col(text_col).alias("text")), length=length)
+    named = rows.select(F.col("_row").alias("row"), F.col(text_col).cast("string").alias("text"))
+    spans = repeated_spans(named, length=length)
+    if words:
+        more = shared_spans(named, words).groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+        spans = written(spans.union(more).groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans")))
     spans = spans.select(F.col("row").alias("_row"), F.col("spans").alias("_spans"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return rows.join(spans, "_row", "left").select(*docs.columns, "_spans").mapInArrow(_cut(docs.columns.index(text_col)), kinds)

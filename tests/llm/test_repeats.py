@@ -1,4 +1,5 @@
 import hashlib
+import re
 from collections import Counter
 
 from seqframe.llm.repeats import repeat_report, without_repeats
@@ -31,14 +32,14 @@ def cases():
 
 def test_equals_brute_force(docs):
     got = repeat_report(docs(*cases()))
-    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    assert Counter(map(tuple, got.collect())) == brute(cases(), 400)
+    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared"]
+    assert Counter(tuple(r)[:5] for r in got.collect()) == brute(cases(), 400)
 
 
 def test_other_lengths_and_odd_rows(docs, odd):
-    assert Counter(map(tuple, repeat_report(docs(*cases()), length=256).collect())) == brute(cases(), 256)
+    assert Counter(tuple(r)[:5] for r in repeat_report(docs(*cases()), length=256).collect()) == brute(cases(), 256)
     small = [r for r in ODD if r[0] != 10]
-    assert Counter(map(tuple, repeat_report(docs(*small)).collect())) == brute(small, 400)
+    assert Counter(tuple(r)[:5] for r in repeat_report(docs(*small)).collect()) == brute(small, 400)
 
 
 def test_pieces_of_a_long_text(docs, monkeypatch):
@@ -47,7 +48,7 @@ def test_pieces_of_a_long_text(docs, monkeypatch):
     monkeypatch.setattr(repeats, "PIECE", 3_000)
     monkeypatch.setattr(words, "BLOCK", 2_000)
     rows = [(1, prose(5, 3_000, 5_000)), (2, prose(6, 500) + prose(5, 3_000, 5_000)[7_000:9_000] + prose(7, 500))]
-    assert Counter(map(tuple, repeat_report(docs(*rows)).collect())) == brute(rows, 400)
+    assert Counter(tuple(r)[:5] for r in repeat_report(docs(*rows)).collect()) == brute(rows, 400)
 
 
 def test_texts_keep_whole_characters_and_columns(docs):
@@ -60,3 +61,39 @@ def test_texts_keep_whole_characters_and_columns(docs):
 def test_empty_table(none):
     assert repeat_report(none).collect() == []
     assert without_repeats(none).collect() == []
+
+
+def shared(rows, n=51):
+    """Bytes of runs of n words that stand in another document: rows with another id or text."""
+    found, out = {}, Counter()
+    words = [[(m.start(), m.end(), m[0]) for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for _, t in rows]
+    for row, w in zip(rows, words, strict=True):
+        for k in range(len(w) - n + 1):
+            found.setdefault(tuple(x for _, _, x in w[k : k + n]), set()).add(row)
+    for (i, t), w in zip(rows, words, strict=True):
+        gone = set()
+        for k in range(len(w) - n + 1):
+            if len(found[tuple(x for _, _, x in w[k : k + n])]) > 1:
+                gone |= set(range(w[k][0], w[k + n - 1][1]))
+        out[i, len(gone)] += 1
+    return out
+
+
+def test_passages_of_many_words_that_other_documents_have(docs):
+    short = " ".join("a b c d e f g h i j".split()[(7 * k * k + k) % 10] for k in range(60))  # 60 words, 119 bytes
+    passage = prose(1, 70)
+    rows = [(1, prose(11, 40) + " " + short + " " + prose(12, 40)), (2, short), (3, short[: 2 * 50]), (4, prose(13, 30) + "\n" + passage), (5, passage + " " + prose(14, 90)), (6, passage + "  " + passage)]
+    rows += [(7, prose(15, 80)), (8, prose(15, 80)), (9, "x " * 40 + prose(16, 60) + " " + prose(16, 60)), (10, prose(17, 50)), (11, prose(17, 50)), (12, None), (13, "")]
+    rows += [(20 + k, prose(18, 300)[k:]) for k in range(6)]
+    got = Counter((r.doc_id, r.n_shared) for r in repeat_report(docs(*rows)).collect())
+    assert got == shared(rows)
+    small = [*ODD[:9], *ODD[10:]]
+    assert Counter((r.doc_id, r.n_shared) for r in repeat_report(docs(*small)).collect()) == shared(small)
+
+
+def test_short_passages_are_cut_from_texts(docs):
+    short = " ".join("a b c d e f g h i j".split()[(7 * k * k + k) % 10] for k in range(60))
+    rows = [(1, prose(11, 40) + " " + short + " é " + prose(12, 40)), (2, "ü " + short), (3, prose(13, 40)), (4, None)]
+    got = {r.doc_id: r.text for r in without_repeats(docs(*rows), words=51).collect()}
+    assert got == {1: prose(11, 40) + "  é " + prose(12, 40), 2: "ü ", 3: rows[2][1], 4: None}
+    assert without_repeats(docs(*rows)).filter("doc_id = 1").first().text == rows[0][1]
