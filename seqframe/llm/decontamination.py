@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqframe.operators.shaping import computed_once
+from seqframe.llm.names import under_plain_names
 from seqframe.session import broadcast_if_small, written
 
 #: Words of a shingle, least similarity, and bits in which two fingerprints may differ.
@@ -122,6 +123,10 @@ def _of_size(docs: DataFrame, items: DataFrame, k: int, similarity: float, radiu
 
 def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the rows that hold an item (action). All columns are kept; equal or null ids do not matter."""
+    return under_plain_names(docs, lambda d, i, t: _without_contaminated(d, items, i, t, **options), id_col, text_col)
+
+
+def _without_contaminated(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
     named = docs.withColumn("_row", F.xxhash64(F.col(id_col).isNull(), id_col, text_col))
     bad = contaminations(named.select("_row", text_col), items, "_row", text_col, **options).select(F.col("_row").alias("_bad")).distinct()
     return named.join(written(bad), F.col("_row") == F.col("_bad"), "left_anti").drop("_row")

@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqframe.llm.names import under_plain_names
 from seqframe.session import broadcast_if_small, written
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -152,8 +153,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with mix_shard, each shard shuffled (action).
 
-    Columns are kept, in their order; mix_shard is the last.
+    Columns are kept, in their order; mix_shard is the last, and a column of that name is replaced.
     """
+    docs = docs.drop("mix_shard")
+    return under_plain_names(docs, lambda d, i, t, s: _mixed_documents(d, i, t, s, **options), id_col, text_col, source_col)
+
+
+def _mixed_documents(docs: DataFrame, id_col: str, text_col: str, source_col: str, **options) -> DataFrame:
     _, draws = mix(docs, id_col, text_col, source_col, **options)
     rows = keyed(docs, id_col, text_col, source_col)
     rows = numbered(rows, written(repeated(rows.select("_h"))))

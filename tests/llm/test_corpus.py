@@ -195,9 +195,33 @@ def test_classes_equal_their_twin(spark):
     from seqframe.llm.queries import ORACLES, QUERIES
 
     con = duckdb.connect()
-    con.execute("create view documents as select * from '/root/testdata/sf0.001/documents.parquet'")
+    for t in ("documents", "embeddings"):
+        con.execute(f"create view {t} as select * from '/root/testdata/sf0.001/{t}.parquet'")
     for name, sql in ORACLES.items():
         got = QUERIES[name](spark, "/root/testdata/sf0.001")
         cursor = con.execute(sql)
         assert got.columns == [d[0] for d in cursor.description]
         assert sorted(map(tuple, got.collect())) == sorted(cursor.fetchall())
+
+
+def test_every_language_is_learnt(docs):
+    """Seventy languages, each with an alphabet of its own words, a frequent one among them."""
+    import random
+
+    def text(lang, seed):
+        rng = random.Random(1_000 * lang + seed)
+        pool = random.Random(lang)
+        words_ = ["".join(pool.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(12)]
+        return " ".join(rng.choice(words_) for _ in range(60))
+
+    rows = [(lang * 100 + k, text(lang, k), f"l{lang:02d}", "web") for lang in range(70) for k in range(12 if lang else 90)]
+    got = language_id(docs(*rows)).collect()
+    names = {i: lang for i, _, lang, _ in rows}
+    held = [r for r in got if r.held_out]
+    assert {r.lang_pred for r in got} == set(names.values())
+    assert sum(r.lang_pred == names[r.doc_id] for r in held) >= 0.95 * len(held) > 100
+
+
+def test_copies_of_a_labelled_text_count_once(docs):
+    model = trained(docs(*[(1, "un deux trois", "fr", "web")] * 500, (2, "one two three", "en", "web")))
+    assert model is not None and model[2] == ["en", "fr"]
