@@ -18,8 +18,8 @@ from seqframe.llm.prefix_join import one_of_each
 from seqframe.llm.repeats import without_repeats
 from seqframe.session import written
 
-#: Bytes of a repeated string: passages of some fifty words are longer.
-REPEAT = 256
+#: Bytes of a repeated string, and words of a passage, which may be shorter.
+REPEAT, PASSAGE = 256, 51
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +33,9 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings that occur again are cut from all texts; documents that lose all their words go."""
-    cut = without_repeats(docs.withColumn("n_chars", F.col("n_chars") - F.coalesce(F.char_length("text"), F.lit(0))), length=REPEAT)
+    """Strings of ``REPEAT`` bytes that occur again, and passages of ``PASSAGE`` words that other texts have, are cut from all
+    texts; documents that lose all their words go."""
+    cut = without_repeats(docs.withColumn("n_chars", F.col("n_chars") - F.coalesce(F.char_length("text"), F.lit(0))), length=REPEAT, words=PASSAGE)
     cut = cut.withColumn("n_chars", F.col("n_chars") + F.coalesce(F.char_length("text"), F.lit(0)))
     return cut.filter(F.col("text").isNull() | (F.col("text").rlike(r"[^\x20\x09-\x0D]")))
 
@@ -62,6 +63,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixed corpus: columns of documents and mix_shard, a row as often as the mix takes it (action).
+
+    Null and blank texts go with the first stage, as no language has them. Of repeated rows and of copies one stays; rows
+    with null or equal ids are told apart by their content. An empty table gives an empty corpus.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
