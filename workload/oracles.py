@@ -885,6 +885,12 @@ BLOCKS = f"""with numbered as (select {LINE_ORDER}, row_number() over (order by
     from numbered join starts on position >= block_start and position < block_start + 100),
   kept as (select * from sampled where taken <= 750)"""
 put("strided_blocks", f"{BLOCKS} select block, block_start, position, {LINE_ORDER} from kept")
+put(
+    "strided_file",
+    """with n as (select count(*) as n from lineitem), starts as (select i as block, i * n * 13 // 9 as block_start, n from n, (select unnest(range(1, 9))::int as i) b),
+      rows as (select block, block_start, n, unnest(range((block_start + 12) // 13, (block_start + 1300) // 13)) as k from starts)
+      select block, block_start, lpad(k::varchar, 12, '0') as at from rows where k < n""",
+)
 put("block_provenance", f"{BLOCKS} select block, block_start, count(*) as rows from kept group by block, block_start")
 put("prefix_sample", f"select {LINE_ORDER} from lineitem order by {LINE_ORDER} limit 100")
 put("keyed_sample", "select doc_id, lang from documents order by sha256(concat('0:', doc_id::varchar)), doc_id limit 25")

@@ -26,6 +26,7 @@ from seqframe.plans import folder as O
 from seqframe.plans.convert import Converted, convert, run_inventory, write_dataset, write_projected
 from seqframe.session import shared_dir
 from seqframe.sources import readers as S
+from seqframe.sources.blocks import read_strided_blocks
 from seqframe.operators.projection import select_target
 from seqframe.sources.tables import bare_path, dataset_shape, read_key_as_text, read_samples, write_checks, write_wide_table
 from workload.inputs import Inputs
@@ -1203,6 +1204,16 @@ def strided_blocks(x: Inputs) -> DataFrame:
     return sampled.select("block", "block_start", "position", *LINE_ORDER)
 
 
+@query
+def strided_file(x: Inputs) -> DataFrame:
+    """Blocks of files read by byte range: records of 13 bytes, so their places are known."""
+    path = folder(x)
+    lines = R.ordinals(x.lineitem.select(*LINE_ORDER), LINE_ORDER, "at")
+    text = F.lpad(F.col("at").cast("string"), 12, "0")
+    lines.repartitionByRange("at").sortWithinPartitions("at").select(text.alias("value")).write.text(path)
+    return read_strided_blocks(x.spark, path, blocks=8, block_bytes=1300, columns=["at"])
+
+
 @query
 def block_provenance(x: Inputs) -> DataFrame:
     sampled = R.strided_blocks(x.lineitem.select(*LINE_ORDER), LINE_ORDER, n_blocks=8, block_rows=100, max_rows=750)
