@@ -74,8 +74,11 @@ def repeat_counter(df: DataFrame, key: str, order: Sequence[str], name: str = "r
     once, the repeated ones once more, sorted).
 
     Only rows whose key repeats are ranked; every other row is its key's first. Where repeats are
-    few, their ranks are broadcast to the rows and the payload is not shuffled.
+    few, their ranks are broadcast to the rows and the payload is not shuffled. Rows of nothing but keys and order
+    columns are ranked as they are, and nothing is joined back to them.
     """
+    if set(df.columns) <= {key, *order}:
+        return rank_in_group(df, [key], order, name).select(*df.columns, name)
     keys = written(df.select(key, *order))
     repeated = duplicate_keys(keys, key).select(key)
     rows = keys.join(repeated.select(F.col(key).alias("_of_key")), F.col(key).eqNullSafe(F.col("_of_key")), "left_semi")
