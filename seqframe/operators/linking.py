@@ -14,7 +14,7 @@ from seqframe.functions.digests import content_key as key_of
 from seqframe.functions.letters import trim_all
 from seqframe.operators.ranking import ordinals
 from seqframe.operators.shaping import computed_once
-from seqframe.session import broadcast_if_small
+from seqframe.session import broadcast_if_small, written
 
 # Fixed value: what a feature with two different calls carries.
 CONFLICT = "CONFLICT"
@@ -227,13 +227,19 @@ def explode_pairs(df: DataFrame, natural: str, generated: str) -> DataFrame:
 
 
 def union_extracts(a: DataFrame, b: DataFrame, key: str = "sample_id") -> DataFrame:
-    """Two extracts of one source without their shared rows.
+    """Two extracts of one source without their shared rows (action: finds keys that the second repeats).
 
-    Of a key in both, the first extract's row stays; ``extract_conflicts`` lists keys with other content in the
-    second. Only the keys of the first extract are aggregated. Rows without a key all stay.
+    Of a key in both, the first extract's row stays, of one that the second repeats one of its rows; equal keys mean
+    equal rows, and ``extract_conflicts`` lists those that do not. Only keys are aggregated, and only rows of repeated
+    keys meet. Rows without a key all stay, as do the rows of the first extract.
     """
     held = a.select(F.col(key).alias("_held")).distinct()
-    return a.unionByName(b.join(held, F.col(key) == F.col("_held"), "left_anti"), allowMissingColumns=True)
+    new = b.join(held, F.col(key) == F.col("_held"), "left_anti")
+    again = new.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_again")).agg(F.count(F.lit(1)).alias("_n"))
+    again = broadcast_if_small(written(again.filter("_n > 1").select("_again")))
+    same = F.col(key) == F.col("_again")
+    once = new.join(again, same, "left_anti").unionByName(new.join(again, same, "left_semi").dropDuplicates([key]))
+    return a.unionByName(once, allowMissingColumns=True)
 
 
 def extract_conflicts(a: DataFrame, b: DataFrame, cols: Sequence[str], key: str = "sample_id") -> DataFrame:

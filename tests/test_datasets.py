@@ -193,3 +193,11 @@ def test_duplicates_and_conflicts(spark):
     assert sorted(r.n_rows for r in Q.duplicate_sequences(df).collect()) == [2, 3]
     conflict = Q.label_conflicts(df).collect()
     assert [(r.n_rows, r.n_labels) for r in conflict] == [(3, 2)]
+
+
+def test_a_union_of_extracts_has_each_key_once(spark):
+    a = spark.createDataFrame([("1", "x"), ("2", "y"), (None, "n")], "sample_id STRING, sequence STRING")
+    b = spark.createDataFrame([("2", "y"), ("3", "z"), ("3", "z"), ("4", "w"), (None, "m"), (None, "m")], "sample_id STRING, sequence STRING")
+    got = [tuple(r) for r in K.union_extracts(a, b).collect()]
+    assert sorted(got, key=str) == sorted([("1", "x"), ("2", "y"), ("3", "z"), ("4", "w"), (None, "n"), (None, "m"), (None, "m")], key=str)
+    assert K.union_extracts(a.limit(0), b.limit(0)).collect() == []
