@@ -178,6 +178,50 @@ def test_links_carry_trust_and_distrust(spark):
     assert filter_urls(empty, RULES).collect() == []
 
 
+def test_scores_equal_power_iteration(spark):
+    """Two graphs of links and owners at once, against dense matrices until nothing moves."""
+    import random
+
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from seqframe.llm.url_filters import owner_edges, propagated, shares
+
+    rng = random.Random(2)
+    hosts = [f"{a}{b}.site{b}.{c}" for a in ("www.", "", "m.x.") for b in range(6) for c in ("com", "org")]
+    owners = {tuple(r) for r in owner_edges(spark.createDataFrame([(h,) for h in hosts], "host STRING")).collect()}
+    up = {h: h.split(".", 1)[1] for h in [".".join(h.split(".")[k:]) for h in hosts for k in range(4)] if h.count(".") >= 2}
+    assert owners == {e for h, p in up.items() for e in ((h, p), (p, h))}
+    links = {(a, b): rng.randrange(1, 5) for a, b in ((rng.choice(hosts), rng.choice(hosts)) for _ in range(60)) if a != b}
+    rows = [(a, b, n, "link") for (a, b), n in links.items()] + [(a, b, 1, "owner") for a, b in owners]
+    edges = spark.createDataFrame(rows, "src STRING, dst STRING, n LONG, kind STRING")
+    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n", "kind")
+    both = shares(edges).withColumn("graph", F.lit("f")).unionByName(shares(back).withColumn("graph", F.lit("b")))
+    seeds = [("f", hosts[0]), ("f", hosts[5]), ("b", hosts[7])]
+    got = {(r.graph, r.host): r.score for r in propagated(both, spark.createDataFrame(seeds, "graph STRING, host STRING"), tolerance=1e-4).collect()}
+    names = sorted({x for e in rows for x in e[:2]})
+    at = {h: k for k, h in enumerate(names)}
+    for graph in "fb":
+        m = {k: np.zeros((len(names),) * 2) for k in ("link", "owner")}
+        for a, b, n, kind in rows:
+            a, b = (a, b) if graph == "f" else (b, a)
+            m[kind][at[a], at[b]] += n
+        have = {k: (v.sum(1) > 0) * w for k, v, w in (("link", m["link"], 0.8), ("owner", m["owner"], 0.2))}
+        walk = sum(m[k] / np.maximum(m[k].sum(1), 1)[:, None] * (have[k] / np.maximum(have["link"] + have["owner"], 1e-9))[:, None] for k in m)
+        start = np.array([sum(s == (graph, h) for s in seeds) for h in names], float)
+        start /= start.sum()
+        score = start
+        for _ in range(400):
+            score = 0.85 * score @ walk + 0.15 * start
+        assert sum(abs(got.get((graph, h), 0.0) - score[k]) for k, h in enumerate(names)) < 1e-3
+
+
+def test_owners_carry_scores_without_links(spark):
+    pages = [(1, "http://a.bad.com/de/", None), (2, "http://b.bad.com/", None), (3, "http://x.good.org/", None), (4, "http://good.net/", None)]
+    got = {r.page_id: r for r in filter_urls(spark.createDataFrame(pages, "page_id BIGINT, url STRING, html STRING"), RULES).collect()}
+    assert got[2].distrust > 0 == got[2].trust and got[2].verdict == "block" and got[4].verdict == "allow"
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
