@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from seqframe.llm.batches import batches_of
 from seqframe.llm.components import connected_components
+from seqframe.llm.names import under_plain_names
 from seqframe.llm.sieve import passes, sieve
 from seqframe.llm.words import Hasher, U, binaries, blocks, list_array, mixed, shingles, signed, unsigned, words
 from seqframe.session import written
@@ -29,8 +30,8 @@ from seqframe.session import written
 COMMON, COMMON_LEAST = 1 / 2000, 3
 #: Nodes that a task remembers, to leave out copies early.
 SEEN = 1_000_000
-#: Shingles of such a part, 40 MB.
-PART = 5_000_000
+#: Shingles of such a part, and how many are held before they are folded into counts: a few MB.
+PART, FOLD = 5_000_000, 250_000
 #: So many of the commonest are sent to the workers, 1 MB of hashes. The rest keep the plain order; no result depends on it.
 COMMON_KEPT = 1 << 17
 
@@ -48,22 +49,40 @@ def _sets(column, n: int, hasher: Hasher) -> Iterator[tuple[int, np.ndarray]]:
 def _common(n: int):
     """Partial document counts of the shingles that are common in a part of the scan."""
 
-    def found(sets: list[np.ndarray]) -> pa.RecordBatch:
-        every, counts = np.unique(np.concatenate(sets), return_counts=True)
-        keep = counts >= max(COMMON_LEAST, COMMON * len(sets))
-        return pa.record_batch({"token": signed(every[keep]), "docs": counts[keep]})
-
     def run(batches):
-        hasher, sets, size = Hasher(lower=True), [], 0
+        hasher = Hasher(lower=True)
+        token, docs = np.zeros(0, U), np.zeros(0, np.int32)  # counts of the part so far
+        held, size, sets, seen = [], 0, 0, 0
+
+        def fold():
+            nonlocal token, docs, held, size
+            fresh = np.concatenate(held) if held else np.zeros(0, U)
+            held, size = [], 0
+            fresh.sort()
+            first = np.flatnonzero(np.append(True, fresh[1:] != fresh[:-1])) if len(fresh) else np.zeros(0, np.int64)
+            counts, fresh = np.diff(np.append(first, len(fresh))).astype(np.int32), fresh[first]
+            at = np.searchsorted(token, fresh)
+            old = token[np.minimum(at, len(token) - 1)] == fresh if len(token) else np.zeros(len(fresh), bool)
+            docs[at[old]] += counts[old]
+            token, docs = np.insert(token, at[~old], fresh[~old]), np.insert(docs, at[~old], counts[~old])
+
+        def found():
+            keep = docs >= max(COMMON_LEAST, COMMON * sets)
+            return pa.record_batch({"token": signed(token[keep]), "docs": docs[keep].astype(np.int64)})
+
         for batch in batches:
             for _, one in _sets(batch.column(0), n, hasher):
-                sets.append(one)
-                size += len(one)
-                if size > PART:
-                    yield found(sets)
-                    sets, size = [], 0
+                held.append(one)
+                size, sets, seen = size + len(one), sets + 1, seen + len(one)
+                if size > FOLD:
+                    fold()
+                if seen > PART:
+                    fold()
+                    yield found()
+                    token, docs, sets, seen = token[:0], docs[:0], 0, 0
         if sets:
-            yield found(sets)
+            fold()
+            yield found()
 
     return run
 
@@ -272,6 +291,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     All columns are kept. Rows are told apart by all their columns: of rows with equal ids that with the least
     hash stays, of equal rows one. Rows without shingles are in no class with another and stay, repeated or not.
     """
+    return under_plain_names(docs, lambda d, i, t: _one_of_each(d, i, t, **options), id_col, text_col)
+
+
+def _one_of_each(docs: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
     every = [*docs.columns, *(F.col(c).isNull() for c in docs.columns)]  # a hash passes over nulls
     named = docs.withColumn("_row", F.xxhash64(*every))
     name = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("_row").alias("row"))
