@@ -16,6 +16,7 @@ for the rest.
 from __future__ import annotations
 
 import os
+import zlib
 from functools import reduce
 
 import numpy as np
@@ -32,7 +33,7 @@ from seqframe.session import written
 #: The hash of the token that ends each document; it also stands before the first word.
 END = U(0x0E4D0E4D0E4D0E4D)
 #: Bits of the filter for each entry, and bytes of it that are sent to the workers at a time.
-ENTRY_BITS, SENT_BYTES = 12, 128 << 20
+ENTRY_BITS, SENT_BYTES = 12, 64 << 20
 #: Bits of a filter word that are set for an entry come from these places of its hash.
 PROBES = (58, 52, 46, 40)
 #: Most frequent tokens that are sent to the workers with their exact counts, 4 MB.
@@ -180,7 +181,10 @@ def _log_sums(one: np.ndarray, two: np.ndarray, end: int, rows: np.ndarray, scal
 
 
 def _levels(part):
-    """(text, one, two): levels of the tokens and bigrams of each different text that lie in this part of the filter."""
+    """(text, one, two): levels of the tokens and bigrams of each different text that lie in this part of the filter.
+
+    They are compressed: the more parts there are, the fewer levels each tells.
+    """
 
     def run(batches):
         filter_, hasher, seen = LogFrequencyFilter(*part.value), Hasher(lower=True), set()
@@ -196,8 +200,8 @@ def _levels(part):
             for _, n, tokens, rows in _tokens(batch.column(1), hasher):
                 different, place = np.unique(tokens, return_inverse=True)
                 a, b = filter_.levels(different)[place], filter_.levels(bigrams(_before(tokens, rows), tokens))
-                one += [a[rows[r] : rows[r + 1]].tobytes() for r in range(n)]
-                two += [b[rows[r] : rows[r + 1]].tobytes() for r in range(n)]
+                one += [zlib.compress(a[rows[r] : rows[r + 1]].tobytes(), 1) for r in range(n)]
+                two += [zlib.compress(b[rows[r] : rows[r + 1]].tobytes(), 1) for r in range(n)]
             yield pa.record_batch([batch.column(0), pa.array(one, pa.binary()), pa.array(two, pa.binary())], ["text", "one", "two"])
 
     return run
@@ -207,7 +211,7 @@ def _summed(end: int, scale: float):
     """(text, score) from the levels that each part of the filter told of a text: the greatest of each place."""
 
     def run(table: pa.Table) -> pa.Table:
-        one, two = (np.max([np.frombuffer(b, np.uint8) for b in table.column(c).to_pylist()], axis=0) for c in ("one", "two"))
+        one, two = (np.max([np.frombuffer(zlib.decompress(b), np.uint8) for b in table.column(c).to_pylist()], axis=0) for c in ("one", "two"))
         score = _log_sums(one, two, end, np.array([0, len(one)]), scale)[0]
         return pa.table({"text": table.column("text").slice(0, 1), "score": pa.array([float(score)])})
 
