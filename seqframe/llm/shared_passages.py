@@ -17,8 +17,8 @@ from seqframe.llm.sieve import passes, sieve
 from seqframe.llm.words import BASE, Hasher, U, blocks, mixed, powers, shingles, signed, words
 from seqframe.session import written
 
-#: Words of a window, and of the grams that may be its anchor.
-WORDS, GRAM = 51, 4
+#: Words of a window, and of the grams that may be its anchor: long ones seldom meet by chance.
+WORDS, GRAM = 51, 16
 #: Texts that a task remembers.
 SEEN = 1_000_000
 
@@ -28,6 +28,7 @@ class _Windows:
 
     def __init__(self, n: int):
         self.n, self.hasher, self.down = n, Hasher(lower=False), np.ones(1, U)
+        self.gram = max(1, min(GRAM, n // 2))
 
     def of(self, block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(row, anchor, first byte, end byte) of every window; ``hashes`` are made by ``named``."""
@@ -38,8 +39,8 @@ class _Windows:
         first = first[first + self.n <= ends[first]]
         if not len(first):
             return (np.zeros(0, np.int64),) * 4
-        grams, _ = shingles(self.hashes, np.array([0, len(self.hashes)]), GRAM)
-        width = self.n - GRAM + 1
+        grams, _ = shingles(self.hashes, np.array([0, len(self.hashes)]), self.gram)
+        width = self.n - self.gram + 1
         padded = np.full(-(-len(grams) // width) * width, ~U(0), U)
         padded[: len(grams)] = grams
         table = padded.reshape(-1, width)
