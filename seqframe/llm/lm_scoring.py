@@ -43,7 +43,9 @@ SHARE = 0.7
 #: Texts that a task remembers, to look at copies once.
 SEEN = 1_000_000
 #: Tokens that a task gathers before it sends their n-grams on, and bytes of text for each bucket.
-FLUSH, BUCKET_BYTES = 2_000_000, 8 << 20
+FLUSH, BUCKET_BYTES = 2_000_000, 2 << 20
+#: Buckets that a task is handed at a time: each holds megabytes of hashes.
+BUCKETS_AT_A_TIME = 8
 
 
 def _tokens(column, hasher: Hasher):
@@ -304,7 +306,7 @@ def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", t
     least = 1 << max(least - 1, 0)
     scale = total + 0.5 * (vocabulary + 1)
 
-    with batches_of(spark, 100):
+    with batches_of(spark, BUCKETS_AT_A_TIME):
         parts = grams.select("bucket", "hashes", "counts").mapInArrow(_segments(per_bucket), "bucket int, words binary")
         segments = written(parts)
         one = grams.filter("order = 1").select("hashes", "counts")
