@@ -131,6 +131,7 @@ def _runs(rows: DataFrame, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
         wanted = spark.sparkContext.broadcast(sieve(written(found.filter("a != b").select("anchor")), "anchor"))
         windows = written(named.select("name", "text").mapInArrow(_kept(n, wanted), "window long, text long, begin long, end long"))
     twice = windows.groupBy("window").agg(F.min("text").alias("a"), F.max("text").alias("b")).filter("a != b").select("window")
-    shared = windows.join(twice, "window", "left_semi").select("text", "begin", "end").distinct()
-    before = F.lag("end").over(Window.partitionBy("text").orderBy("begin"))
+    shared = windows.join(twice, "window", "left_semi").select("text", "begin", "end")
+    # A window that several tasks told of covers nothing anew.
+    before = F.lag("end").over(Window.partitionBy("text").orderBy("begin", "end"))
     return named, copies, shared.withColumn("from", F.greatest("begin", F.coalesce(before, F.lit(0)))).select("text", "from", "end")
