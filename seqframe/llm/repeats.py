@@ -13,6 +13,8 @@ count, which allows shards that need nothing of each other:
 * In this order each tuple carries its common prefix with the one before. Stepping a window back by one
   byte, its order is induced from the last by the pair of byte and former class, and the common prefixes
   tell how far the following bytes agree. Windows equal in both repeat.
+* A shard is induced in the memory of one task, so a core in more than ``HOT`` places, with whatever around it, is not
+  one: its tuples are taken apart into their windows, which are counted by content over all tasks.
 """
 
 from __future__ import annotations
@@ -30,13 +32,15 @@ from seqframe.llm.names import under_plain_names
 from seqframe.llm.shared_passages import WORDS, shared_bytes, shared_spans
 from seqframe.llm.sieve import passes, sieve
 from seqframe.llm.words import Hasher, U, blocks, mixed, signed
-from seqframe.session import written
+from seqframe.session import broadcast_if_small, written
 
 LENGTH = 400
 #: Bytes of a gram, and windows of one anchor that share a core.
 GRAM, STEP = 32, 64
 #: Bytes of a long text that are read at a time.
 PIECE = 1 << 21
+#: Places of a core up to which one task induces its shard, in some 50 MB.
+HOT = 1 << 16
 
 
 def _pieces(column, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -192,11 +196,26 @@ def _repeats(batches):
         yield from solved(pa.concat_tables(held)).to_batches()
 
 
-def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> DataFrame:
+def _different(tuples: DataFrame) -> DataFrame:
+    """Equal tuples of a core as one, with their number."""
+    return tuples.groupBy("core", "same").agg(F.count("*").alias("copies"), *(F.any_value(c).alias(c) for c in ("low", "high", "left", "right")))
+
+
+def _counted_windows(tuples: DataFrame) -> DataFrame:
+    """(core, same, near, far) of tuples whose cores have too many places for one task: windows are counted by their bytes."""
+    each = _different(tuples).withColumn("k", F.explode(F.sequence(F.col("low").cast("int"), F.col("high").cast("int"))))
+    before = F.substr("left", F.col("high") - F.col("k") + 1, F.col("k"))
+    after = F.substr("right", F.lit(1), F.lit(STEP - 1) - F.col("k"))
+    each = written(each.select("core", "same", "copies", "k", F.xxhash64("core", "k", before, after).alias("window")))
+    again = each.groupBy("window").agg(F.sum("copies").alias("n")).filter("n > 1")
+    return each.join(again, "window", "left_semi").groupBy("core", "same").agg(F.min("k").cast("long").alias("near"), F.max("k").cast("long").alias("far"))
+
+
+def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """(row, spans): for each text with bytes that repeat, the runs of bytes to remove (action).
 
-    ``docs`` has a long ``row`` that names a row by its content. spans is an array of (begin, end) in UTF-8
-    bytes; the runs are maximal and do not touch.
+    ``docs`` has a long ``row`` that names a row by its content. spans is an array of different (begin, end) in UTF-8
+    bytes, which may overlap. Cores in more than ``hot`` places are no shards of one task; results are the same.
     """
     spark = docs.sparkSession
     docs = docs.select("row", F.col(text_col).cast("string").alias("text")).filter(F.octet_length("text") >= length)
@@ -205,22 +224,21 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
         wanted = spark.sparkContext.broadcast(sieve(anchors, "anchor"))
         schema = "row long, begin long, core long, same long, low short, high short, left binary, right binary"
         tuples = written(docs.mapInArrow(_tuples(length, wanted), schema))
-    several = tuples.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
-    different = tuples.groupBy("core", "same").agg(F.count("*").alias("copies"), *(F.any_value(c).alias(c) for c in ("low", "high", "left", "right")))
-    different = different.join(several, "core", "left_semi")
+    several = written(tuples.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1"))
+    frequent = several.filter(F.col("n") > hot).select("core")
+    usual = tuples
+    if not frequent.isEmpty():
+        frequent = broadcast_if_small(frequent)
+        usual = tuples.join(frequent, "core", "left_anti")
+    different = _different(usual).join(several.filter(F.col("n") <= hot), "core", "left_semi")
     ordered = different.repartition("core").sortWithinPartitions("core", "right").select("core", "same", "copies", "low", "high", "left", "right")
     found = written(ordered.mapInArrow(_repeats, "core long, same long, near long, far long"))
+    if usual is not tuples:
+        found = found.unionByName(written(_counted_windows(tuples.join(frequent, "core", "left_semi"))))
     # Window k of a tuple starts high - k bytes after its begin.
-    spans = tuples.select("row", "begin", "core", "same", "high").join(found, ["core", "same"]).select("row", (F.col("begin") + F.col("high") - F.col("far")).alias("begin"), (F.col("begin") + F.col("high") - F.col("near") + length).alias("end"))
-    merged = F.aggregate(
-        F.array_sort(F.collect_set(F.struct("begin", "end"))),
-        F.expr("cast(array() as array<struct<begin:bigint,end:bigint>>)"),
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1).getField("end") >= x.getField("begin")),
-            F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(F.element_at(done, -1).getField("begin").alias("begin"), F.greatest(F.element_at(done, -1).getField("end"), x.getField("end")).alias("end")))),
-        ).otherwise(F.concat(done, F.array(x))),
-    )
-    return written(spans.groupBy("row").agg(merged.alias("spans")))
+    spans = tuples.select("row", "begin", "core", "same", "high").join(found, ["core", "same"])
+    span = F.struct((F.col("begin") + F.col("high") - F.col("far")).alias("begin"), (F.col("begin") + F.col("high") - F.col("near") + length).alias("end"))
+    return written(spans.groupBy("row").agg(F.collect_set(span).alias("spans")))
 
 
 def _row(id_col: str, text_col: str):
@@ -251,7 +269,7 @@ def _digests(words: int):
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             removed, runs, hashes, spans_of = [], [], [], []
             for raw, spans in zip(texts, batch.column(2).to_pylist(), strict=True):
-                spans = spans or []
+                spans = _merged(spans or [])
                 removed.append(sum(s["end"] - s["begin"] for s in spans))
                 runs.append(len(spans))
                 hashes.append(hashlib.sha256(_without(raw, spans)).hexdigest())

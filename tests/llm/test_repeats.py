@@ -97,3 +97,20 @@ def test_short_passages_are_cut_from_texts(docs):
     got = {r.doc_id: r.text for r in without_repeats(docs(*rows), words=51).collect()}
     assert got == {1: prose(11, 40) + "  é " + prose(12, 40), 2: "ü ", 3: rows[2][1], 4: None}
     assert without_repeats(docs(*rows)).filter("doc_id = 1").first().text == rows[0][1]
+
+
+def test_cores_in_very_many_places_are_counted_by_their_windows(docs):
+    """A bound of one, two and five places, as a passage in a third of all documents would pass the real one."""
+    from seqframe.llm.repeats import _row, repeated_spans
+
+    table = docs(*cases(), (50, "ab" * 600), (51, cases()[3][1]))
+    named = table.withColumn("row", _row("doc_id", "text"))
+
+    def covered(hot):
+        out = {}
+        for r in repeated_spans(named, hot=hot).collect():
+            out[r.row] = {x for s in r.spans for x in range(s.begin, s.end)}
+        return out
+
+    plain = covered(1 << 16)
+    assert plain and covered(1) == plain and covered(2) == plain and covered(5) == plain
