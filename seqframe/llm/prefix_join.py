@@ -262,10 +262,16 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     # Second round: pairs of groups with all their members in one class are done; the rest are expanded.
     state = written(member.join(classes, "node", "left").select("node", "group", F.coalesce("component", "node").alias("component")))
     spread = state.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"))
-    left = of_groups.join(spread, "group")
-    x, y = (left.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("place", "size", "group", "low", "high"))) for s in "xy")
-    done = (F.col("low_x") == F.col("high_x")) & (F.col("low_y") == F.col("high_y")) & (F.col("low_x") == F.col("low_y"))
-    pairs = x.join(y, "token").filter("group_x < group_y").filter(~done & _may_link(num, den, "x", "y")).select("group_x", "group_y").distinct()
+    # A part of a token is a class, or a group that lies in several. Parts meet, not groups: groups of one class make no pairs.
+    one = F.col("low") == F.col("high")
+    parts = of_groups.join(spread, "group").withColumn("part", F.struct(one.alias("one"), F.when(one, F.col("low")).otherwise(F.col("group")).alias("of")))
+    several = parts.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p != q").select("token")
+    parts = written(parts.join(several, "token", "left_semi").select("token", "part", "place", "size", "group"))
+    kinds = parts.select("token", "part").distinct()
+    meeting = kinds.withColumnRenamed("part", "part_x").join(kinds.withColumnRenamed("part", "part_y"), "token").filter("part_x < part_y")
+    for s in "xy":
+        meeting = meeting.join(parts.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("part", "place", "size", "group"))), ["token", f"part_{s}"])
+    pairs = meeting.filter(_may_link(num, den, "x", "y")).select(F.least("group_x", "group_y").alias("group_x"), F.greatest("group_x", "group_y").alias("group_y")).distinct()
     own = spread.filter("low != high").select(F.col("group").alias("group_x"), F.col("group").alias("group_y"))
     mx, my = (state.select(F.col("group").alias(f"group_{s}"), F.col("node").alias(n_), F.col("component").alias(f"component_{s}")) for s, n_ in (("x", "a"), ("y", "b")))
     rest = pairs.union(own).join(mx, "group_x").join(my, "group_y").filter("component_x != component_y and (group_x != group_y or a < b)").select("a", "b")
