@@ -8,6 +8,7 @@ from tests.test_queries import SF, ordered
 
 NAMES = (
     "validate_table",
+    "stored_checks",
 )
 
 
