@@ -225,14 +225,19 @@ detections ARRAY<STRUCT<agent: STRING, sample: STRING, engineered: STRING,
 """
 
 
-def read_evidence_json(spark: SparkSession, path: str) -> DataFrame:
-    """One nested document per file; the file name is part of every key."""
-    return (
-        spark.read.schema(EVIDENCE_SCHEMA)
-        .option("multiLine", True)
-        .json(path)
-        .select(F.col("_metadata.file_name").alias("file"), "features", "detections")
-    )
+def read_evidence_json(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:
+    """Nested documents; ``file`` names the document and is part of every key.
+
+    One document per file, named by the file; without ``multi_line`` one per line, named by its file and place and
+    written once (action), so that every reader meets the same name. A file for each document costs a scan far more than
+    its bytes: keep many documents in lines.
+    """
+    found = spark.read.schema(EVIDENCE_SCHEMA).option("multiLine", multi_line).json(path)
+    name = F.col("_metadata.file_name")
+    if multi_line:
+        return found.select(name.alias("file"), "features", "detections")
+    place = F.monotonically_increasing_id().cast("string")
+    return written(found.select(F.concat_ws("#", name, place).alias("file"), "features", "detections"))
 
 
 def evidence_features(documents: DataFrame) -> DataFrame:

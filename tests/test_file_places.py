@@ -26,3 +26,26 @@ def test_lines_below_a_folder_carry_no_path_work(spark, tmp_path):
     assert "regexp" not in plan(df) and "decode" not in plan(df)
     got = {(r.path.rpartition("/")[2], r.ord, r.value) for r in df.filter(~F.col("header")).collect()}
     assert got == {("a b%", 0, "a0"), ("a b%", 1, "a1"), ("one", 0, "b0"), ("one", 1, "b1"), ("one", 2, "c0"), ("one", 3, "c1")}
+
+
+def test_evidence_documents_in_lines_keep_their_calls_apart(spark, tmp_path):
+    for f in range(2):
+        lines = [
+            f'{{"features": [{{"id": "1", "name": "{f}{i}", "sequence": "A"}}], '
+            f'"detections": [{{"alterations": [{{"derivedFeature": "1", "engineered": "x#c{f}{i}"}}]}}]}}'
+            for i in range(20)
+        ]
+        (tmp_path / f"part-{f}.json").write_text("\n".join(lines) + "\n")
+    docs = S.read_evidence_json(spark, str(tmp_path), multi_line=False)
+    both = S.evidence_features(docs).join(S.evidence_calls(docs), ["file", "id"]).select("name", "call").collect()
+    assert sorted((r.name, r.call) for r in both) == sorted((f"{f}{i}", f"c{f}{i}") for f in range(2) for i in range(20))
+
+
+def test_evidence_queries_write_few_files(spark, tmp_path, monkeypatch):
+    from workload import queries
+    from workload.inputs import Inputs
+
+    monkeypatch.setattr(queries, "folder", lambda x: str(tmp_path / "evidence"))
+    docs = queries.evidence_documents(Inputs(spark, "/root/testdata/sf0.001"))
+    assert docs.count() == 200
+    assert len(list((tmp_path / "evidence").glob("part-*"))) < 20
