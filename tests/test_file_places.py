@@ -49,3 +49,30 @@ def test_evidence_queries_write_few_files(spark, tmp_path, monkeypatch):
     docs = queries.evidence_documents(Inputs(spark, "/root/testdata/sf0.001"))
     assert docs.count() == 200
     assert len(list((tmp_path / "evidence").glob("part-*"))) < 20
+
+
+def test_digests_are_written_as_bytes(spark, tmp_path):
+    from seqframe.functions import digests as D
+    from seqframe.plans import validate as V
+
+    rows = spark.range(500).select(F.sha2(F.col("id").cast("string"), 256).alias("d"))
+    both = rows.select("d", D.packed(F.col("d")).alias("p")).agg(
+        D.combined_digest("d").alias("text"), D.combined_digest("p", True).alias("bytes"), F.count_if(D.unpacked("p") != F.col("d")).alias("n")
+    ).first()
+    lanes = [sum(int(r.d[6 * i : 6 * i + 6], 16) for r in rows.collect()) for i in range(10)]
+    want = spark.range(1).select(F.sha2(F.lit(",".join(map(str, [500, *lanes]))), 256).alias("h")).first().h
+    assert both.text == both.bytes == want and both.n == 0
+
+    table = spark.createDataFrame([(0, "a", [1], [1, 0])], "ord BIGINT, sample_id STRING, target ARRAY<INT>, tokens ARRAY<INT>")
+    kinds = dict(V.measured(table).dtypes)
+    assert {kinds[c] for c in ("sequence_digest", "_content", "_order", "_slice", "_target")} == {"binary"}
+
+
+def test_a_conversion_is_cleaned_once(spark, records):
+    from seqframe.model import Alphabet, Dataset, Options
+    from seqframe.plans.convert import convert
+
+    rows = records(("a", "ACGT")).select("*", F.array(F.lit(1)).alias("label"), F.lit("s").alias("source"))
+    semantics = spark.createDataFrame([(1, "one")], "value INT, meaning STRING")
+    made = convert(Dataset(df=rows, name="d", alphabet=Alphabet.DNA_NUCLEOTIDE, semantics=semantics), Options(width=8)).cleaned_once()
+    assert made.cleaned_once() is made
