@@ -76,3 +76,15 @@ def test_a_conversion_is_cleaned_once(spark, records):
     semantics = spark.createDataFrame([(1, "one")], "value INT, meaning STRING")
     made = convert(Dataset(df=rows, name="d", alphabet=Alphabet.DNA_NUCLEOTIDE, semantics=semantics), Options(width=8)).cleaned_once()
     assert made.cleaned_once() is made
+
+
+def test_converted_rows_are_written_small(spark, records, tmp_path, monkeypatch):
+    from seqframe import session
+    from seqframe.model import Alphabet, Dataset, Options
+    from seqframe.plans.convert import convert
+
+    monkeypatch.setattr(session, "shared_dir", lambda spark: str(tmp_path))
+    rows = records(("a", "ACGT")).select("*", F.array(F.lit(1)).alias("label"), F.lit("s").alias("source"))
+    convert(Dataset(df=rows, name="d", alphabet=Alphabet.DNA_NUCLEOTIDE, semantics=None), Options(width=8)).cleaned_once()
+    files = list(tmp_path.glob("seqframe-*/part-*"))
+    assert files and all(".zstd." in f.name or ".zst." in f.name for f in files)
