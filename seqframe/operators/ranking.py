@@ -31,7 +31,7 @@ def ordinals(df: DataFrame, order: Sequence[str], name: str = "ord") -> DataFram
 
 
 def _dense(sorted_rows: DataFrame, name: str) -> DataFrame:
-    """Turn partition-and-index ids into dense positions. One offset row per partition."""
+    """Turn partition-and-index ids into dense positions. One offset row per partition, which is broadcast: the rows stay where they are."""
     part = F.shiftright("_at", _INDEX_BITS)
     sizes = sorted_rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -39,7 +39,7 @@ def _dense(sorted_rows: DataFrame, name: str) -> DataFrame:
     index = F.col("_at").bitwiseAND(F.lit((1 << _INDEX_BITS) - 1))
     return (
         sorted_rows.withColumn("_part", part)
-        .join(offsets, "_part")
+        .join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_offset") + index)
         .drop("_part", "_offset", "_at")
     )
@@ -50,15 +50,15 @@ def rank_in_group(
 ) -> DataFrame:
     """0-based rank of every row within its group (action: one sorted write).
 
-    The first position of a group is a map-side combined minimum; a group too large for one
-    partition is joined back through a broadcast or AQE's skew split, never through one task.
+    The first position of a group is a map-side combined minimum. Few groups are broadcast, so the rows of a
+    large one are not brought together; where groups are many, AQE splits a large one.
     """
     placed = ordinals(df, [*group, *order], "_pos")
     starts = placed.groupBy(*group).agg(F.min("_pos").alias("_start"))
     # Null is a group like any other.
-    starts = starts.select(*[F.col(c).alias(f"_of_{c}") for c in group], "_start")
+    starts = written(starts.select(*[F.col(c).alias(f"_of_{c}") for c in group], "_start"))
     return (
-        placed.join(starts, _same(group, "_of_"))
+        placed.join(broadcast_if_small(starts), _same(group, "_of_"))
         .withColumn(name, F.col("_pos") - F.col("_start"))
         .select(*[c for c in placed.columns if c != "_pos"], name)
     )

@@ -88,3 +88,13 @@ def test_converted_rows_are_written_small(spark, records, tmp_path, monkeypatch)
     convert(Dataset(df=rows, name="d", alphabet=Alphabet.DNA_NUCLEOTIDE, semantics=None), Options(width=8)).cleaned_once()
     files = list(tmp_path.glob("seqframe-*/part-*"))
     assert files and all(".zstd." in f.name or ".zst." in f.name for f in files)
+
+
+def test_ranks_do_not_bring_a_group_together(spark):
+    from seqframe.operators import ranking as R
+
+    rows = spark.range(1000).select((F.col("id") % 3).alias("g"), F.col("id").alias("o"))
+    ranked = R.rank_in_group(rows, ["g"], ["o"])
+    text = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(g" not in text and "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+    assert {(r.g, r.o, r["rank"]) for r in ranked.collect()} == {(i % 3, i, i // 3) for i in range(1000)}
