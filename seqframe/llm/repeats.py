@@ -201,12 +201,18 @@ def _different(tuples: DataFrame) -> DataFrame:
     return tuples.groupBy("core", "same").agg(F.count("*").alias("copies"), *(F.any_value(c).alias(c) for c in ("low", "high", "left", "right")))
 
 
+def _compared(tuples: DataFrame, several: DataFrame) -> DataFrame:
+    """Equal tuples of the cores in ``several`` as one; all of a core lie in one partition."""
+    placed = tuples.select("core", "same", "low", "high", "left", "right").repartition("core")
+    return _different(placed.join(several.select("core"), "core", "left_semi"))
+
+
 def _counted_windows(tuples: DataFrame) -> DataFrame:
     """(core, same, near, far) of tuples whose cores have too many places for one task: windows are counted by their bytes."""
     each = _different(tuples).withColumn("k", F.explode(F.sequence(F.col("low").cast("int"), F.col("high").cast("int"))))
     before = F.substr("left", F.col("high") - F.col("k") + 1, F.col("k"))
     after = F.substr("right", F.lit(1), F.lit(STEP - 1) - F.col("k"))
-    each = written(each.select("core", "same", "copies", "k", F.xxhash64("core", "k", before, after).alias("window")))
+    each = written(each.select("core", "same", "copies", "k", F.xxhash64("core", "k", before, after).alias("window")), "zstd")
     again = each.groupBy("window").agg(F.sum("copies").alias("n")).filter("n > 1")
     return each.join(again, "window", "left_semi").groupBy("core", "same").agg(F.min("k").cast("long").alias("near"), F.max("k").cast("long").alias("far"))
 
@@ -223,15 +229,16 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", length: int = LENGTH
         anchors = written(docs.select("text").mapInArrow(_anchors(length), "anchor long").groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"))
         wanted = spark.sparkContext.broadcast(sieve(anchors, "anchor"))
         schema = "row long, begin long, core long, same long, low short, high short, left binary, right binary"
-        tuples = written(docs.mapInArrow(_tuples(length, wanted), schema))
+        tuples = written(docs.mapInArrow(_tuples(length, wanted), schema), "zstd")
     several = written(tuples.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1"))
     frequent = several.filter(F.col("n") > hot).select("core")
     usual = tuples
     if not frequent.isEmpty():
         frequent = broadcast_if_small(frequent)
         usual = tuples.join(frequent, "core", "left_anti")
-    different = _different(usual).join(several.filter(F.col("n") <= hot), "core", "left_semi")
-    ordered = different.repartition("core").sortWithinPartitions("core", "right").select("core", "same", "copies", "low", "high", "left", "right")
+    # A tuple's bytes are shuffled once, by core, and only those of cores that occur again; all that follows finds them in their place.
+    parts = _compared(usual, several.filter(F.col("n") <= hot))
+    ordered = parts.sortWithinPartitions("core", "right").select("core", "same", "copies", "low", "high", "left", "right")
     found = written(ordered.mapInArrow(_repeats, "core long, same long, near long, far long"))
     if usual is not tuples:
         found = found.unionByName(written(_counted_windows(tuples.join(frequent, "core", "left_semi"))))

@@ -114,3 +114,17 @@ def test_cores_in_very_many_places_are_counted_by_their_windows(docs):
 
     plain = covered(1 << 16)
     assert plain and covered(1) == plain and covered(2) == plain and covered(5) == plain
+
+
+def test_bytes_of_tuples_are_shuffled_once_by_core(spark):
+    """The join with repeated cores, the grouping of equal tuples and the order of a core meet the rows where one shuffle left them."""
+    from seqframe.llm.repeats import _compared
+
+    rows = [(c, s, 0, 3, bytes([c, s]), b"r") for c in range(40) for s in range(3) for _ in range(2)]
+    tuples = spark.createDataFrame(rows, "core long, same long, low short, high short, left binary, right binary")
+    several = spark.createDataFrame([(c, 6) for c in range(30)], "core long, n long")
+    for hint in ("merge", "broadcast"):
+        got = _compared(tuples, several.hint(hint))
+        moved = [line for line in got._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in line]
+        assert len(moved) == (2 if hint == "merge" else 1) and not any("same" in line for line in moved)
+        assert {(r.core, r.same, r.copies, bytes(r.left)) for r in got.collect()} == {(c, s, 2, bytes([c, s])) for c in range(30) for s in range(3)}
