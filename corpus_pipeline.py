@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqframe.llm.batches import batches_of
 from seqframe.llm.decontamination import without_contaminated
 from seqframe.llm.language_id import held_out, recognised, trained
 from seqframe.llm.mixing import mixed_documents
@@ -20,6 +21,8 @@ from seqframe.session import written
 
 #: Bytes of a repeated string, and words of a passage, which may be shorter.
 REPEAT, PASSAGE = 256, 51
+#: Whole texts that a task is handed at a time.
+ROWS_AT_A_TIME = 1_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,5 +75,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = written(docs)
+            with batches_of(spark, ROWS_AT_A_TIME):
+                docs = written(docs)
     return docs

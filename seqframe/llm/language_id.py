@@ -25,6 +25,8 @@ SAMPLE, LANDMARKS = 400, 32
 #: The same over all languages. Where these are many each has fewer, four texts and one landmark at least; none is left out.
 ALL_SAMPLES, ALL_LANDMARKS = 12_800, 1_024
 RIDGE = 1e-2
+#: Texts whose presences a task holds at a time, 49 kilobytes each, beside as much again while they are made.
+HELD = 200
 NONE = "und"
 
 
@@ -88,8 +90,8 @@ def _predicted(model):
     def run(batches):
         fitted = model.value
         for whole in batches:
-            for at in range(0, max(whole.num_rows, 1), 1000):
-                batch = whole.slice(at, 1000)
+            for at in range(0, max(whole.num_rows, 1), HELD):
+                batch = whole.slice(at, HELD)
                 if fitted is None:
                     best, score, languages = np.zeros(batch.num_rows, int), np.zeros(batch.num_rows), [NONE]
                 else:
@@ -125,7 +127,7 @@ def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 
 def _bits(batches):
-    for batch in batches:
+    for batch in (whole.slice(at, HELD) for whole in batches for at in range(0, whole.num_rows, HELD)):
         packed = np.packbits(presence(batch.column(2)).astype(np.uint8), axis=1)
         yield pa.record_batch([batch.column(0), batch.column(1), pa.array([p.tobytes() for p in packed], pa.binary())], ["key", "lang", "bits"])
 
