@@ -22,3 +22,15 @@ def test_no_more_texts_are_held_than_the_bound(monkeypatch):
     out = pa.Table.from_batches(list(M._predicted(model)([pa.record_batch([pa.array(range(n)), pa.array(texts)], ["id", "text"])])))
     assert out.column("id").to_pylist() == list(range(n)) and out.column("lang_pred").to_pylist() == langs
     assert max(sizes) <= M.HELD
+
+
+def test_stages_that_hand_on_whole_texts_do_so_in_small_batches(spark, docs, monkeypatch):
+    import corpus_pipeline
+    from seqframe.llm.batches import ROWS
+
+    seen, real = [], corpus_pipeline.written
+    monkeypatch.setattr(corpus_pipeline, "written", lambda df, *codec: seen.append(int(spark.conf.get(ROWS))) or real(df, *codec))
+    table = docs(*((k, f"text {k} of some words", "en", "web") for k in range(9)))
+    for stage in (corpus_pipeline.language_id, corpus_pipeline.suffix_array_dedup):
+        assert stage(spark, table, "").count() == 9
+    assert seen == [corpus_pipeline.ROWS_AT_A_TIME] * 2 and int(spark.conf.get(ROWS)) > corpus_pipeline.ROWS_AT_A_TIME
