@@ -7,6 +7,7 @@ the shared folder and reads it back for the next.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,25 +18,40 @@ from seqframe.llm.language_id import held_out, recognised, trained
 from seqframe.llm.mixing import mixed_documents
 from seqframe.llm.prefix_join import one_of_each
 from seqframe.llm.repeats import without_repeats
-from seqframe.session import written
+from seqframe.session import leaving_result, written
 
 #: Bytes of a repeated string, and words of a passage, which may be shorter.
 REPEAT, PASSAGE = 256, 51
 #: Whole texts that a task is handed at a time.
 ROWS_AT_A_TIME = 1_000
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+
+def stage(work: Stage) -> Stage:
+    """A stage that leaves none of its intermediate tables to those that follow."""
+
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return leaving_result(spark, lambda: work(spark, docs, sf_dir))
+
+    return run_stage
+
+
+@stage
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or of no language that the labelled ones teach, go."""
     with batches_of(spark, ROWS_AT_A_TIME):
         return written(recognised(docs, trained(docs.filter(~held_out("doc_id", 4, 2)))), "zstd")
 
 
+@stage
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies (five-word shingles, 0.8) the document with the smallest id stays."""
     return one_of_each(docs, n=5, num=80, den=100)
 
 
+@stage
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of ``REPEAT`` bytes that occur again, and passages of ``PASSAGE`` words that other texts have, are cut from all
     texts; documents that lose all their words go."""
@@ -45,17 +61,19 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
         return written(cut.filter(F.col("text").isNull() | (F.col("text").rlike(r"[^\x20\x09-\x0D]"))), "zstd")
 
 
+@stage
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@stage
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target asks for, in shards."""
     return mixed_documents(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, Stage]] = [
     ("language_id", language_id),
     ("ngram_jaccard_join", ngram_jaccard_join),
     ("suffix_array_dedup", suffix_array_dedup),
@@ -77,8 +95,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     with null or equal ids are told apart by their content. An empty table gives an empty corpus.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1 and stage not in WRITTEN:
+    for k, (_, work) in enumerate(STAGES):
+        docs = work(spark, docs, sf_dir)
+        if k < len(STAGES) - 1 and work not in WRITTEN:
             docs = written(docs)
     return docs

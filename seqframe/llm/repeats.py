@@ -32,7 +32,7 @@ from seqframe.llm.names import under_plain_names
 from seqframe.llm.shared_passages import WORDS, shared_bytes, shared_spans
 from seqframe.llm.sieve import passes, sieve
 from seqframe.llm.words import Hasher, U, blocks, mixed, signed
-from seqframe.session import broadcast_if_small, written
+from seqframe.session import broadcast_if_small, leaving_result, written
 
 LENGTH = 400
 #: Bytes of a gram, and windows of one anchor that share a core.
@@ -333,10 +333,15 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _without_repeats(docs: DataFrame, id_col: str, text_col: str, length: int, words: int | None) -> DataFrame:
     rows = docs.withColumn("_row", _row(id_col, text_col))
     named = rows.select(F.col("_row").alias("row"), F.col(text_col).cast("string").alias("text"))
-    spans = repeated_spans(named, length=length)
-    if words:
+
+    def both() -> DataFrame:
         more = shared_spans(named, words).groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
-        spans = written(spans.union(more).groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+        return written(spans.union(more).groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+
+    # Tuples and windows outweigh the texts: they go before the texts meet their spans.
+    spans = leaving_result(docs.sparkSession, lambda: repeated_spans(named, length=length))
+    if words:
+        spans = leaving_result(docs.sparkSession, both)
     spans = spans.select(F.col("row").alias("_row"), F.col("spans").alias("_spans"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return rows.join(spans, "_row", "left").select(*docs.columns, "_spans").mapInArrow(_cut(docs.columns.index(text_col)), kinds)
