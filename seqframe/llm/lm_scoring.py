@@ -1,51 +1,42 @@
 """Language-model scores from a log-frequency Bloom filter, and exact unigram scores beside them.
 
-Unigrams and bigrams of the training documents are counted exactly: each part of the scan sends its
-distinct n-grams, packed by bucket of their hash, and each bucket adds them up. A count c is kept as its level
-1 + floor(log2 c); an n-gram of level q is entered in the filter q times, with each level up to its own. A
-reader probes levels upwards until one is missing, which gives the quantised count. Probabilities interpolate
-the bigram's share of its first word with the smoothed unigram. The filter takes a fixed number of bits for
-each entry, so it grows with the corpus, and nothing is left out. It consists of segments by ranges of hashes; as many
-as fit a bound are sent to the workers at a time. One that fits as a whole scores texts as they are read; else each
-group of segments tells the levels of its own n-grams in a scan of its own, and a text's score follows from all of them.
-
-Exact unigram scores come from a bounded table of the most frequent tokens, on the map side, and a join
-for the rest.
+Texts are read once, into chunks of some million tokens: the hashes of a chunk's different tokens and the place of each
+token among them. A chunk sends each of its different unigrams and bigrams, with its count in the training documents,
+to the bucket of its hash. The bucket adds the counts up. A count c is kept as its level 1 + floor(log2 c); an n-gram of
+level q is entered in the bucket's segment of the filter q times, with each level up to its own. A reader probes levels
+upwards until one is missing, which gives the quantised count. The bucket answers each chunk with the levels that the
+filter tells of the chunk's n-grams, in their order, and with the exact counts of its unigrams; the chunk puts them in
+their places. So each n-gram of a chunk travels once, whatever the size of the filter, and no part of it is sent to all.
+
+Probabilities interpolate the bigram's share of its first word with the smoothed unigram. The filter takes a fixed
+number of bits for each entry, so it grows with the corpus, and nothing is left out.
 """
 
 from __future__ import annotations
 
 import os
 import zlib
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqframe.llm.batches import batches_of
 from seqframe.llm.language_id import held_out
-from seqframe.llm.words import Hasher, U, blocks, mixed, signed, unsigned, words
+from seqframe.llm.words import Hasher, U, blocks, mixed, words
 from seqframe.session import written
 
 #: The hash of the token that ends each document; it also stands before the first word.
 END = U(0x0E4D0E4D0E4D0E4D)
-#: Bits of the filter for each entry, and bytes of it that are sent to the workers at a time.
-ENTRY_BITS, SENT_BYTES = 12, 64 << 20
+#: Bits of the filter for each entry, and bytes of token hashes that a task gathers for a chunk before it sends them on.
+ENTRY_BITS, SENT_BYTES = 12, 8 << 20
 #: Bits of a filter word that are set for an entry come from these places of its hash.
 PROBES = (58, 52, 46, 40)
-#: Most frequent tokens that are sent to the workers with their exact counts, 4 MB.
-FREQUENT = 1 << 18
 #: Weight of the bigram's share.
 SHARE = 0.7
-#: Texts that a task remembers, to look at copies once.
-SEEN = 1_000_000
-#: Tokens that a task gathers before it sends their n-grams on, and bytes of text for each bucket.
-FLUSH, BUCKET_BYTES = 2_000_000, 2 << 20
-#: Buckets that a task is handed at a time: each holds megabytes of hashes.
-BUCKETS_AT_A_TIME = 8
+#: Bytes of text for each bucket, and buckets or chunks that a task is handed at a time: each holds megabytes.
+BUCKET_BYTES, ROWS_AT_A_TIME = 4 << 20, 8
 
 
 def _tokens(column, hasher: Hasher):
@@ -59,64 +50,99 @@ def _tokens(column, hasher: Hasher):
         yield block.first, block.rows, out, rows
 
 
-def _before(tokens: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    before = np.append(END, tokens[:-1]) if len(tokens) else tokens
-    before[rows[:-1]] = END
-    return before
-
-
 def bigrams(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return mixed(before * U(0x9E3779B97F4A7C15) + tokens + U(1))
 
 
-def _packed(order: int, hashes: np.ndarray, counts: np.ndarray, buckets: int):
-    """One row for each bucket: hashes in order and their counts."""
-    bucket = (mixed(hashes + U(99)) % U(buckets)).astype(np.int64)
-    at = np.argsort(bucket, kind="stable")
-    edges = np.searchsorted(bucket[at], np.arange(buckets + 1))
-    hashes, counts = hashes[at], counts[at].astype(np.uint32)
-    full = np.flatnonzero(np.diff(edges))
-    parts = [(hashes[edges[b] : edges[b + 1]].tobytes(), counts[edges[b] : edges[b + 1]].tobytes()) for b in full]
-    return pa.record_batch([pa.array(full.astype(np.int32)), pa.array(np.full(len(full), order, np.int32)), pa.array([p[0] for p in parts], pa.binary()), pa.array([p[1] for p in parts], pa.binary())], ["bucket", "order", "hashes", "counts"])
+def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return (mixed(hashes + U(99)) % U(buckets)).astype(np.int64)
 
 
-def _grams(buckets: int):
-    def run(batches):
-        hasher, held, size = Hasher(lower=True), [], 0
+def _chunks(batches):
+    """(chunk, ids, learns, wanted, sizes, hashes, places): the rows of a chunk and its tokens."""
+    hasher, held, size = Hasher(lower=True), [], 0
+
+    def chunk() -> pa.RecordBatch:
+        hashes, places = np.unique(np.concatenate([tokens for _, tokens, _ in held]), return_inverse=True)
+        columns = [pa.concat_arrays([rows.column(c) for rows, _, _ in held]) for c in range(3)]
+        sizes = pa.array(np.concatenate([n for _, _, n in held]).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in (*columns, sizes)]
+        name = pa.array(np.frombuffer(os.urandom(8), np.int64))  # only to tell the written rows apart
+        packed = zlib.compress(places.astype(np.uint32).tobytes(), 1)
+        return pa.record_batch([name, *lists, pa.array([hashes.tobytes()], pa.binary()), pa.array([packed], pa.binary())], ["chunk", "ids", "learns", "wanted", "sizes", "hashes", "places"])
+
+    for batch in batches:
+        own = batch.select([0, 2, 3])
+        for first, n, tokens, rows in _tokens(batch.column(1), hasher):
+            held.append((own.slice(first, n), tokens, np.diff(rows)))
+            size += tokens.nbytes
+            if size > SENT_BYTES:
+                yield chunk()
+                held, size = [], 0
+    if held:
+        yield chunk()
+
 
-        def flush():
-            one, two = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-            for order, every in ((1, one), (2, two)):
-                yield _packed(order, *np.unique(every, return_counts=True), buckets)
+def _grams(hashes: bytes, places: bytes, sizes: np.ndarray):
+    """(hashes, places) of the different tokens and of the different bigrams of a chunk, and where its rows begin."""
+    one, at = np.frombuffer(hashes, U), np.frombuffer(zlib.decompress(places), np.uint32).astype(np.int64)
+    edges = np.append(0, np.cumsum(sizes))
+    end = int(np.searchsorted(one, END))  # every row has its end
+    before = np.append(end, at[:-1])
+    before[edges[:-1]] = end
+    pairs, place = np.unique(before * len(one) + at, return_inverse=True)
+    return (one, at), (bigrams(one[pairs // len(one)], one[pairs % len(one)]), place), edges
 
+
+def _asked(buckets: int):
+    """(bucket, chunk, order, hashes, counts): a row for each bucket with n-grams of a chunk; held-out ones count 0."""
+
+    def run(batches):
         for batch in batches:
-            for _, _, tokens, rows in _tokens(batch.column(0), hasher):
-                held.append((tokens, bigrams(_before(tokens, rows), tokens)))
-                size += len(tokens)
-                if size > FLUSH:
-                    yield from flush()
-                    held, size = [], 0
-        if held:
-            yield from flush()
+            for name, learns, sizes, hashes, places in zip(*(batch.column(c) for c in ("chunk", "learns", "sizes", "hashes", "places")), strict=True):
+                sizes = sizes.values.to_numpy()
+                learnt = np.repeat(learns.values.to_numpy(zero_copy_only=False).astype(bool), sizes)
+                for order, (grams, place) in enumerate(_grams(hashes.as_py(), places.as_py(), sizes)[:2], 1):
+                    counts = np.bincount(place[learnt], minlength=len(grams)).astype(np.uint32)
+                    bucket = bucket_of(grams, buckets)
+                    at = np.argsort(bucket, kind="stable")
+                    edges = np.searchsorted(bucket[at], np.arange(buckets + 1))
+                    full = np.flatnonzero(np.diff(edges))
+                    packed = [pa.array([part[edges[b] : edges[b + 1]].tobytes() for b in full], pa.binary()) for part in (grams[at], counts[at])]
+                    yield pa.record_batch([pa.array(full.astype(np.int32)), pa.array([name.as_py()] * len(full), pa.int64()), pa.array([order] * len(full), pa.int32()), *packed], ["bucket", "chunk", "order", "hashes", "counts"])
 
     return run
 
 
-def _added(table: pa.Table) -> pa.Table:
-    """The totals of one bucket, unigrams and bigrams."""
-    out = []
+def _answered(rows: pa.Table) -> pa.Table:
+    """(bucket, chunk, order, levels, counts, total, different): what one bucket tells each chunk of its n-grams.
+
+    Counts are those of unigrams; the sums over all the bucket's unigrams stand in one row.
+    """
+    bucket, orders = rows.column("bucket")[0].as_py(), rows.column("order").to_numpy()
+    raw = [[np.frombuffer(b, kind) for b in rows.column(c).to_pylist()] for c, kind in (("hashes", U), ("counts", np.uint32))]
+    grams = {}
     for order in (1, 2):
-        part = table.filter(pc.equal(table.column("order"), order))
-        hashes = np.concatenate([np.zeros(0, U), *(np.frombuffer(b, U) for b in part.column("hashes").to_pylist())])
-        counts = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(b, np.uint32) for b in part.column("counts").to_pylist())])
-        at = np.argsort(hashes, kind="stable")
-        hashes, counts = hashes[at], counts[at]
-        first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, np.int64)
-        total = np.add.reduceat(counts.astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
-        out.append((order, hashes[first], total))
-    bucket = table.column("bucket")[0].as_py()
-    levels = [np.bincount(level_of(c), minlength=40).tolist() for _, _, c in out]
-    return pa.table({"bucket": pa.array([bucket] * 2, pa.int32()), "order": pa.array([o for o, _, _ in out], pa.int32()), "hashes": pa.array([h.tobytes() for _, h, _ in out], pa.binary()), "counts": pa.array([c.tobytes() for _, _, c in out], pa.binary()), "levels": pa.array(levels, pa.list_(pa.int64())), "total": pa.array([int(c.sum()) for _, _, c in out], pa.int64()), "different": pa.array([len(c) for _, _, c in out], pa.int64())})
+        own = np.flatnonzero(orders == order)
+        every, n = (np.concatenate([np.zeros(0, kind), *(part[r] for r in own)]) for part, kind in zip(raw, (U, np.uint32), strict=True))
+        hashes, place = np.unique(every, return_inverse=True)
+        grams[order] = own, hashes, place, np.bincount(place, n, len(hashes)).astype(np.int64)
+    learnt = [(hashes[n > 0], n[n > 0]) for _, hashes, _, n in grams.values()]
+    size = int(sum(level_of(n).sum() for _, n in learnt)) * ENTRY_BITS // 64 + 1
+    batch = pa.record_batch([pa.array([bucket] * 2, pa.int32()), *(pa.array([part[k].tobytes() for part in learnt], pa.binary()) for k in (0, 1))], ["bucket", "hashes", "counts"])
+    segment = np.zeros(size, U)
+    for part in _segments(size)([batch]):
+        segment |= np.frombuffer(part.column("words")[0].as_py(), U)
+    filter_ = LogFrequencyFilter(segment, 1)
+    levels, counts = [b""] * len(orders), [b""] * len(orders)
+    for order, (own, hashes, place, n) in grams.items():
+        told, at = filter_.levels(hashes)[place], np.append(0, np.cumsum([len(raw[0][r]) for r in own])).astype(np.int64)
+        for k, r in enumerate(own):
+            levels[r] = told[at[k] : at[k + 1]].tobytes()
+            counts[r] = n[place[at[k] : at[k + 1]]].tobytes() if order == 1 else b""
+    once = np.arange(len(orders)) == 0
+    sums = [pa.array(np.where(once, x, 0).astype(np.int64)) for x in (learnt[0][1].sum(), len(learnt[0][1]))]
+    return pa.table([*(rows.column(c) for c in ("bucket", "chunk", "order")), pa.array(levels, pa.binary()), pa.array(counts, pa.binary()), *sums], ["bucket", "chunk", "order", "levels", "counts", "total", "different"])
 
 
 def level_of(counts: np.ndarray) -> np.ndarray:
@@ -157,7 +183,7 @@ class LogFrequencyFilter:
     def levels(self, hashes: np.ndarray) -> np.ndarray:
         """0 for an n-gram that is not there, or of another segment."""
         out = np.zeros(len(hashes), np.uint8)
-        bucket = (mixed(hashes + U(99)) % U(self.buckets)).astype(np.int64)
+        bucket = bucket_of(hashes, self.buckets)
         left, k = np.flatnonzero((bucket >= self.first) & (bucket < self.last)), 1
         base = (bucket - self.first) * self.size
         while len(left):
@@ -182,98 +208,56 @@ def _log_sums(one: np.ndarray, two: np.ndarray, end: int, rows: np.ndarray, scal
     return np.add.reduceat(np.log10(SHARE * share + (1 - SHARE) * (smooth + 0.5) / scale), rows[:-1])  # every row has its end
 
 
-def _levels(part):
-    """(text, one, two): levels of the tokens and bigrams of each different text that lie in this part of the filter.
-
-    They are compressed: the more parts there are, the fewer levels each tells.
-    """
-
-    def run(batches):
-        filter_, hasher, seen = LogFrequencyFilter(*part.value), Hasher(lower=True), set()
-        for batch in batches:
-            if len(seen) > SEEN:
-                seen = set()
-            fresh = []
-            for name in batch.column(0).to_pylist():
-                fresh.append(name not in seen)
-                seen.add(name)
-            batch = batch.filter(pa.array(fresh, pa.bool_()))
-            one, two = [], []
-            for _, n, tokens, rows in _tokens(batch.column(1), hasher):
-                different, place = np.unique(tokens, return_inverse=True)
-                a, b = filter_.levels(different)[place], filter_.levels(bigrams(_before(tokens, rows), tokens))
-                one += [zlib.compress(a[rows[r] : rows[r + 1]].tobytes(), 1) for r in range(n)]
-                two += [zlib.compress(b[rows[r] : rows[r + 1]].tobytes(), 1) for r in range(n)]
-            yield pa.record_batch([batch.column(0), pa.array(one, pa.binary()), pa.array(two, pa.binary())], ["text", "one", "two"])
+def _scored(buckets: int, scale: float):
+    """(id, n_tokens, n_known, base, score) of a chunk's wanted rows, from what the buckets told of its n-grams."""
+
+    def run(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        sizes, wanted = chunk.column("sizes").combine_chunks().values.to_numpy(), chunk.column("wanted").combine_chunks().values
+        grams = _grams(chunk.column("hashes")[0].as_py(), chunk.column("places")[0].as_py(), sizes)
+        edges = grams[2]
+        answers = answers.sort_by("bucket")
+        orders = answers.column("order").to_numpy()
+
+        def of_tokens(order: int, column: str, kind) -> np.ndarray:
+            """What was told of each token's n-gram: answers stand by bucket."""
+            hashes, place = grams[order - 1]
+            parts = answers.column(column).to_pylist()
+            out = np.zeros(len(hashes), kind)
+            out[np.argsort(bucket_of(hashes, buckets), kind="stable")] = np.frombuffer(b"".join(parts[r] for r in np.flatnonzero(orders == order)), kind)
+            return out[place]
+
+        told = of_tokens(1, "levels", np.uint8), of_tokens(2, "levels", np.uint8)
+        end = int(told[0][edges[1] - 1])  # a row's last token is its end
+        score = _log_sums(*told, end, edges, scale)
+        exact = of_tokens(1, "counts", np.int64)
+        sums = lambda v: np.add.reduceat(v, edges[:-1])  # noqa: E731  every row has its end
+        columns = [sizes.astype(np.int64), sums((exact > 0).astype(np.int64)), sums(np.log10(exact + 0.5)), score]
+        out = pa.table([chunk.column("ids").combine_chunks().values, *map(pa.array, columns)], ["id", "n_tokens", "n_known", "base", "score"])
+        return out.filter(wanted)
 
     return run
 
 
-def _summed(end: int, scale: float):
-    """(text, score) from the levels that each part of the filter told of a text: the greatest of each place."""
-
-    def run(table: pa.Table) -> pa.Table:
-        one, two = (np.max([np.frombuffer(zlib.decompress(b), np.uint8) for b in table.column(c).to_pylist()], axis=0) for c in ("one", "two"))
-        score = _log_sums(one, two, end, np.array([0, len(one)]), scale)[0]
-        return pa.table({"text": table.column("text").slice(0, 1), "score": pa.array([float(score)])})
-
-    return run
-
-
-def _scores(model):
-    """(id, key, name, n_tokens, n_known, base, score, rare): sums over the frequent tokens, and the other tokens' hashes.
-
-    The score is 0 where the filter is not sent as a whole.
-    """
-
-    def run(batches):
-        held, buckets, known, counts, total, vocabulary = model.value
-        filter_ = LogFrequencyFilter(held, buckets) if held is not None else None
-        hasher, scale = Hasher(lower=True), total + 0.5 * (vocabulary + 1)
-        end = int(filter_.levels(np.array([END]))[0]) if filter_ else 0
-        for batch in batches:
-            columns: list[list] = [[], [], [], [], []]
-            for _, n, tokens, rows in _tokens(batch.column(1), hasher):
-                different, place = np.unique(tokens, return_inverse=True)
-                if filter_:
-                    score = _log_sums(filter_.levels(different)[place], filter_.levels(bigrams(_before(tokens, rows), tokens)), end, rows, scale)
-                else:
-                    score = np.zeros(n)
-                at = np.minimum(np.searchsorted(known, different), max(len(known) - 1, 0))
-                frequent = known[at] == different if len(known) else np.zeros(len(different), bool)
-                exact = np.where(frequent, counts[at], 0) if len(known) else np.zeros(len(different))
-                base = np.where(frequent, np.log10(exact + 0.5), 0.0)[place]
-                rare = ~frequent[place]
-                sums = lambda v: np.add.reduceat(v, rows[:-1])  # noqa: E731  every row has its end
-                columns[0].append(np.diff(rows))
-                columns[1].append(sums((~rare).astype(np.int64)))
-                columns[2].append(sums(base))
-                columns[3].append(score)
-                number = np.repeat(np.arange(n), np.diff(rows))[rare]
-                edges = np.searchsorted(number, np.arange(n + 1))
-                mine = signed(tokens[rare])
-                columns[4] += [mine[edges[r] : edges[r + 1]] for r in range(n)]
-            ends = np.cumsum([0, *map(len, columns[4])])
-            rare = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int64), *columns[4]])))
-            keys = np.frombuffer(os.urandom(8 * batch.num_rows), np.int64)  # only to tell the written rows apart
-            flat = [np.concatenate([np.zeros(0, k), *c]).astype(k) for c, k in zip(columns[:4], (np.int64, np.int64, np.float64, np.float64), strict=True)]
-            yield pa.record_batch([batch.column(0), pa.array(keys), batch.column(2), *map(pa.array, flat), rare], ["id", "key", "name", "n_tokens", "n_known", "base", "score", "rare"])
-
-    return run
-
-
-def _unpacked(least: int, most: int | None):
-    """(token, n) of the unigrams with counts from ``least`` to below ``most``."""
-
-    def run(batches):
-        for batch in batches:
-            for raw, counted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                hashes, n = np.frombuffer(raw, np.int64), np.frombuffer(counted, np.int64)
-                keep = (n >= least) & (n < (most or 1 << 62))
-                for at in range(0, int(keep.sum()), 50_000):
-                    yield pa.record_batch({"token": hashes[keep][at : at + 50_000], "n": n[keep][at : at + 50_000]})
-
-    return run
+def _scores(rows: DataFrame) -> DataFrame:
+    """(id, n_tokens, n_known, train_tokens, base_score, score) of the wanted ``rows`` (id, text, learns, wanted) (action)."""
+    spark = rows.sparkSession
+    kind = rows.schema["id"].dataType.simpleString()
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    buckets = int(max(64, size // BUCKET_BYTES))
+    with batches_of(spark, 2000):
+        schema = f"chunk long, ids array<{kind}>, learns array<boolean>, wanted array<boolean>, sizes array<int>, hashes binary, places binary"
+        chunks = written(rows.select("id", "text", "learns", "wanted").mapInArrow(_chunks, schema), "zstd")
+    with batches_of(spark, ROWS_AT_A_TIME):
+        asked = chunks.select("chunk", "learns", "sizes", "hashes", "places").mapInArrow(_asked(buckets), "bucket int, chunk long, order int, hashes binary, counts binary")
+        schema = "bucket int, chunk long, order int, levels binary, counts binary, total long, different long"
+        answers = written(asked.groupBy("bucket").applyInArrow(_answered, schema), "zstd")
+    total, vocabulary = answers.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("different"), F.lit(0))).first()
+    scale = total + 0.5 * (vocabulary + 1)
+    told = answers.select("chunk", "bucket", "order", "levels", "counts").groupBy("chunk")
+    own = chunks.drop("learns").groupBy("chunk")
+    out = own.cogroup(told).applyInArrow(_scored(buckets, scale), f"id {kind}, n_tokens long, n_known long, base double, score double")
+    base = F.col("base") - F.col("n_tokens") * F.log10(F.lit(scale))
+    return out.select("id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
 
 
 def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -283,79 +267,15 @@ def score_documents(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", t
     base_score is the exact unigram score with half a count added; score the model's log10 probability. Null and
     empty texts have their end alone. Without training documents all tokens are unknown and N and V are 0.
     """
-    spark = docs.sparkSession
-    kind = docs.schema[id_col].dataType.simpleString()
-    train = train.select(F.col(text_col).cast("string").alias("text"))
-    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    size = train.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
-    buckets = int(max(64, size // BUCKET_BYTES))
-    packed = "bucket int, order int, hashes binary, counts binary"
-    with batches_of(spark, 2000):
-        grams = train.mapInArrow(_grams(buckets), packed).groupBy("bucket").applyInArrow(_added, packed + ", levels array<long>, total long, different long")
-        grams = written(grams)
-
-    # Of each order so many n-grams have each level: the cutoff, the filter's size, and what counts as frequent.
-    levels = {r.order: r for r in grams.groupBy("order").agg(F.sum("total").alias("total"), F.sum("different").alias("different")).collect()}
-    by_level: dict[int, np.ndarray] = {1: np.zeros(41), 2: np.zeros(41)}
-    for r in grams.select("order", F.posexplode("levels").alias("level", "n")).groupBy("order", "level").agg(F.sum("n").alias("n")).collect():
-        by_level[r.order][r.level] = r.n
-    total, vocabulary = (int(levels[1].total), int(levels[1].different)) if 1 in levels else (0, 0)
-    entries = float((by_level[1] + by_level[2]) @ np.arange(41))
-    per_bucket = int(max(1, entries * ENTRY_BITS / 64 // buckets + 1))
-    least = next(k for k in range(42) if by_level[1][k:].sum() <= FREQUENT)
-    least = 1 << max(least - 1, 0)
-    scale = total + 0.5 * (vocabulary + 1)
-
-    with batches_of(spark, BUCKETS_AT_A_TIME):
-        parts = grams.select("bucket", "hashes", "counts").mapInArrow(_segments(per_bucket), "bucket int, words binary")
-        segments = written(parts)
-        one = grams.filter("order = 1").select("hashes", "counts")
-        frequent = one.mapInArrow(_unpacked(least, None), "token long, n long").toPandas()
-        rare = written(one.mapInArrow(_unpacked(1, least), "token long, n long"))
-    known, counts = unsigned(frequent["token"].to_numpy(np.int64)), frequent["n"].to_numpy(np.int64)
-    order = np.argsort(known)
-
-    def part(first: int, last: int) -> np.ndarray:
-        """The segments of some buckets: no more than are sent at a time."""
-        held = np.zeros((last - first, per_bucket), U)
-        for r in segments.filter(F.col("bucket").between(first, last - 1)).toLocalIterator():
-            held[r.bucket - first] |= np.frombuffer(bytes(r.words), U)
-        return held.reshape(-1)
-
-    at_a_time = max(1, SENT_BYTES // (8 * per_bucket))
-    groups = [(k, min(k + at_a_time, buckets)) for k in range(0, buckets, at_a_time)]
-    shared = spark.sparkContext.broadcast((part(0, buckets) if len(groups) == 1 else None, buckets, known[order], counts[order], total, vocabulary))
-    named = docs.select("id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("name"))
-    with batches_of(spark, 2000):
-        rows = written(named.mapInArrow(_scores(shared), f"id {kind}, key long, name long, n_tokens long, n_known long, base double, score double, rare array<long>"))
-    if len(groups) > 1:
-        rows = _in_parts(rows, named.select("name", "text"), groups, part, buckets, scale)
-
-    met = rows.select("key", F.explode("rare").alias("token")).join(rare, "token", "left")
-    met = met.groupBy("key").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"), F.count("n").alias("met"))
-    out = rows.drop("rare").join(met.withColumnRenamed("key", "key_"), F.col("key") == F.col("key_"), "left")
-    unit = F.log10(F.lit(scale))
-    return out.select(F.col("id").alias(id_col), "n_tokens", (F.col("n_known") + F.coalesce("met", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * unit).alias("base_score"), "score")
-
-
-def _in_parts(rows: DataFrame, named: DataFrame, groups: list[tuple[int, int]], part, buckets: int, scale: float) -> DataFrame:
-    """``rows`` with scores: one scan for each part of the filter, then the levels of each different text together."""
-    spark, found, end = rows.sparkSession, [], 0
-    for first, last in groups:
-        held = part(first, last)
-        end = max(end, int(LogFrequencyFilter(held, buckets, first, last).levels(np.array([END]))[0]))
-        shared = spark.sparkContext.broadcast((held, buckets, first, last))
-        with batches_of(spark, 2000):
-            told = written(named.mapInArrow(_levels(shared), "text long, one binary, two binary"))
-        found.append(told.withColumn("part", F.lit(first)))
-        shared.destroy()
-    # Copies that different tasks met tell the same.
-    every = reduce(DataFrame.union, found).groupBy("text", "part").agg(F.any_value("one").alias("one"), F.any_value("two").alias("two"))
-    scores = written(every.groupBy("text").applyInArrow(_summed(end, scale), "text long, score double"))
-    return rows.drop("score").join(scores, F.col("name") == F.col("text"))
+    text = F.col(text_col).cast("string").alias("text")
+    asked = docs.select(F.col(id_col).alias("id"), text, F.lit(False).alias("learns"), F.lit(True).alias("wanted"))
+    learnt = train.select(F.lit(None).cast(docs.schema[id_col].dataType).alias("id"), text, F.lit(True).alias("learns"), F.lit(False).alias("wanted"))
+    return _scores(asked.union(learnt)).withColumnRenamed("id", id_col)
 
 
 def scored_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``score_documents`` of all rows with a model of those that are not held out, and held_out (action)."""
-    out = score_documents(docs, docs.filter(~held_out(id_col, 5, 1)), id_col, text_col)
+    text = F.col(text_col).cast("string").alias("text")
+    rows = docs.select(F.col(id_col).alias("id"), text, (~held_out(id_col, 5, 1)).alias("learns"), F.lit(True).alias("wanted"))
+    out = _scores(rows).withColumnRenamed("id", id_col)
     return out.select(id_col, held_out(id_col, 5, 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
