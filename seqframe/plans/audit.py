@@ -11,10 +11,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from seqframe.functions import digests as D
 from seqframe.model import CIPHER, ENCODING_MODE
-from seqframe.operators.ranking import first_of_each, rank_in_group
+from seqframe.operators.ranking import first_of_each, ordinals
 from seqframe.session import written
 
 PASS, FAIL = "PASS", "FAIL"
@@ -242,18 +243,27 @@ def index_gaps(df: DataFrame, source: str, index: str, count: str) -> DataFrame:
     is listed is sorted, over many partitions whatever a source holds; a source that claims a billion indexes
     costs what it lists.
     """
-    wanted = df.groupBy(F.col(source).alias("_s")).agg(F.max(count).alias("_count"))
-    wanted = written(wanted)
+    wanted = written(df.groupBy(F.col(source).alias("_s")).agg(F.max(count).alias("_count")))
+    return _gaps(df.select(source, F.col(index).cast("bigint").alias("_i")).filter("_i >= 0").distinct(), wanted, source)
+
+
+def _gaps(listed: DataFrame, wanted: DataFrame, source: str) -> DataFrame:
+    """``index_gaps`` of different ``(source, _i)``, none negative, against written ``(_s, _count)`` (action).
+
+    Places in the order of all rows do as well as ranks within a source: they too grow by one along an island, and
+    the island before ends one place earlier. So rows are sorted once, and only islands meet their source's count.
+    """
     of_source = F.col(source).eqNullSafe(F.col("_s"))
-    inside = df.select(source, F.col(index).cast("bigint").alias("_i")).filter("_i >= 0").distinct()
-    inside = inside.join(wanted, of_source).filter("_i < _count").select(source, "_i")
-    ranked = rank_in_group(inside, [source], ["_i"], "_rank")
-    islands = ranked.groupBy(source, (F.col("_i") - F.col("_rank")).alias("_lost")).agg(F.min("_i").alias("_first"), F.max("_i").alias("_last"))
-    islands = written(rank_in_group(islands.select(source, "_first", "_last"), [source], ["_first"], "_k"))
+    placed = ordinals(listed, [source, "_i"], "_place")
+    islands = placed.groupBy(source, (F.col("_i") - F.col("_place")).alias("_lost")).agg(
+        F.min("_i").alias("_first"), F.max("_i").alias("_last"), F.min("_place").alias("_from"), F.max("_place").alias("_to")
+    )
+    islands = islands.join(wanted, of_source).filter("_first < _count")
+    islands = written(islands.select(source, "_first", F.least(F.col("_last"), F.col("_count").cast("bigint") - 1).alias("_last"), "_from", "_to"))
     # The end of the island before; a source's first gap begins at 0, its last one ends with the count.
-    ends = islands.select(F.col(source).alias("_t"), (F.col("_k") + 1).alias("_k"), (F.col("_last") + 1).alias("first"))
-    last = islands.groupBy(F.col(source).alias("_u")).agg(F.max("_k").alias("_k"), F.max("_last").alias("_end"))
-    between = islands.alias("i").join(ends.alias("e"), F.col(f"i.{source}").eqNullSafe(F.col("e._t")) & (F.col("i._k") == F.col("e._k")), "left")
+    ends = islands.select(F.col(source).alias("_t"), (F.col("_to") + 1).alias("_from"), (F.col("_last") + 1).alias("first"))
+    last = islands.groupBy(F.col(source).alias("_u")).agg(F.max("_last").alias("_end"))
+    between = islands.alias("i").join(ends.alias("e"), F.col(f"i.{source}").eqNullSafe(F.col("e._t")) & (F.col("i._from") == F.col("e._from")), "left")
     between = between.select(F.col(f"i.{source}").alias(source), F.coalesce("e.first", F.lit(0)).alias("first"), (F.col("i._first") - 1).alias("last"))
     after = wanted.join(last, F.col("_s").eqNullSafe(F.col("_u")), "left").select(
         F.col("_s").alias(source), F.coalesce(F.col("_end") + 1, F.lit(0)).alias("first"), (F.col("_count") - 1).cast("bigint").alias("last")
@@ -264,15 +274,18 @@ def index_gaps(df: DataFrame, source: str, index: str, count: str) -> DataFrame:
 def index_coverage(df: DataFrame, source: str, index: str, count: str) -> DataFrame:
     """``(source, index, problem)``: indexes missing from, outside of or repeated in 0…count-1 (action).
 
-    One row per missing index; ``index_gaps`` has one per run of them.
+    One row per missing index; ``index_gaps`` has one per run of them. Rows are grouped once; only indexes that
+    repeat, or that the counts beside them do not hold, meet their source's count.
     """
     kind = df.schema[index].dataType
-    gaps = index_gaps(df, source, index, count)
+    seen = written(df.groupBy(source, index).agg(F.count(F.lit(1)).alias("_n"), F.max(count).alias("_held")))
+    wanted = written(seen.groupBy(F.col(source).alias("_s")).agg(F.max("_held").alias("_count")))
+    listed = seen.select(source, F.col(index).cast("bigint").alias("_i")).filter("_i >= 0")
+    gaps = _gaps(listed if isinstance(kind, IntegralType) else listed.distinct(), wanted, source)
     missing = gaps.select(source, F.explode(F.sequence(F.col("first").cast(kind), F.col("last").cast(kind))).alias(index), F.lit("missing").alias("problem"))
-    wanted = df.groupBy(F.col(source).alias("_s")).agg(F.max(count).alias("_count"))
-    seen = df.groupBy(source, index).agg(F.count(F.lit(1)).alias("n")).join(wanted, F.col(source).eqNullSafe(F.col("_s")))
-    inside = F.coalesce((F.col(index) >= 0) & (F.col(index) < F.col("_count")), F.lit(False))
-    wrong = seen.select(source, index, F.when(~inside, "unexpected").when(F.col("n") > 1, "duplicate").alias("problem"))
+    below = lambda c: F.coalesce((F.col(index) >= 0) & (F.col(index) < F.col(c)), F.lit(False))
+    doubtful = seen.filter(~below("_held") | (F.col("_n") > 1)).join(wanted, F.col(source).eqNullSafe(F.col("_s")))
+    wrong = doubtful.select(source, index, F.when(~below("_count"), "unexpected").when(F.col("_n") > 1, "duplicate").alias("problem"))
     return missing.unionByName(wrong.filter(F.col("problem").isNotNull()))
 
 

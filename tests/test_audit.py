@@ -204,6 +204,17 @@ def test_index_coverage(spark):
     assert {tuple(r) for r in A.index_coverage(df, "s", "i", "n").collect()} == {("a", 1, "missing"), ("a", 2, "duplicate"), ("a", 7, "unexpected")}
 
 
+def test_index_coverage_of_odd_rows_sorts_them_once(spark, monkeypatch):
+    rows = [("a", 0, 6), ("a", 1, 3), ("a", 4, 3), ("a", 4, 3), ("a", 9, 3), ("a", -1, 3), ("a", None, 3), (None, 1, 2), (None, 1, 2), ("c", 5, 0), ("d", 2, None), ("e", 7, 3), *(("f", i, 300) for i in range(299, 0, -2))]
+    want = {(s, i, "missing") for s, n in (("a", 6), (None, 2), ("e", 3), ("f", 300)) for i in range(n) if not any(r[:2] == (s, i) for r in rows)}
+    want |= {("a", 4, "duplicate"), ("a", 9, "unexpected"), ("a", -1, "unexpected"), ("a", None, "unexpected"), (None, 1, "duplicate"), ("c", 5, "unexpected"), ("d", 2, "unexpected"), ("e", 7, "unexpected")}
+    sorts, real = [], type(spark.range(1)).repartitionByRange
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", lambda self, *a: sorts.append(a) or real(self, *a))
+    got = [tuple(r) for r in A.index_coverage(spark.createDataFrame(rows, "s STRING, i INT, n INT"), "s", "i", "n").collect()]
+    assert len(got) == len(want) and set(got) == want
+    assert len(sorts) == 1
+
+
 def test_source_coverage(spark, make):
     sources = declared(spark, ("native", True), ("cut", True), ("mixed", True), ("absent", True), ("gated", False), ("stale", False))
     rows = make(
