@@ -267,8 +267,9 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     done = (F.col("low_x") == F.col("high_x")) & (F.col("low_y") == F.col("high_y")) & (F.col("low_x") == F.col("low_y"))
     pairs = x.join(y, "token").filter("group_x < group_y").filter(~done & _may_link(num, den, "x", "y")).select("group_x", "group_y").distinct()
     own = spread.filter("low != high").select(F.col("group").alias("group_x"), F.col("group").alias("group_y"))
+    pairs = written(pairs.union(own))
     mx, my = (state.select(F.col("group").alias(f"group_{s}"), F.col("node").alias(n_), F.col("component").alias(f"component_{s}")) for s, n_ in (("x", "a"), ("y", "b")))
-    rest = pairs.union(own).join(mx, "group_x").join(my, "group_y").filter("component_x != component_y and (group_x != group_y or a < b)").select("a", "b")
+    rest = pairs.join(mx, "group_x").join(my, "group_y").filter("component_x != component_y and (group_x != group_y or a < b)").select("a", "b")
     links = links.union(verified(rest))
     classes = written(connected_components(links))
 

@@ -3,7 +3,7 @@ from collections import Counter
 
 import pytest
 
-from seqframe.llm.components import connected_components
+from seqframe.llm.components import _step, connected_components
 from seqframe.llm.prefix_join import near_duplicate_classes, one_of_each
 from tests.llm.conftest import ODD, prose, spaced
 
@@ -77,3 +77,10 @@ def test_components_of_a_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7), (None, 3)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(links, "a BIGINT, b BIGINT")).collect()))
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 130), 100)}
+
+
+def test_a_step_names_its_links_four_times_at_most(spark, tmp_path, capsys):
+    """Plans, which the driver holds and prints again at each stage's end, must not double with each join."""
+    spark.createDataFrame([(2, 1), (3, 2)], "u BIGINT, v BIGINT").write.parquet(f"{tmp_path}/links")
+    _step(spark.read.parquet(f"{tmp_path}/links")).explain()
+    assert 1 <= capsys.readouterr().out.count("FileScan") <= 4
