@@ -94,3 +94,15 @@ def test_a_compressed_dataset_reads_as_the_plain_one(spark, tmp_path):
 def test_files_that_one_task_reads_are_bounded(spark):
     df = spark.range(10)
     assert W.file_count(df, 10 * W.WHOLE_CELLS // 64, 64) >= 10 > W.file_count(df, 10 * W.WHOLE_CELLS // 64)
+
+
+def test_damaged_folders_hold_datasets_and_nothing_else(spark, shared, monkeypatch):
+    from workload import queries
+    from workload.inputs import Inputs
+
+    monkeypatch.setattr(queries, "shared_dir", session.shared_dir)
+    root = queries.damaged_folder(Inputs(spark, "/root/testdata/sf0.001"))
+    assert [str(p) for p in shared.iterdir()] == [root]
+    for part in ("good/table", "good/samples", "bad/table"):
+        files = [p for p in shared.glob(f"*/{part}/part-*") if p.stat().st_size]
+        assert files and all(p.suffix == ".gz" for p in files)
