@@ -106,3 +106,16 @@ def test_damaged_folders_hold_datasets_and_nothing_else(spark, shared, monkeypat
     for part in ("good/table", "good/samples", "bad/table"):
         files = [p for p in shared.glob(f"*/{part}/part-*") if p.stat().st_size]
         assert files and all(p.suffix == ".gz" for p in files)
+
+
+def test_dataset_files_keep_the_rows_of_their_checks_alone(spark, shared, monkeypatch):
+    from workload import queries
+    from workload.inputs import Inputs
+
+    monkeypatch.setattr(queries, "shared_dir", session.shared_dir)
+    checks = queries.dataset_files(Inputs(spark, "/root/testdata/sf0.001"))
+    tables = [spark.read.parquet(str(p)) for p in shared.iterdir() if not (p / "table").exists()]
+    assert len([t for t in tables if t.count() > 100]) == 1
+    assert not [t for t in tables if "tokens" in t.columns or "slice" in t.columns]
+    assert all(p.suffix == ".gz" for p in shared.glob("*/table/part-*"))
+    assert checks.filter("passed").count() == checks.count()
